@@ -49,8 +49,8 @@ def documents(spark, sf):
 
 
 def corpus(spark, sf):
-    """Documents as tokens, hashed by document."""
-    return tokenize(documents(spark, sf))
+    """Documents as tokens, hashed by document and cached, as most operators read them more than once."""
+    return tokenize(documents(spark, sf)).persist()
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -63,8 +63,8 @@ def topic_of_lang() -> F.Column:
 
 def lang_term_df(spark, sf) -> DataFrame:
     """Documents per language and term: (topic_id, term, df)."""
-    docs = documents(spark, sf).withColumn("topic_id", topic_of_lang()).select("doc_id", "topic_id", "text")
-    tokens = docs.select("topic_id", K.keep_tokens(K.split_clean(T.clean(F.col("text"))), merged_stopwords()).alias("tokens"))
+    langs = documents(spark, sf).select("doc_id", topic_of_lang().alias("topic_id"))
+    tokens = corpus(spark, sf).join(langs, "doc_id")
     distinct = tokens.select("topic_id", F.explode(F.array_distinct("tokens")).alias("term"))
     return distinct.groupBy("topic_id", "term").agg(F.count(F.lit(1)).alias("df"))
 
@@ -78,7 +78,7 @@ def lang_topics(spark, sf, n: int = 10) -> DataFrame:
 def topic_weights(spark, sf) -> DataFrame:
     """Document weights over the four language topics: the share of tokens that are top words of the topic."""
     words = lang_topics(spark, sf).select("term", "topic_id")
-    counts = V.doc_term(corpus(spark, sf)).join(F.broadcast(words), "term")  # 40 rows at most
+    counts = V.doc_term(corpus(spark, sf), partitioned=True).join(F.broadcast(words), "term")  # 40 rows at most
     hits = counts.groupBy("doc_id").pivot("topic_id", list(range(4))).agg(F.sum("tf"))
     lengths = corpus(spark, sf).select("doc_id", F.size("tokens").alias("n"))
     share = [F.coalesce(F.col(str(t)) / F.col("n"), F.lit(0.0)) for t in range(4)]
@@ -407,7 +407,7 @@ def doc_vectors(spark, sf):
     words = V.dictionary(docs, no_below=5, no_above=0.5).select("term", "term_id")
     table_ = table(spark, sf, "embeddings").select(F.col("vec_id").alias("term_id"), F.col("embedding").alias("vec"))
     vectors = words.join(table_, "term_id").select(F.col("term").alias("word"), "vec")
-    means = E.mean_word_vectors(docs, vectors, 64)
+    means = E.mean_word_vectors(docs, vectors, 64, partitioned=True)
     entries = means.select("doc_id", F.posexplode("vector").alias("dim", "value"))
     return rounded(entries.select("doc_id", F.col("dim").cast("bigint").alias("dim"), "value"), "value")
 
@@ -428,7 +428,7 @@ def batch_vectors(spark, sf):
 
 
 def _matrix(spark, sf, preset="search"):
-    docs = corpus(spark, sf).persist()
+    docs = corpus(spark, sf)
     model = I.fit_tfidf(docs, stop_words=merged_stopwords(), **I.PRESETS[preset])
     return docs, model, model.arrays(docs, partitioned=True).persist()
 
@@ -498,7 +498,7 @@ def nmf_predict(spark, sf):
 
 
 def _lda(spark, sf):
-    docs = corpus(spark, sf).persist()
+    docs = corpus(spark, sf)
     vectorizer = I.fit_tfidf(docs, (1, 1), 5, 0.5, 5000)
     bags = vectorizer.bags(docs).persist()
     return docs, vectorizer, bags, L.fit_lda(bags, vectorizer.vocab, k=5, passes=4)
@@ -700,7 +700,7 @@ def topic_sweep_nmf(spark, sf):
 
 @query
 def grid_search(spark, sf):
-    docs = corpus(spark, sf).persist()
+    docs = corpus(spark, sf)
     found = U.grid_search_nmf(docs, features=(500, 1000), counts=(3, 4), max_iter=5, inner_iter=10)
     return U.best_run(found.runs).select("max_features", "beta_loss", "k", "value")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import string
 from collections.abc import Sequence
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -28,17 +29,22 @@ WHITESPACE = r"\s\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{
 WORD = r"\p{L}\p{N}_"
 
 
-def unescape_html(text: Column) -> Column:
-    """Decode HTML entities once. Only texts that hold an ampersand travel to Python; the others
-    are sent as nulls and taken from the JVM column."""
-
-    @F.pandas_udf("string")
+@cache
+def _entity_decoder():
+    # One UDF object per process: equal plans stay equal, so Spark can reuse caches and shuffles. It is defined
+    # inside a function to be shipped by value.
     def decode(texts: pd.Series) -> pd.Series:
         import html
 
         return texts.map(html.unescape, na_action="ignore")
 
-    return F.coalesce(decode(F.when(F.contains(text, F.lit("&")), text)), text)
+    return F.pandas_udf(decode, "string")
+
+
+def unescape_html(text: Column) -> Column:
+    """Decode HTML entities once. Only texts that hold an ampersand travel to Python; the others
+    are sent as nulls and taken from the JVM column."""
+    return F.coalesce(_entity_decoder()(F.when(F.contains(text, F.lit("&")), text)), text)
 
 
 def strip_tags(text: Column) -> Column:

@@ -101,20 +101,21 @@ def reconstruction_error(entries: DataFrame, doc_weights: DataFrame, topic_terms
 
     docs = doc_weights.select("doc_id", "topic_id", F.col("weight").alias("dw"))
     terms = topic_terms.select("topic_id", "term", F.col("weight").alias("tw"))
-    squares = entries.agg(F.coalesce(F.sum(F.col("w") * F.col("w")), F.lit(0.0)).alias("v")).scalar()
 
     # One row per document and per term carries all its topic weights, so no entry is multiplied by k rows.
     per_doc = docs.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("topic_id", "dw"))).alias("dm"))
     per_term = terms.groupBy("term").agg(F.collect_list(F.struct("topic_id", "tw")).alias("ts"))
-    product = F.aggregate(
+    fitted = F.aggregate(
         "ts", F.lit(0.0), lambda acc, t: acc + t["tw"] * F.coalesce(F.try_element_at("dm", t["topic_id"]), F.lit(0.0))
     )
-    joined = entries.join(bounded(per_term), "term").join(per_doc, "doc_id")
-    cross = joined.agg(F.coalesce(F.sum(F.col("w") * product), F.lit(0.0))).scalar()
+    joined = entries.join(bounded(per_term), "term", "left").join(per_doc, "doc_id", "left")
+    part = F.col("w") * F.col("w") - 2 * F.col("w") * F.coalesce(fitted, F.lit(0.0))
+    sums = joined.agg(F.coalesce(F.sum(part), F.lit(0.0))).scalar()
     gram_w, gram_h = _gram(docs, "doc_id", "dw"), _gram(terms, "term", "tw")
     gram = gram_w.join(gram_h.withColumnRenamed("g", "gh"), ["t1", "t2"])
-    return gram.agg(F.coalesce(F.sum(F.col("g") * F.col("gh")), F.lit(0.0)).alias("trace")).select(
-        F.sqrt(F.greatest(squares - 2 * cross + F.col("trace"), F.lit(0.0))).alias("reconstruction_error")
+    trace = F.coalesce(F.sum(F.col("g") * F.col("gh")), F.lit(0.0))
+    return gram.agg(trace.alias("trace")).select(
+        F.sqrt(F.greatest(sums + F.col("trace"), F.lit(0.0))).alias("reconstruction_error")
     )
 
 

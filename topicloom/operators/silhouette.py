@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 2048
 
 
 def silhouette(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -33,20 +33,16 @@ def silhouette(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         if mine.empty or theirs.empty:
             return pd.DataFrame({c: pd.Series(dtype=object) for c in ("vector", "label", "weight", "to_label", "total")})
         x = np.stack(mine["vector"].to_numpy()).astype(float)
+        center = x.mean(axis=0)  # distances do not change, squares stay small
+        x -= center
+        x_squares = (x * x).sum(axis=1)
         out = []
         for label, group in theirs.groupby("label"):
-            y = np.stack(group["vector"].to_numpy()).astype(float)
-            weight = group["weight"].to_numpy(dtype=float)
-            total = np.zeros(len(x))
-            for start in range(0, len(y), 256):  # bounds the difference tensor
-                part = y[start : start + 256]
-                for row in range(0, len(x), 256):
-                    delta = x[row : row + 256, None, :] - part[None, :, :]
-                    distance = np.sqrt((delta * delta).sum(axis=2))
-                    total[row : row + 256] += distance @ weight[start : start + 256]
+            y = np.stack(group["vector"].to_numpy()).astype(float) - center
+            squares = x_squares[:, None] + (y * y).sum(axis=1)[None, :] - 2 * (x @ y.T)
             part = mine[["vector", "label", "weight"]].copy()
             part["to_label"] = label
-            part["total"] = total
+            part["total"] = np.sqrt(np.maximum(squares, 0)) @ group["weight"].to_numpy(dtype=float)
             out.append(part)
         return pd.concat(out)
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from topicloom.functions.tokens import word_ngrams
 from topicloom.operators.vocab import doc_term, share_of, term_stats, with_term_ids
-from topicloom.runtime import BROADCAST_ROW_LIMIT, DataValidationError, bounded, by_document, row_count
+from topicloom.runtime import BROADCAST_ROW_LIMIT, DataValidationError, bounded, by_document
 
 PRESETS = {
     "default": dict(ngram_range=(1, 2), min_df=2, max_df=0.95, max_features=10_000),
@@ -57,7 +57,7 @@ def pruned_vocabulary(
     stats = term_stats(grams).filter((df >= share_of(min_df, n_docs)) & (df <= share_of(max_df, n_docs)))
     if max_features is not None:
         stats = stats.orderBy(F.col("cf").desc(), "term").limit(max_features)
-    return with_term_ids(stats)
+    return with_term_ids(stats, max_features)
 
 
 @dataclass(frozen=True)
@@ -77,7 +77,7 @@ class TfidfModel:
         count proves it small and joined by shuffle otherwise."""
         placed = docs if partitioned else by_document(docs.select("doc_id", "tokens"))
         grams = select_grams(placed, self.ngram_range, self.stop_words)
-        known = bounded(self.vocab.select("term", "term_id", "idf"))
+        known = bounded(self.vocab).select("term", "term_id", "idf")
         return weigh(doc_term(grams, partitioned=True), known).select("doc_id", "term_id", "term", "w")
 
     def arrays(self, docs: DataFrame, partitioned: bool = False) -> DataFrame:
@@ -116,9 +116,10 @@ def fit_tfidf(
     stop_words: Sequence[str] = (),
 ) -> TfidfModel:
     """Fit on (doc_id, tokens). The vocabulary is computed once; a table without documents is an error."""
-    if docs.isEmpty():
+    n = docs.count()
+    if n == 0:
         raise DataValidationError("cannot fit TF-IDF on no documents")
-    n_docs = row_count(docs)
+    n_docs = F.lit(n)
     grams = select_grams(docs, ngram_range, stop_words)
     vocab = pruned_vocabulary(grams, n_docs, min_df, max_df, max_features)
     vocab = vocab.withColumn("idf", smooth_idf(F.col("df"), n_docs)).select("term_id", "term", "df", "cf", "idf")

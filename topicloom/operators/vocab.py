@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicloom.functions.tokens import raw_words
-from topicloom.runtime import bounded, by_document, row_count
+from topicloom.runtime import BROADCAST_ROW_LIMIT, bounded, by_document, cut_lineage, row_count
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -57,17 +57,20 @@ def filter_extremes(stats: DataFrame, n_docs: Column, no_below: int = 5, no_abov
     return stats.filter((F.col("df") >= no_below) & (F.col("df") <= F.lit(float(no_above)) * n_docs))
 
 
-def with_term_ids(terms: DataFrame, prefix: int = 3) -> DataFrame:
-    """Add dense ids in term order without sorting the vocabulary in one task: terms are ranked
-    inside their prefix group and shifted by the sizes of the smaller prefixes. Only the short
-    table of prefixes is ordered globally."""
-    keyed = terms.withColumn("_prefix", F.substring("term", 1, prefix))
-    sizes = keyed.groupBy("_prefix").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_prefix", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = F.row_number().over(Window.partitionBy("_prefix").orderBy("term"))
-    ranked = keyed.withColumn("_rank", inside).join(offsets, "_prefix")
-    return ranked.withColumn("term_id", F.col("_offset") + F.col("_rank") - 1).drop("_prefix", "_rank", "_offset")
+def with_term_ids(terms: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Add dense ids in term order. A table capped at ``max_rows`` within the broadcast bound is ranked in one
+    task. Any other one is range-partitioned by term, which is balanced as terms are unique, and materialised
+    so that the ranges stay fixed; terms are ranked inside their range and shifted by the sizes of the
+    ranges before it, a table of one row per partition."""
+    if max_rows is not None and max_rows <= BROADCAST_ROW_LIMIT:
+        return terms.withColumn("term_id", F.row_number().over(Window.orderBy("term")).cast("bigint") - 1)
+    placed = cut_lineage(terms.repartitionByRange("term").withColumn("_part", F.spark_partition_id()))
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy("term"))
+    ranked = placed.withColumn("_rank", inside).join(F.broadcast(offsets), "_part")
+    return ranked.withColumn("term_id", F.col("_offset") + F.col("_rank") - 1).drop("_part", "_rank", "_offset")
 
 
 def dictionary(docs: DataFrame, no_below: int | None = None, no_above: float | None = None) -> DataFrame:
@@ -92,7 +95,7 @@ def doc_term(docs: DataFrame, partitioned: bool = False) -> DataFrame:
 
 def bag_of_words(docs: DataFrame, vocab: DataFrame, partitioned: bool = False) -> DataFrame:
     """(doc_id, term_id, tf); tokens outside the dictionary are dropped."""
-    ids = bounded(vocab.select("term", "term_id"))
+    ids = bounded(vocab).select("term", "term_id")
     return doc_term(docs, partitioned).join(ids, "term").select("doc_id", "term_id", "tf")
 
 

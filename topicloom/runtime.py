@@ -21,8 +21,10 @@ class DataValidationError(ValueError):
 
 def bounded(table: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Hint ``table`` for broadcast if a count proves it small; otherwise leave the join to
-    the shuffle strategies, where adaptive execution splits skewed keys."""
-    return F.broadcast(table) if is_small(table, max_rows) else table
+    the shuffle strategies, where adaptive execution splits skewed keys. The table is cached,
+    so that counting it does not compute it twice."""
+    kept = table if table.storageLevel.useMemory or table.storageLevel.useDisk else table.persist()
+    return F.broadcast(kept) if is_small(kept, max_rows) else kept
 
 
 def is_small(table: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> bool:
