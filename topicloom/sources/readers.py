@@ -12,8 +12,6 @@ from topicloom.functions.text import WHITESPACE
 from topicloom.functions.tokens import split_words
 from topicloom.runtime import DataValidationError
 
-_CORRUPT = "_corrupt_record"
-
 
 def read_csv(
     spark: SparkSession,
@@ -32,36 +30,30 @@ def read_csv(
     return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 
-def _unquoted_lines(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    fields = [T.StructField(c, T.StringType()) for c in (*columns, _CORRUPT)]
-    return (
-        spark.read.schema(T.StructType(fields))
-        .options(header=True, enforceSchema=True, sep="\t", quote="", mode="PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .csv(path)
-    )
-
-
-def _header(spark: SparkSession, path: str) -> list[str]:
-    return spark.read.options(header=True, sep="\t", quote="").csv(path).columns
+def _unquoted_lines(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
+    """Header fields and the other non-empty lines; every file may start with the header."""
+    lines = spark.read.text(path)
+    header = lines.first()
+    if header is None:
+        raise DataValidationError(f"no header in {path}")
+    rows = lines.filter((F.col("value") != header.value) & (F.col("value") != ""))
+    return header.value.split("\t"), rows
 
 
 def read_tsv(spark: SparkSession, path: str) -> DataFrame:
     """Tab-separated text without quoting. Lines with too many fields are skipped, short ones are
-    filled with nulls."""
-    columns = _header(spark, path)
-    rows = _unquoted_lines(spark, path, columns)
-    fields = F.size(F.split(F.col(_CORRUPT), "\t"))
-    return rows.filter(F.col(_CORRUPT).isNull() | (fields < len(columns))).drop(_CORRUPT)
+    filled with nulls, and an empty field is null."""
+    names, lines = _unquoted_lines(spark, path)
+    rows = lines.select(F.split("value", "\t").alias("_parts")).filter(F.size("_parts") <= len(names))
+    return rows.select(*[F.nullif(F.get("_parts", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)])
 
 
 def read_ragged_tsv(
     spark: SparkSession, path: str, fields: int = 4, max_rows: int | None = None
 ) -> DataFrame:
     """Tab-separated salvage read: keep lines with at least ``fields`` fields, the first ones only."""
-    rows = _unquoted_lines(spark, path, _header(spark, path)[:fields])
-    present = F.size(F.split(F.col(_CORRUPT), "\t"))
-    kept = rows.filter(F.col(_CORRUPT).isNull() | (present >= fields)).drop(_CORRUPT)
+    names, lines = _unquoted_lines(spark, path)
+    kept = split_ragged(lines, "value", names[:fields])
     return kept if max_rows is None else kept.limit(max_rows)
 
 
@@ -73,7 +65,7 @@ def split_ragged(lines: DataFrame, line: str, names: Sequence[str]) -> DataFrame
         .filter(F.size("_parts") >= len(names))
         .select(
             *[c for c in lines.columns if c != line],
-            *[F.col("_parts").getItem(i).alias(name) for i, name in enumerate(names)],
+            *[F.get("_parts", F.lit(i)).alias(name) for i, name in enumerate(names)],
         )
     )
 
