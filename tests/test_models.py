@@ -51,6 +51,14 @@ def test_nmf_does_not_depend_on_partitions(spark, planted):
     assert np.allclose(fits[0].h, fits[1].h, rtol=1e-8, atol=1e-10)
 
 
+def test_nmf_works_in_small_pieces(spark, planted, monkeypatch):
+    whole = N.fit_nmf(sparse(spark, planted), vocab(spark, 30), k=2, max_iter=5)
+    monkeypatch.setattr(N, "PIECE", 20)
+    cut = N.fit_nmf(sparse(spark, planted), vocab(spark, 30), k=2, max_iter=5)
+    assert np.allclose(whole.h, cut.h)
+    assert np.allclose(weights(whole, sparse(spark, planted)), weights(cut, sparse(spark, planted)))
+
+
 def test_nmf_kullback_leibler(spark, planted):
     rows = sparse(spark, planted)
     model = N.fit_nmf(rows, vocab(spark, 30), k=2, max_iter=40, tol=0.0, beta_loss="kullback-leibler", inner_iter=60)

@@ -23,6 +23,7 @@ from topicloom.runtime import FACTOR_CELL_LIMIT, DataValidationError
 
 EPSILON = 1e-10
 CHUNK = 2048  # term columns per row of partial sums
+PIECE = 1_000_000  # matrix entries a task works on at a time, which bounds its memory
 
 
 @dataclass(frozen=True)
@@ -129,11 +130,21 @@ def _gram(rows: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def _solver(params: NmfParams):
-    """A function of one Arrow batch and H returning (W, gather) with W the solved rows. Self-contained, as it is
-    shipped to the tasks."""
+    """Two functions for the tasks: one cuts an Arrow batch into pieces of bounded size, the other solves the rows of
+    W for a piece and H. Both are self-contained, as they are shipped by value."""
     frobenius = params.beta_loss == "frobenius"
     l1, l2 = params.alpha_w * params.l1_ratio, params.alpha_w * (1 - params.l1_ratio)
-    inner, eps = params.inner_iter, EPSILON
+    inner, eps, piece = params.inner_iter, EPSILON, PIECE
+
+    def pieces(batch):
+        import numpy as np
+
+        offsets, start = batch.column("idx").offsets.to_numpy(), 0
+        while start < batch.num_rows:
+            fits = int(np.searchsorted(offsets, offsets[start] + piece, side="right")) - 1
+            stop = max(fits, start + 1)
+            yield batch.slice(start, stop - start)
+            start = stop
 
     def sparse(batch):
         import numpy as np
@@ -170,21 +181,22 @@ def _solver(params: NmfParams):
                 w *= by_row(rows, ratio[:, None] * ht, n) / (mass + l1 + l2 * w + eps)
         return w, rows, columns, values, ht
 
-    return solve
+    return pieces, solve
 
 
 def solve_rows(rows: DataFrame, h: np.ndarray, params: NmfParams) -> DataFrame:
     """Topic weights (doc_id, w) of sparse documents for a fixed H; documents are independent."""
     shared = rows.sparkSession.sparkContext.broadcast(h)
-    solve = _solver(params)
+    pieces, solve = _solver(params)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow as pa
 
         for batch in batches:
-            w = solve(batch, shared.value)[0]
-            weights = pa.FixedSizeListArray.from_arrays(pa.array(w.ravel()), w.shape[1]).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), weights], names=["doc_id", "w"])
+            for part in pieces(batch):
+                w = solve(part, shared.value)[0]
+                weights = pa.FixedSizeListArray.from_arrays(pa.array(w.ravel()), w.shape[1]).cast(pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), weights], names=["doc_id", "w"])
 
     id_type = dict(rows.dtypes)["doc_id"]
     return rows.select("doc_id", "idx", "val").mapInArrow(score, f"doc_id {id_type}, w array<double>")
@@ -193,7 +205,7 @@ def solve_rows(rows: DataFrame, h: np.ndarray, params: NmfParams) -> DataFrame:
 def _pass(rows: DataFrame, h: np.ndarray, params: NmfParams) -> tuple[np.ndarray, np.ndarray, float]:
     """Solve W for ``h`` and return the sums for the update of H and the loss at (W, h)."""
     shared = rows.sparkSession.sparkContext.broadcast(h)
-    solve, frobenius, chunk, eps = _solver(params), params.beta_loss == "frobenius", CHUNK, EPSILON
+    (pieces, solve), frobenius, chunk, eps = _solver(params), params.beta_loss == "frobenius", CHUNK, EPSILON
     l1, l2 = params.alpha_w * params.l1_ratio, params.alpha_w * (1 - params.l1_ratio)
 
     def partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,9 +215,9 @@ def _pass(rows: DataFrame, h: np.ndarray, params: NmfParams) -> tuple[np.ndarray
         h = shared.value
         k, width = h.shape
         upper, lower, loss, seen = np.zeros((k, width)), np.zeros((k, k)), 0.0, False
-        for batch in batches:
+        for part in (p for batch in batches for p in pieces(batch)):
             seen = True
-            w, r, c, v, ht = solve(batch, h)
+            w, r, c, v, ht = solve(part, h)
             fitted = (w[r] * ht).sum(axis=1)
             if frobenius:
                 loss += (v * v).sum() / 2 - (v * fitted).sum() + ((w.T @ w) * (h @ h.T)).sum() / 2
@@ -221,11 +233,9 @@ def _pass(rows: DataFrame, h: np.ndarray, params: NmfParams) -> tuple[np.ndarray
         if not seen:
             return
         # Topics 0..k-1 hold slices of the upper sums, topic k the lower sums and the loss.
-        topic, part, sums = [], [], []
-        for t in range(k):
-            for start in range(0, width, chunk):
-                topic.append(t), part.append(start // chunk), sums.append(upper[t, start : start + chunk])
-        topic.append(k), part.append(0), sums.append(np.append(lower.ravel(), loss))
+        rows = [(t, i, upper[t, i * chunk : (i + 1) * chunk]) for t in range(k) for i in range(-(-width // chunk))]
+        rows.append((k, 0, np.append(lower.ravel(), loss)))
+        topic, part, sums = zip(*rows)
         yield pa.RecordBatch.from_arrays(
             [pa.array(topic, pa.int32()), pa.array(part, pa.int32()), pa.array(sums, pa.list_(pa.float64()))],
             names=["topic", "part", "sums"],
@@ -263,9 +273,12 @@ def check_matrix(rows: DataFrame, width: int, k: int) -> tuple[int, float]:
 
 def fit_nmf(rows: DataFrame, vocab: DataFrame, params: NmfParams | None = None, **options: Any) -> NmfModel:
     """Factor (doc_id, idx, val) over ``vocab`` (term_id, term). Stops when the loss falls by less than ``tol`` of
-    its first value between passes."""
+    its first value between passes. Rows are cached for the passes unless they are already."""
     params = params or NmfParams(**options)
     width = vocab.count()
+    cached = rows.storageLevel.useMemory or rows.storageLevel.useDisk
+    if not cached:
+        rows = rows.persist()
     n, total = check_matrix(rows, width, params.k)
     scale = np.sqrt(total / (n * width) / params.k)
     h = scale * np.abs(np.random.default_rng(params.seed).standard_normal((params.k, width)))
@@ -281,6 +294,8 @@ def fit_nmf(rows: DataFrame, vocab: DataFrame, params: NmfParams | None = None,
     if not h.any():
         raise DataValidationError("all topic weights are zero")
     _, _, final = _pass(rows, h, params)
+    if not cached:
+        rows.unpersist()
     return NmfModel(params, h, vocab.select("term_id", "term"), losses, float(np.sqrt(max(2 * final, 0.0))))
 
 

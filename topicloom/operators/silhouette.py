@@ -90,7 +90,7 @@ def silhouette_squared(points: DataFrame) -> DataFrame:
 
 
 def _score(sums: DataFrame, sizes: DataFrame) -> DataFrame:
-    sized = sums.join(F.broadcast(sizes.withColumnRenamed("label", "to_label")), "to_label")  # one row per label
+    sized = sums.join(sizes.withColumnRenamed("label", "to_label"), "to_label")
     return _mean_silhouette(sized, ["vector", "label", "weight"])
 
 
