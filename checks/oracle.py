@@ -235,7 +235,7 @@ ORACLE: dict[str, str] = {
     "clean_pages": f"SELECT page_id, {clean(unescape('html'))} AS cleaned FROM pages",
     "clean_light": f"SELECT doc_id, {letters('lower(' + strip_tags('text') + ')')} AS cleaned FROM documents",
     "clean_raw": rf"""SELECT doc_id, {letters(
-        f"regexp_replace(regexp_replace(lower(coalesce(text, '')), 'https?://[^{SPACE}]+|www\.[^{SPACE}]+', '', 'g'), '[^{SPACE}]+@[^{SPACE}]+', '', 'g')"
+        rf"regexp_replace(regexp_replace(lower(coalesce(text, '')), 'https?://[^{SPACE}]+|www\.[^{SPACE}]+', '', 'g'), '[^{SPACE}]+@[^{SPACE}]+', '', 'g')"
     )} AS cleaned FROM documents""",
     "clean_words": f"""
         SELECT doc_id, array_to_string(list_filter(string_split({letters('lower(text)')}, ' '),

@@ -143,7 +143,7 @@ def test_lda(spark, tmp_path, two_topics):
     top = {r.doc_id: r.dominant_topic for r in L.dominant_topics(fitted.transform(bags)).collect()}
     assert top.pop(60) == -1
     assert len({t for i, t in top.items() if i % 2}) == 1 and len({t for i, t in top.items() if not i % 2}) == 1
-    assert fitted.log_perplexity(bags) < 0
+    assert fitted.log_perplexity(bags) == pytest.approx(-fitted.model.logPerplexity(bags), rel=1e-3) and fitted.log_perplexity(bags) < 0
     words = {t: {r.term for r in fitted.topics(4).filter(f"topic_id = {t}").collect()} for t in (0, 1)}
     assert {"apple", "pear", "plum", "fig"} in words.values()
     assert [r.rank for r in fitted.topics(4).filter("topic_id = 0").orderBy("rank").collect()] == [1, 2, 3, 4]
