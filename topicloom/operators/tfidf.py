@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from topicloom.functions.tokens import word_ngrams
@@ -130,3 +130,18 @@ def fit_transform(docs: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
     """TF-IDF weights and the feature names in id order."""
     model = fit_tfidf(docs, **options)
     return model.transform(docs), model.feature_names()
+
+
+def save_tfidf(model: TfidfModel, path: str) -> str:
+    """The vocabulary and the settings as two Parquet tables."""
+    model.vocab.write.mode("overwrite").parquet(f"{path}/vocab")
+    settings = [(*model.ngram_range, list(model.stop_words))]
+    spark = model.vocab.sparkSession
+    spark.createDataFrame(settings, "low int, high int, stop_words array<string>").write.mode("overwrite").parquet(f"{path}/settings")
+    return path
+
+
+def load_tfidf(spark: SparkSession, path: str) -> TfidfModel:
+    settings = spark.read.parquet(f"{path}/settings").first()
+    vocab = spark.read.parquet(f"{path}/vocab")
+    return TfidfModel(vocab, (settings.low, settings.high), tuple(settings.stop_words))

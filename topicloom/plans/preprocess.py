@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicloom.functions.stopwords import merged_stopwords
-from topicloom.functions.text import clean, clean_light
+from topicloom.functions.text import clean
 from topicloom.functions.tokens import join_tokens, keep_tokens, split_clean
 from topicloom.operators.lexicon import collect_tokens, lemmatize, token_rows
 from topicloom.operators.phrases import apply_phrases, build_ngrams
@@ -21,19 +22,29 @@ def tokenize(
     stopwords: Sequence[str] | None = None,
     min_length: int = 2,
     lexicon: DataFrame | None = None,
-    light: bool = False,
-    entities: bool = True,
+    cleaner: Callable[[Column], Column] = clean,
+    splitter: Callable[[Column], Column] = split_clean,
 ) -> DataFrame:
     """(doc_id, tokens) hashed by ``doc_id``. The length and stopword tests are on the surface form, the
-    output is the lemma. ``entities=False`` skips entity decoding for texts known to hold none."""
+    output is the lemma. ``cleaner`` (text to text) and ``splitter`` (text to array) may be any Column functions,
+    for example ``clean_light`` and ``split_words``."""
     words = merged_stopwords() if stopwords is None else list(stopwords)
-    cleaner = clean_light if light else clean
-    cleaned = cleaner(F.coalesce(F.col(text), F.lit("")), entities=entities)
-    tokens = by_document(docs.select("doc_id", keep_tokens(split_clean(cleaned), words, min_length).alias("tokens")))
+    cleaned = cleaner(F.coalesce(F.col(text), F.lit("")))
+    tokens = by_document(docs.select("doc_id", keep_tokens(splitter(cleaned), words, min_length).alias("tokens")))
     return tokens if lexicon is None else collect_tokens(lemmatize(token_rows(tokens), lexicon))
 
 
-def preprocess(
+@dataclass(frozen=True)
+class Preprocessed:
+    """The corpus (doc_id, text, cleaned_text, tokens), its tokens alone (doc_id, tokens) hashed by ``doc_id``, and the
+    phrase table of each pass."""
+
+    corpus: DataFrame
+    tokens: DataFrame
+    phrases: list[DataFrame]
+
+
+def fit_preprocess(
     docs: DataFrame,
     text: str = "text",
     stopwords: Sequence[str] | None = None,
@@ -43,13 +54,18 @@ def preprocess(
     trigrams: bool = True,
     min_count: int = 5,
     threshold: float = 100.0,
-) -> DataFrame:
-    """(doc_id, text, cleaned_text, tokens). The token table is cached, as every phrase pass reads it
-    several times."""
+) -> Preprocessed:
+    """Clean, tokenize and merge phrases. The token table is cached, as every phrase pass reads it several times."""
     tokens = tokenize(docs, text, stopwords, min_length, lexicon).persist()
-    merged, _ = build_ngrams(tokens, bigrams, trigrams, min_count, threshold)
+    merged, phrases = build_ngrams(tokens, bigrams, trigrams, min_count, threshold)
     joined = docs.select("doc_id", F.col(text).alias("text")).join(merged, "doc_id")
-    return joined.select("doc_id", "text", join_tokens(F.col("tokens")).alias("cleaned_text"), "tokens")
+    corpus = joined.select("doc_id", "text", join_tokens(F.col("tokens")).alias("cleaned_text"), "tokens")
+    return Preprocessed(corpus, merged, phrases)
+
+
+def preprocess(docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, text, cleaned_text, tokens)."""
+    return fit_preprocess(docs, **options).corpus
 
 
 def preprocess_new(
