@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicloom.operators.metrics import argmax
-from topicloom.runtime import FACTOR_CELL_LIMIT, DataValidationError
+from topicloom.runtime import FACTOR_CELL_LIMIT, DataValidationError, merge_partitions
+
+DOCUMENTS_PER_TASK = 5_000
 
 PRESETS = {
     "standard": dict(k=10, passes=20, chunk_size=2000),
@@ -157,7 +159,7 @@ def fit_lda(
         k=k, maxIter=passes * batches, optimizer="online", subsamplingRate=min(1.0, 1.0 / batches), learningDecay=decay,
         learningOffset=offset, optimizeDocConcentration=learn_priors, topicConcentration=1.0 / k, seed=seed, featuresCol="features",
     )
-    model = lda.fit(held)
+    model = lda.fit(merge_partitions(held, n // DOCUMENTS_PER_TASK))
     held.unpersist()
     return LdaTopics(model, vocab.select("term_id", "term"))
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicloom.operators.metrics import argmax
-from topicloom.runtime import FACTOR_CELL_LIMIT, DataValidationError
+from topicloom.runtime import FACTOR_CELL_LIMIT, DataValidationError, merge_partitions
 
 EPSILON = 1e-10
 CHUNK = 2048  # term columns per row of partial sums
@@ -258,17 +258,18 @@ def _pass(rows: DataFrame, h: np.ndarray, params: NmfParams) -> tuple[np.ndarray
     return upper, lower, loss
 
 
-def check_matrix(rows: DataFrame, width: int, k: int) -> tuple[int, float]:
-    """Reject an empty or all-zero matrix and factors beyond the driver's bound; returns documents and sum."""
+def check_matrix(rows: DataFrame, width: int, k: int) -> tuple[int, int, float]:
+    """Reject an empty or all-zero matrix and factors beyond the driver's bound; returns documents, entries and sum."""
     if width * k > FACTOR_CELL_LIMIT:
         raise DataValidationError(f"{k} x {width} factors exceed {FACTOR_CELL_LIMIT} cells; prune the vocabulary")
     total = F.coalesce(F.sum(F.aggregate("val", F.lit(0.0), lambda acc, x: acc + x)), F.lit(0.0))
-    found = rows.agg(F.count(F.lit(1)).alias("n"), total.alias("total")).first()
+    entries = F.coalesce(F.sum(F.size("idx")), F.lit(0))
+    found = rows.agg(F.count(F.lit(1)).alias("n"), entries.alias("entries"), total.alias("total")).first()
     if found.n == 0 or width == 0:
         raise DataValidationError("the matrix is empty")
     if found.total == 0:
         raise DataValidationError("the matrix holds only zeros")
-    return found.n, found.total
+    return found.n, found.entries, found.total
 
 
 def fit_nmf(rows: DataFrame, vocab: DataFrame, params: NmfParams | None = None, **options: Any) -> NmfModel:
@@ -279,13 +280,14 @@ def fit_nmf(rows: DataFrame, vocab: DataFrame, params: NmfParams | None = None,
     cached = rows.storageLevel.useMemory or rows.storageLevel.useDisk
     if not cached:
         rows = rows.persist()
-    n, total = check_matrix(rows, width, params.k)
+    n, entries, total = check_matrix(rows, width, params.k)
+    passes = merge_partitions(rows, entries // PIECE)
     scale = np.sqrt(total / (n * width) / params.k)
     h = scale * np.abs(np.random.default_rng(params.seed).standard_normal((params.k, width)))
     l1, l2 = params.alpha_h * params.l1_ratio, params.alpha_h * (1 - params.l1_ratio)
     losses: list[float] = []
     for _ in range(params.max_iter):
-        upper, lower, loss = _pass(rows, h, params)
+        upper, lower, loss = _pass(passes, h, params)
         loss += l1 * h.sum() + l2 * (h * h).sum() / 2
         losses.append(loss)
         if len(losses) > 1 and (losses[-2] - loss) < params.tol * losses[0]:
@@ -293,7 +295,7 @@ def fit_nmf(rows: DataFrame, vocab: DataFrame, params: NmfParams | None = None,
         h = _update_h(h, upper, lower, params, l1, l2)
     if not h.any():
         raise DataValidationError("all topic weights are zero")
-    _, _, final = _pass(rows, h, params)
+    _, _, final = _pass(passes, h, params)
     if not cached:
         rows.unpersist()
     return NmfModel(params, h, vocab.select("term_id", "term"), losses, float(np.sqrt(max(2 * final, 0.0))))

@@ -63,3 +63,10 @@ def by_document(df: DataFrame, key: str = "doc_id") -> DataFrame:
 def row_count(df: DataFrame) -> Column:
     """Number of rows of ``df`` as a scalar subquery: no action, no cross join."""
     return df.agg(F.count(F.lit(1))).scalar()
+
+
+def merge_partitions(df: DataFrame, wanted: int) -> DataFrame:
+    """Merge partitions without a shuffle if ``df`` has more than ``wanted`` (and more than the cores), so that
+    repeated passes over a small table do not pay for many near-empty tasks."""
+    wanted = max(wanted, df.sparkSession.sparkContext.defaultParallelism)
+    return df.coalesce(wanted) if df.rdd.getNumPartitions() > wanted else df
