@@ -44,16 +44,16 @@ WITH lowered AS (
 ), listed AS (
   SELECT kind, id, coalesce(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM lowered
 ), item_windows AS (
-  SELECT DISTINCT id AS item, least(len(w), 10) AS size, array_to_string(w[at : at + least(len(w), 10) - 1], ' ') AS win
-  FROM (SELECT id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS at FROM listed WHERE kind = 'i' AND len(w) > 0)
+  SELECT DISTINCT id AS item, least(len(w), 10) AS size, array_to_string(w[pos : pos + least(len(w), 10) - 1], ' ') AS win
+  FROM (SELECT id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS pos FROM listed WHERE kind = 'i' AND len(w) > 0)
 ), doc_windows AS (
-  SELECT id, at, size, array_to_string(w[at : at + size - 1], ' ') AS win
-  FROM (SELECT id, w, size, unnest(range(1, len(w) - size + 2)) AS at
+  SELECT id, pos, size, array_to_string(w[pos : pos + size - 1], ' ') AS win
+  FROM (SELECT id, w, size, unnest(range(1, len(w) - size + 2)) AS pos
         FROM listed, (SELECT DISTINCT size FROM item_windows) WHERE kind = 'd' AND len(w) >= size)
 ), found AS (
-  SELECT d.id, d.at, d.size, i.item FROM doc_windows d JOIN item_windows i USING (size, win)
+  SELECT d.id, d.pos, d.size, i.item FROM doc_windows d JOIN item_windows i USING (size, win)
 ), hits AS (
-  SELECT id, count(DISTINCT p) AS n_hit FROM (SELECT id, unnest(range(at, at + size)) AS p FROM found) GROUP BY id
+  SELECT id, count(DISTINCT p) AS n_hit FROM (SELECT id, unnest(range(pos, pos + size)) AS p FROM found) GROUP BY id
 ), items AS (
   SELECT id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM found GROUP BY id
 )
