@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicloom.llm import byte_bpe as T
 from topicloom.llm import decontaminate as D
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +64,8 @@ FROM documents
 JOIN listed l ON l.kind = 'd' AND l.id = doc_id::VARCHAR
 LEFT JOIN hits ON hits.id = l.id LEFT JOIN items ON items.id = l.id
 """
+
+
+@query
+def op7_byte_bpe(spark, sf):
+    return T.encode_documents(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", "tokens.*")
