@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from topicloom.llm import byte_bpe as T
 from topicloom.llm import decontaminate as D
+from topicloom.llm import language_cnn as N
+from topicloom.llm import line_runs as L
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -69,3 +71,46 @@ LEFT JOIN hits ON hits.id = l.id LEFT JOIN items ON items.id = l.id
 @query
 def op7_byte_bpe(spark, sf):
     return T.encode_documents(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", "tokens.*")
+
+
+@query
+def op1_language_id(spark, sf):
+    found = N.identify(table(spark, sf, "documents").select("doc_id", "text", "lang"))
+    return found.select("doc_id", N.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "language.*")
+
+
+@query
+def op5_line_dedup(spark, sf):
+    kept = L.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "lines.n_lines", "lines.n_removed", F.size("lines.runs").cast("bigint").alias("n_runs"), F.sha2("text", 256).alias("text_sha256"))
+
+
+ORACLE["op5_line_dedup"] = r"""
+WITH listed AS (
+  SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL
+), sized AS (
+  SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS pos FROM listed
+), placed AS (
+  SELECT *, sum(length(lines[pos]) + 1) OVER (PARTITION BY doc_id ORDER BY pos) - length(lines[pos]) - 1 AS start,
+         sum(length(lines[pos]) + 1) OVER (PARTITION BY doc_id) AS total
+  FROM sized
+), runs AS (
+  SELECT *, count(*) OVER (PARTITION BY doc_id ORDER BY start RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING) AS n FROM placed
+), named AS (
+  SELECT doc_id, pos, n, array_to_string(lines[pos : pos + n - 1], chr(10)) AS run FROM runs WHERE total - start >= 50
+), copies AS (
+  SELECT doc_id, pos, n, row_number() OVER (PARTITION BY n, run ORDER BY doc_id, pos) AS copy FROM named
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + n)) AS pos FROM copies WHERE copy > 1
+), kept AS (
+  SELECT s.doc_id, count(*) AS n_lines, count(g.pos) AS n_removed,
+         coalesce(string_agg(lines[s.pos], chr(10) ORDER BY s.pos) FILTER (WHERE g.pos IS NULL), '') AS text
+  FROM sized s LEFT JOIN gone g USING (doc_id, pos) GROUP BY s.doc_id
+), starts AS (
+  SELECT doc_id, count(*) AS n_runs FROM gone g
+  WHERE NOT EXISTS (SELECT 1 FROM gone h WHERE h.doc_id = g.doc_id AND h.pos = g.pos - 1) GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_runs, 0)::BIGINT AS n_runs, sha256(k.text) AS text_sha256
+FROM documents d LEFT JOIN kept k USING (doc_id) LEFT JOIN starts USING (doc_id)
+"""
