@@ -11,6 +11,7 @@ from topicloom.llm import byte_bpe as T
 from topicloom.llm import decontaminate as D
 from topicloom.llm import language_cnn as N
 from topicloom.llm import line_runs as L
+from topicloom.llm import minhash_forest as H
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -114,3 +115,35 @@ SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)
        coalesce(n_runs, 0)::BIGINT AS n_runs, sha256(k.text) AS text_sha256
 FROM documents d LEFT JOIN kept k USING (doc_id) LEFT JOIN starts USING (doc_id)
 """
+
+
+@query
+def op4_minhash_forest(spark, sf):
+    found = H.find_groups(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+ORACLE["op4_minhash_forest"] = r"""
+WITH RECURSIVE listed AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[pos : pos + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS pos FROM listed WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+  ) JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * common >= 85 * (p.n + q.n - common)
+), reach AS (
+  SELECT doc_id AS v, doc_id AS root FROM documents
+  UNION
+  SELECT links.b, reach.root FROM reach JOIN links ON links.a = reach.v
+), least AS (
+  SELECT v, min(root) AS component_id FROM reach GROUP BY v
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN least ON least.v = d.doc_id
+"""
