@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from topicloom.llm import byte_bpe as T
 from topicloom.llm import decontaminate as D
+from topicloom.llm import kneser_ney as Q
 from topicloom.llm import language_cnn as N
 from topicloom.llm import line_runs as L
 from topicloom.llm import minhash_forest as H
@@ -147,3 +148,9 @@ WITH RECURSIVE listed AS (
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d LEFT JOIN sizes USING (doc_id) JOIN least ON least.v = d.doc_id
 """
+
+
+@query
+def op8_kneser_ney(spark, sf):
+    found = Q.judge(table(spark, sf, "documents").select("doc_id", "text", "lang"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity")

@@ -105,7 +105,8 @@ def candidates(sets: DataFrame) -> DataFrame:
     of all rows stays spread: regions are counted and their centres chosen by pre-aggregated counts and maxima, rows
     are sorted by ranges of (tree, path, id), and the last rows of each range are carried to the next."""
     slim = sets.select("id", F.posexplode(F.array(*[F.xxhash64(F.lit(t), path(t, DEPTH)) for t in range(TREES)])).alias("tree", "region"))
-    crowded = slim.groupBy("region").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # aggregates are staged before they are joined to rows, so that adaptive execution can split the keys of many rows
+    crowded = stage(slim.groupBy("region").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     # the values of a text are common if its regions are large
     trees = slim.join(crowded, "region").groupBy("id").agg(F.collect_set("tree").alias("trees"), F.sum("n").alias("weight"))
     paths = F.array(*[path(t) for t in range(TREES)])
@@ -114,7 +115,7 @@ def candidates(sets: DataFrame) -> DataFrame:
     pairs = []
     for level in LEVELS:
         key = live.select("id", "weight", F.xxhash64("tree", F.slice("path", 1, level)).alias("region"))
-        centre = key.groupBy("region").agg(F.max(F.struct("weight", "id"))["id"].alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+        centre = stage(key.groupBy("region").agg(F.max(F.struct("weight", "id"))["id"].alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
         pairs.append(key.join(centre, "region").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")))
     parts = max(1, int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = live.repartitionByRange(parts, "tree", "path", "id").withColumn("part", F.spark_partition_id())
@@ -168,7 +169,7 @@ def components(edges: DataFrame) -> DataFrame:
     before, now = None, edges.select("a", "b")
     while True:
         both = now.select(F.col("a").alias("v"), F.col("b").alias("u")).unionByName(now.select(F.col("b").alias("v"), F.col("a").alias("u")))
-        least = both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"))
+        least = stage(both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m")))
         moved = both.join(least, "v").filter("u != m").select(F.col("u").alias("a"), F.col("m").alias("b"))
         hung = least.filter("v != m").select(F.col("v").alias("a"), F.col("m").alias("b"))
         now = stage(moved.unionByName(hung).distinct())
@@ -207,8 +208,8 @@ def find_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     links = stage(checked.filter(100 * both >= percent * (F.size("set_a") + F.size("set_b") - both)).select("a", "b"))
     roots = components(links)
     rooted = sizes.join(roots, "id", "left").select("id", "first_doc", F.coalesce("root", "id").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    known = rooted.join(least, "root").select(F.col("id").alias("set_hash"), "component_id")
+    least = stage(rooted.groupBy("root").agg(F.min("first_doc").alias("component_id")))
+    known = stage(rooted.join(least, "root").select(F.col("id").alias("set_hash"), "component_id"))
     slim = prints.select("doc_id", "th", "set_hash", "n_shingles")
     linked = F.col("n_shingles") > 0
     out = slim.withColumn("key", F.when(linked & F.col("doc_id").isNotNull(), F.col("set_hash"))).join(known.withColumnRenamed("set_hash", "key"), "key", "left")
