@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from topicloom.llm import byte_bpe as T
 from topicloom.llm import decontaminate as D
+from topicloom.llm import hidden_markov as S
 from topicloom.llm import kneser_ney as Q
 from topicloom.llm import language_cnn as N
 from topicloom.llm import line_runs as L
 from topicloom.llm import minhash_forest as H
+from topicloom.llm import rans_tokens as A
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -154,3 +156,13 @@ FROM documents d LEFT JOIN sizes USING (doc_id) JOIN least ON least.v = d.doc_id
 def op8_kneser_ney(spark, sf):
     found = Q.judge(table(spark, sf, "documents").select("doc_id", "text", "lang"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity")
+
+
+@query
+def op6_hidden_markov(spark, sf):
+    return S.score(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@query
+def op3_rans_tokens(spark, sf):
+    return A.round_trip(table(spark, sf, "documents").select("doc_id", "text"))
