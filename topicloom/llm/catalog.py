@@ -15,6 +15,7 @@ from topicloom.llm import language_cnn as N
 from topicloom.llm import line_runs as L
 from topicloom.llm import minhash_forest as H
 from topicloom.llm import rans_tokens as A
+from topicloom.llm import sparse_suffixes as X
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -166,3 +167,31 @@ def op6_hidden_markov(spark, sf):
 @query
 def op3_rans_tokens(spark, sf):
     return A.round_trip(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@query
+def op9_sparse_suffixes(spark, sf):
+    found = X.find_repeats(table(spark, sf, "documents").select("doc_id", "text"))
+    words = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_words", words.alias("n_repeated"), F.size("spans").cast("bigint").alias("n_spans"))
+
+
+ORACLE["op9_sparse_suffixes"] = r"""
+WITH listed AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), passages AS (
+  SELECT doc_id, pos, hash(array_to_string(w[pos : pos + 49], ' ')) AS a, md5_number_lower(array_to_string(w[pos : pos + 49], ' ')) AS b
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS pos FROM listed WHERE len(w) >= 50)
+), copies AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY a, b ORDER BY doc_id, pos) AS copy FROM passages
+), hit AS (
+  SELECT doc_id, pos, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM copies WHERE copy > 1
+), spans AS (
+  SELECT doc_id, count(*) FILTER (WHERE before IS NULL OR pos > before + 50) AS n_spans,
+         sum(CASE WHEN before IS NULL THEN 50 ELSE least(50, pos - before) END) AS n_repeated
+  FROM hit GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_repeated, 0)::BIGINT AS n_repeated, coalesce(n_spans, 0)::BIGINT AS n_spans
+FROM listed LEFT JOIN spans USING (doc_id)
+"""
