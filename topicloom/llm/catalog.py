@@ -16,6 +16,8 @@ from topicloom.llm import line_runs as L
 from topicloom.llm import minhash_forest as H
 from topicloom.llm import rans_tokens as A
 from topicloom.llm import sparse_suffixes as X
+from topicloom.llm import warc as W
+from topicloom.llm.staging import folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -195,3 +197,34 @@ WITH listed AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_repeated, 0)::BIGINT AS n_repeated, coalesce(n_spans, 0)::BIGINT AS n_spans
 FROM listed LEFT JOIN spans USING (doc_id)
 """
+
+
+@query
+def op10_warc_derivatives(spark, sf):
+    """Per page the ids that link its response, metadata and conversion records, from the files they were written to."""
+    sources = W.responses(table(spark, sf, "pages"))
+    path = folder(spark)
+    W.write_files(W.derivatives(sources), path)
+    read = W.read_files(spark, path)
+    meta = F.from_json("block", "payload struct<stated:string,computed:string,length:bigint>, conversion string, title string, links array<string>")
+    own = read.select("refers_to", "kind", "record_id", "target_uri", "block", F.when(F.col("kind") == "metadata", meta).alias("m"))
+    # each response has one record of a kind; rows that repeat a page repeat its records, hence the dropped copies
+    left = own.filter("kind = 'metadata'").select("refers_to", F.col("record_id").alias("metadata_id"), "target_uri", "m").dropDuplicates(["metadata_id"])
+    right = own.filter("kind = 'conversion'").select("refers_to", F.col("record_id").alias("conversion_id"), F.length("block").cast("bigint").alias("text_chars"), F.sha2("block", 256).alias("text_sha256")).dropDuplicates(["conversion_id"])
+    ids = sources.select("page_id", F.col("record_id").alias("response_id"))
+    both = ids.join(left, F.col("response_id") == left["refers_to"]).drop("refers_to").join(right, F.col("response_id") == right["refers_to"]).drop("refers_to")
+    return both.select(
+        "page_id",
+        "response_id",
+        "metadata_id",
+        "conversion_id",
+        (F.col("m.conversion") == F.col("conversion_id")).alias("linked"),
+        F.col("target_uri").alias("url"),
+        F.col("m.payload.stated").alias("payload_digest"),
+        (F.col("m.payload.stated") == F.col("m.payload.computed")).alias("digest_agrees"),
+        F.col("m.payload.length").alias("payload_bytes"),
+        F.col("m.title").alias("title"),
+        F.size("m.links").cast("bigint").alias("n_links"),
+        "text_chars",
+        "text_sha256",
+    )
