@@ -44,21 +44,13 @@ class Table:
         used = np.flatnonzero(counts)
         if total:
             freq[used] = np.maximum(1, (counts[used].astype(np.float64) / total * room).astype(np.int64))
-            spare = room - int(freq.sum())
-            if spare > 0:
-                freq[used[np.argmax(counts[used])]] += spare
-            while spare < 0:  # take from the largest, in proportion
-                can = freq - 1
-                cut = np.minimum(can, np.ceil(can * (-spare / can.sum())).astype(np.int64))
-                excess = int(cut.sum()) + spare
-                for k in np.flatnonzero(cut)[:: -1] if excess else ():
-                    back = min(excess, int(cut[k]))
-                    cut[k] -= back
-                    excess -= back
-                    if not excess:
-                        break
-                freq -= cut
-                spare = room - int(freq.sum())
+            excess = int(freq.sum()) - room
+            if excess < 0:
+                freq[used[np.argmax(counts[used])]] -= excess
+            elif excess > 0:  # take from all in proportion to what they hold above 1, the rest from the largest
+                freq -= (freq - 1) * (freq > 0) * excess // int((freq[used] - 1).sum())
+                rest = int(freq.sum()) - room
+                freq[np.argsort(-freq, kind="stable")[:rest]] -= 1
         self.freq = freq.astype(np.uint64)
         self.below = (np.cumsum(freq) - freq).astype(np.uint64)
         self.id_of = np.repeat(np.arange(len(freq), dtype=np.uint32), freq)
