@@ -14,10 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicloom.operators.metrics import argmax
-from topicloom.runtime import FACTOR_CELL_LIMIT, DataValidationError, merge_partitions
+from topicloom.runtime import DataValidationError, merge_partitions
 
 DOCUMENTS_PER_TASK = 5_000
 
+SLICE = 1_000  # documents the bound is worked out for at a time
+
+# The settings of the two trainers.
 PRESETS = {
     "standard": dict(k=10, passes=20, chunk_size=2000),
     "small": dict(k=5, passes=10, chunk_size=100),
@@ -92,23 +95,23 @@ def likelihood_bound(model: LDAModel, bags: DataFrame) -> float:
 
         log_beta, alpha = shared.value
         for batch in batches:
-            offsets = batch.column("idx").offsets.to_numpy()
-            columns = batch.column("idx").flatten().to_numpy(zero_copy_only=False)
-            values = batch.column("val").flatten().to_numpy(zero_copy_only=False)
-            theta = batch.column("w").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(alpha))
             bound = tokens = 0.0
-            for row in range(batch.num_rows):
-                start, stop = offsets[row] - offsets[0], offsets[row + 1] - offsets[0]
-                n = values[start:stop]
-                if not len(n):
+            for part in (batch.slice(a, SLICE) for a in range(0, batch.num_rows, SLICE)):
+                lengths = np.diff(part.column("idx").offsets.to_numpy())
+                columns = part.column("idx").flatten().to_numpy(zero_copy_only=False)
+                values = part.column("val").flatten().to_numpy(zero_copy_only=False)
+                theta = part.column("w").flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, len(alpha))
+                theta, lengths = theta[lengths > 0], lengths[lengths > 0]
+                if not len(lengths):
                     continue
-                gamma = theta[row] * (alpha.sum() + n.sum())
-                log_theta = digamma(gamma) - digamma(gamma.sum())
-                scores = log_theta[:, None] + log_beta[:, columns[start:stop]]
-                top = scores.max(axis=0)
-                bound += float(n @ (top + np.log(np.exp(scores - top).sum(axis=0))))
+                n = np.add.reduceat(values, np.cumsum(lengths) - lengths)
+                gamma = theta * (alpha.sum() + n)[:, None]
+                log_theta = digamma(gamma) - digamma(gamma.sum(axis=1, keepdims=True))
+                scores = np.repeat(log_theta, lengths, axis=0) + log_beta.T[columns]
+                top = scores.max(axis=1)
+                bound += float(values @ (top + np.log(np.exp(scores - top[:, None]).sum(axis=1))))
                 bound += float(((alpha - gamma) * log_theta + log_gamma(gamma) - log_gamma(alpha)).sum())
-                bound += float(log_gamma(alpha.sum()) - log_gamma(gamma.sum()))
+                bound += float((log_gamma(alpha.sum()) - log_gamma(gamma.sum(axis=1))).sum())
                 tokens += float(n.sum())
             yield pa.RecordBatch.from_arrays([pa.array([bound]), pa.array([tokens])], names=["bound", "tokens"])
 
@@ -137,30 +140,36 @@ def fit_lda(
     k: int = 10,
     passes: int = 20,
     chunk_size: int = 2000,
-    max_batches: int = 8,
     decay: float = 0.5,
     offset: float = 10.0,
     learn_priors: bool = True,
+    topic_prior: float | None = None,
     seed: int = 42,
 ) -> LdaTopics:
-    """Fit on (doc_id, features) of term counts. A pass is cut into batches of ``chunk_size`` documents but into
-    no more than ``max_batches``, because every batch samples the whole corpus once."""
-    width = vocab.count()
-    if width == 0:
+    """Fit on (doc_id, features) of term counts. A pass is ``documents / chunk_size`` batches. Every batch reads the whole
+    cached table and samples it with replacement, so a large corpus wants a ``chunk_size`` that grows with it, and a pass
+    does not meet every document exactly once. ``topic_prior`` is 1/k unless given.
+
+    Spark ML keeps the k x V topic weights on the driver and in every task: the caller bounds the dictionary.
+    ``bags`` stays cached if it was; otherwise it is cached for the fit only."""
+    if vocab.isEmpty():
         raise DataValidationError("the dictionary is empty")
-    if width * k > FACTOR_CELL_LIMIT:
-        raise DataValidationError(f"{k} x {width} topic weights exceed {FACTOR_CELL_LIMIT} cells; prune the dictionary")
-    held = bags.persist()
-    n = held.count()
-    if n == 0:
-        raise DataValidationError("no documents")
-    batches = max(1, min(max_batches, math.ceil(n / chunk_size)))
-    lda = LDA(
-        k=k, maxIter=passes * batches, optimizer="online", subsamplingRate=min(1.0, 1.0 / batches), learningDecay=decay,
-        learningOffset=offset, optimizeDocConcentration=learn_priors, topicConcentration=1.0 / k, seed=seed, featuresCol="features",
-    )
-    model = lda.fit(merge_partitions(held, n // DOCUMENTS_PER_TASK))
-    held.unpersist()
+    cached = bags.storageLevel.useMemory or bags.storageLevel.useDisk
+    held = bags if cached else bags.persist()
+    try:
+        n = held.count()
+        if n == 0:
+            raise DataValidationError("no documents")
+        batches = max(1, math.ceil(n / chunk_size))
+        lda = LDA(
+            k=k, maxIter=passes * batches, optimizer="online", subsamplingRate=min(1.0, 1.0 / batches), learningDecay=decay,
+            learningOffset=offset, optimizeDocConcentration=learn_priors, seed=seed, featuresCol="features",
+            topicConcentration=1.0 / k if topic_prior is None else topic_prior,
+        )
+        model = lda.fit(merge_partitions(held, n // DOCUMENTS_PER_TASK))
+    finally:
+        if not cached:
+            held.unpersist()
     return LdaTopics(model, vocab.select("term_id", "term"))
 
 

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from topicloom.functions.tokens import word_ngrams
 from topicloom.operators.vocab import doc_term, share_of, term_stats, with_term_ids
 from topicloom.runtime import BROADCAST_ROW_LIMIT, DataValidationError, bounded, by_document
 
+# The settings of the vectorizers.
 PRESETS = {
     "default": dict(ngram_range=(1, 2), min_df=2, max_df=0.95, max_features=10_000),
     "tfidf": dict(ngram_range=(1, 1), min_df=3, max_df=0.9, max_features=30_000),
@@ -87,13 +89,24 @@ class TfidfModel:
         return sparse_rows(self.transform(placed, partitioned=True), placed)
 
     def bags(self, docs: DataFrame) -> DataFrame:
-        """(doc_id, features) with plain term counts as vectors for Spark ML."""
-        terms = [r.term for r in self.feature_names().limit(BROADCAST_ROW_LIMIT + 1).collect()]
-        if not 0 < len(terms) <= BROADCAST_ROW_LIMIT:
-            raise DataValidationError("vectors need a non-empty vocabulary within the broadcast bound; set max_features")
+        """(doc_id, features) with plain term counts as vectors for Spark ML. A vocabulary within BROADCAST_ROW_LIMIT is sent
+        to the tasks and each document counted in place; a larger one is joined to the counts by shuffle."""
+        width = self.vocab.count()
+        if width == 0:
+            raise DataValidationError("the vocabulary is empty")
         grams = select_grams(docs, self.ngram_range, self.stop_words)
-        model = CountVectorizerModel.from_vocabulary(terms, inputCol="tokens", outputCol="features")
-        return model.transform(grams).select("doc_id", "features")
+        if width <= BROADCAST_ROW_LIMIT:
+            terms = [r.term for r in self.feature_names().collect()]
+            model = CountVectorizerModel.from_vocabulary(terms, inputCol="tokens", outputCol="features")
+            return model.transform(grams).select("doc_id", "features")
+        counts = doc_term(grams).join(self.vocab.select("term", "term_id"), "term")
+        rows = sparse_rows(counts.select("doc_id", "term_id", F.col("tf").cast("double").alias("w")), docs)
+
+        @F.udf(VectorUDT())
+        def vector(idx, val):
+            return SparseVector(width, idx, val)
+
+        return rows.select("doc_id", vector("idx", "val").alias("features"))
 
 
 def sparse_rows(weights: DataFrame, docs: DataFrame) -> DataFrame:

@@ -63,6 +63,13 @@ def require_no_duplicates(df: DataFrame) -> DataFrame:
     return df
 
 
+def require_unique(df: DataFrame, key: str) -> DataFrame:
+    n = duplicate_count(df.select(key)).first()["n_duplicates"]
+    if n > 0:
+        raise DataValidationError(f"{n} rows repeat a {key}")
+    return df
+
+
 def drop_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
@@ -98,12 +105,16 @@ def validated(
     expected: Iterable[str] = (),
     allow_duplicates: bool = False,
     extra_checks: Iterable[Callable[[DataFrame], DataFrame]] = (),
+    key: str | None = None,
 ) -> DataFrame:
     """Columns, nulls, duplicates, then the caller's checks; returns the trimmed table. A check takes
-    the table and returns it, or raises."""
+    the table and returns it, or raises. A ``key`` has to be unique in any case, and rows that differ in nothing
+    but the key are duplicates."""
     require_no_nulls(require_columns(df, expected))
+    if key is not None:
+        require_unique(df, key)
     if not allow_duplicates:
-        require_no_duplicates(df)
+        require_no_duplicates(df if key is None else df.drop(key))
     for check in extra_checks:
         df = check(df)
     return trim_strings(df)

@@ -121,7 +121,9 @@ def corpus_stopwords(
 
     idf = stats.select("term", smooth_idf(F.col("df"), n_docs).alias("idf"))
     weights = weigh(doc_term(docs), idf)
-    light = mean_tfidf(weights, n_docs).orderBy("mean_tfidf", "term").limit(low_n).select("term")
+    # sums of floating numbers end differently in other partitions: ties are told on rounded ones
+    means = mean_tfidf(weights, n_docs).withColumn("mean_tfidf", F.round("mean_tfidf", 12))
+    light = means.orderBy("mean_tfidf", "term").limit(low_n).select("term")
 
     found = frequent.union(common).union(light).distinct()
     return found.filter(~F.col("term").isin(list(defaults))).select(F.col("term").alias("word"))

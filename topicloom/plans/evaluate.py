@@ -16,6 +16,8 @@ from topicloom.operators.silhouette import silhouette, silhouette_squared
 
 METRICS = "model string, model_ord int, metric string, value double, error string"
 
+HOOK_ROWS = 1_000
+
 # A custom metric: (topics, doc_topics, docs) -> DataFrame(metric, value).
 Hook = Callable[[DataFrame, DataFrame, DataFrame], DataFrame]
 
@@ -38,10 +40,11 @@ def _number(df: DataFrame) -> float | None:
 
 
 def evaluate(
-    candidate: Candidate, docs: DataFrame, order: int = 0, squared_silhouette: bool = False, hooks: Sequence[Hook] = ()
+    candidate: Candidate, docs: DataFrame, order: int = 0, squared_silhouette: bool = True, hooks: Sequence[Hook] = ()
 ) -> DataFrame:
-    """The metric record of one model in long form. A metric that fails is null and does not stop the others.
-    ``squared_silhouette`` swaps the quadratic silhouette for its linear relative under its own name."""
+    """The metric record of one model in long form. A metric that fails is null with the reason in ``error`` and does not stop
+    the others. The silhouette is the linear one of squared distances under its own name; ``squared_silhouette=False``
+    asks for the exact one, whose work grows with the square of the documents."""
     spark = docs.sparkSession
     started = time.time()
     topics = candidate.topics.persist()
@@ -63,15 +66,17 @@ def evaluate(
     def measured(name: str) -> tuple:
         try:
             return (candidate.name, order, name, measures[name](), None)
-        except Exception:  # noqa: BLE001 - a failed metric is reported as null
-            return (candidate.name, order, name, None, None)
+        except Exception as error:  # noqa: BLE001 - a failed metric is reported as null
+            return (candidate.name, order, name, None, f"{type(error).__name__}: {error}"[:500])
 
     # The metrics are independent jobs of many short stages; run together they fill each other's gaps.
     with ThreadPoolExecutor(len(measures)) as pool:
         rows = list(pool.map(measured, measures))
     for hook in hooks:
-        for row in hook(topics, weights, docs).collect():  # a custom metric returns a few named numbers
-            rows.append((candidate.name, order, row.metric, float(row.value), None))
+        found = hook(topics, weights, docs).take(HOOK_ROWS + 1)
+        if len(found) > HOOK_ROWS:
+            raise ValueError(f"a custom metric returns at most {HOOK_ROWS} numbers")
+        rows += [(candidate.name, order, row.metric, float(row.value), None) for row in found]
     rows.append((candidate.name, order, "evaluation_time", time.time() - started, None))
     topics.unpersist()
     weights.unpersist()
@@ -101,5 +106,7 @@ def compare(
 
 
 def model_status(metrics: DataFrame) -> DataFrame:
-    """One row per model with its error, if any: (model, error)."""
-    return metrics.groupBy("model").agg(F.max("error").alias("error"))
+    """One row per model with its error, if any: (model, error). A model failed if it has no metric without error; one metric
+    that failed does not fail the model."""
+    whole = F.when(F.count_if(F.col("error").isNull()) == 0, F.max("error"))
+    return metrics.groupBy("model").agg(whole.alias("error"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from topicloom.functions.stopwords import merged_stopwords
 from topicloom.models.lda import LdaTopics, fit_lda, save_lda
 from topicloom.models.nmf import NmfModel, dominant_topic, fit_nmf, save_nmf
+from topicloom.models.tuning import grid_search_lda
 from topicloom.operators import metrics as M
 from topicloom.operators.tfidf import PRESETS, TfidfModel, fit_tfidf, save_tfidf
 from topicloom.operators.validate import quality_summary, validated
@@ -39,23 +40,31 @@ def train(
     lda_topics: int = 10,
     nmf_topics: int = 10,
     preset: str = "tfidf",
-    dictionary_size: int = 100_000,
+    dictionary_size: int | None = None,
     stopwords: Sequence[str] | None = None,
     allow_duplicates: bool = False,
     lda_options: dict | None = None,
     nmf_options: dict | None = None,
-    squared_silhouette: bool = False,
+    squared_silhouette: bool = True,
+    optimize_counts: Iterable[int] | None = None,
 ) -> Trained:
-    """Train LDA on term counts and NMF on TF-IDF of (doc_id, text) and compare them. The LDA dictionary is not pruned by
-    document frequency, only capped. With ``path`` (shared storage) everything is written below it."""
-    checked = validated(docs, ["doc_id", text], allow_duplicates)
+    """Train LDA on term counts and NMF on TF-IDF of (doc_id, text) and compare them. The LDA dictionary holds every term of
+    the corpus unless ``dictionary_size`` limits it to the most frequent ones. With ``optimize_counts`` (for instance
+    ``TOPIC_ONLY_COUNTS``) the number of LDA topics is the one of the best c_v among them. ``doc_id`` has to be unique;
+    texts that repeat are rejected unless ``allow_duplicates``. With ``path`` (shared storage) everything is written below it."""
+    checked = validated(docs, ["doc_id", text], allow_duplicates, key="doc_id")
     done = fit_preprocess(checked, text=text, stopwords=stopwords)
     tokens = done.tokens
     words = merged_stopwords() if stopwords is None else list(stopwords)
 
     dictionary = fit_tfidf(tokens, (1, 1), 1, 1.0, dictionary_size)
     bags = dictionary.bags(tokens).persist()
-    lda = fit_lda(bags, dictionary.vocab, **{"k": lda_topics, **(lda_options or {})})
+    options = {"k": lda_topics, **(lda_options or {})}
+    if optimize_counts is not None:
+        options.pop("k")
+        lda = grid_search_lda(tokens, bags, dictionary.vocab, optimize_counts, **options).model
+    else:
+        lda = fit_lda(bags, dictionary.vocab, **options)
 
     vectorizer = fit_tfidf(tokens, stop_words=words, **PRESETS[preset])
     rows = vectorizer.arrays(tokens, partitioned=True).persist()

@@ -8,8 +8,9 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A lookup table is broadcast only after it was counted and found to be within this many rows.
+# A lookup table is broadcast only after it was counted and found to be within this many rows and bytes.
 BROADCAST_ROW_LIMIT = 500_000
+BROADCAST_BYTE_LIMIT = 128 << 20
 
 # A k x V factor matrix is held by the driver and every task only within this many cells (8 bytes each).
 FACTOR_CELL_LIMIT = 32_000_000
@@ -28,8 +29,12 @@ def bounded(table: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
 
 
 def is_small(table: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> bool:
-    """True if ``table`` has at most ``max_rows`` rows; reads no further than one row beyond."""
-    return table.limit(max_rows + 1).count() <= max_rows
+    """True if the cached ``table`` has at most ``max_rows`` rows and takes at most BROADCAST_BYTE_LIMIT bytes. The count fills
+    the cache, whose size Spark then knows; it is combined in the map tasks, so no task reads the rows of another."""
+    if table.count() > max_rows:
+        return False
+    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= BROADCAST_BYTE_LIMIT
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -19,11 +19,11 @@ def read_csv(
     schema: T.StructType | str | None = None,
     delimiter: str = ",",
     encoding: str = "utf-8",
-    multiline: bool = True,
+    multiline: bool = False,
 ) -> DataFrame:
     """Quoted CSV with a header. Without a schema all columns are strings, so that no extra pass
-    infers types. ``multiline=False`` lets Spark split large files that have no line breaks
-    inside quotes."""
+    infers types. ``multiline=True`` is for files with line breaks inside quotes; Spark then reads each
+    file in one task."""
     reader = spark.read.options(
         header=True, sep=delimiter, encoding=encoding, quote='"', escape='"', multiLine=multiline
     )
@@ -31,13 +31,14 @@ def read_csv(
 
 
 def _unquoted_lines(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
-    """Header fields and the other non-empty lines; every file may start with the header."""
-    lines = spark.read.text(path)
-    header = lines.first()
+    """Header fields and the other non-empty lines. The first line of every file is its header; a later line equal to it
+    is a row. The CSV reader, given a separator that no text holds, knows where a file starts."""
+    header = spark.read.text(path).first()
     if header is None:
         raise DataValidationError(f"no header in {path}")
-    rows = lines.filter((F.col("value") != header.value) & (F.col("value") != ""))
-    return header.value.split("\t"), rows
+    whole = {"header": "true", "sep": "\u0001\u0002\u0001", "quote": "", "escape": "", "comment": "", "enforceSchema": "true"}
+    rows = spark.read.schema("value string").options(**whole).csv(path)
+    return header.value.split("\t"), rows.filter("value IS NOT NULL AND value != ''")
 
 
 def read_tsv(spark: SparkSession, path: str) -> DataFrame:
