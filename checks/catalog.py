@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from topicloom.functions import text as T
@@ -117,7 +118,7 @@ def ragged_lines(spark, sf):
 @query
 def parse_token_lists(spark, sf):
     rendered = F.concat(F.lit("['"), F.array_join("tokens", "', '"), F.lit("']"))
-    stored = corpus(spark, sf).filter(F.size("tokens") > 0).select("doc_id", rendered.alias("tokens"))
+    stored = corpus(spark, sf).select("doc_id", F.when(F.size("tokens") == 0, F.lit("[]")).otherwise(rendered).alias("tokens"))
     return readers.load_tokens(stored).select(
         "doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), K.join_tokens(F.col("tokens")).alias("joined")
     )
@@ -429,39 +430,101 @@ def batch_vectors(spark, sf):
 # --- models
 
 
-def _matrix(spark, sf, preset="search"):
+def _matrix(spark, sf, preset="tfidf"):
     docs = corpus(spark, sf)
     model = I.fit_tfidf(docs, stop_words=merged_stopwords(), **I.PRESETS[preset])
     return docs, model, model.arrays(docs, partitioned=True).persist()
 
 
+def given_h(spark, sf, vectorizer):
+    """Topic weights over the vocabulary from the tables: a thousandth of the document frequencies of the language topics."""
+    known = lang_topics(spark, sf).join(vectorizer.vocab.select("term", "term_id"), "term").collect()  # 40 rows
+    h = np.zeros((len(LANGS), vectorizer.vocab.count()))
+    for row in known:
+        h[row.topic_id, row.term_id] = row.weight / 1000
+    return h
+
+
+def given_model(spark, sf, vectorizer, **options):
+    return N.NmfModel(N.NmfParams(k=len(LANGS), inner_iter=2, **options), given_h(spark, sf, vectorizer), vectorizer.vocab)
+
+
+def topic_shape(topics):
+    """What holds for the top words of any fitted model: ranks without gaps, weights that do not rise, known words."""
+    rank = Window.partitionBy("topic_id").orderBy("rank")
+    rows = topics.withColumn("falls", F.col("weight") <= F.coalesce(F.lag("weight").over(rank), F.col("weight")))
+    return rows.groupBy(F.col("topic_id").cast("int").alias("topic_id")).agg(
+        F.count(F.lit(1)).alias("n_terms"), F.count_distinct("term").alias("n_different"), F.min("rank").cast("int").alias("first"),
+        F.max("rank").cast("int").alias("last"), F.every("falls").alias("falling"), F.every(F.col("weight") >= 0).alias("non_negative"),
+    )
+
+
 @query
 def nmf_topics(spark, sf):
+    """A property row for each fitted topic; the values of the solver are checked by the queries with a given H."""
     _, vectorizer, rows = _matrix(spark, sf)
-    return N.fit_nmf(rows, vectorizer.vocab, k=6, max_iter=15).topics(10)
+    return topic_shape(N.fit_nmf(rows, vectorizer.vocab, k=6).topics(10))
 
 
 @query
 def nmf_kl_topics(spark, sf):
+    """As ``nmf_topics``, by the other loss."""
     _, vectorizer, rows = _matrix(spark, sf)
-    model = N.fit_nmf(rows, vectorizer.vocab, k=4, max_iter=8, beta_loss="kullback-leibler", inner_iter=10)
-    return model.topics(10)
+    return topic_shape(N.fit_nmf(rows, vectorizer.vocab, k=4, beta_loss="kullback-leibler", inner_iter=10).topics(10))
 
 
 @query
 def nmf_doc_topics(spark, sf):
+    """Properties of every document's fitted topics: as many shares as topics, of sum 1, or 0 without a known term."""
     _, vectorizer, rows = _matrix(spark, sf)
-    fitted = N.fit_nmf(rows, vectorizer.vocab, k=6, max_iter=15).document_topics(rows)
-    return fitted.select("doc_id", "dominant_topic", "dominant_probability")
+    fitted = N.fit_nmf(rows, vectorizer.vocab, k=6).document_topics(rows)
+    total = F.aggregate("topic_distribution", F.lit(0.0), lambda a, x: a + x)
+    heaviest = F.col("topic_distribution")[F.col("dominant_topic")]
+    return fitted.select(
+        "doc_id",
+        F.size("topic_distribution").cast("bigint").alias("n_topics"),
+        F.round(total, 2).alias("total"),
+        (F.col("dominant_probability") == heaviest).alias("dominant_is_heaviest"),
+    )
 
 
 @query
 def nmf_losses(spark, sf):
-    """The loss of every pass and the final error of a fit."""
+    """Of both losses: that no pass of the full fit raises it, and that the error is finite and not negative."""
     _, vectorizer, rows = _matrix(spark, sf)
-    model = N.fit_nmf(rows, vectorizer.vocab, k=6, max_iter=15)
-    losses = [(i, float(x)) for i, x in enumerate(model.losses)]
-    return spark.createDataFrame([*losses, (-1, model.reconstruction_error)], "iteration int, value double")
+    found = []
+    for loss in U.GRID_LOSSES:
+        model = N.fit_nmf(rows, vectorizer.vocab, k=6, beta_loss=loss)
+        falling = all(b <= a * (1 + 1e-9) for a, b in zip(model.losses, model.losses[1:]))
+        found.append((loss, falling, len(model.losses) > 1, bool(np.isfinite(model.reconstruction_error) and model.reconstruction_error >= 0)))
+    return spark.createDataFrame(found, "loss string, falling boolean, several boolean, error_is_finite boolean")
+
+
+def _weights(solved):
+    return rounded(solved.select("doc_id", F.posexplode("w").alias("topic_id", "weight")), "weight")
+
+
+@query
+def nmf_solve_given_h(spark, sf):
+    """The rows of W for a given H: two multiplicative steps of the solver."""
+    _, vectorizer, rows = _matrix(spark, sf)
+    return _weights(given_model(spark, sf, vectorizer).transform(rows))
+
+
+@query
+def nmf_solve_kl_given_h(spark, sf):
+    _, vectorizer, rows = _matrix(spark, sf)
+    return _weights(given_model(spark, sf, vectorizer, beta_loss="kullback-leibler").transform(rows))
+
+
+@query
+def nmf_step_given_h(spark, sf):
+    """One whole pass from a given H: the sums over all documents and the next H."""
+    _, vectorizer, rows = _matrix(spark, sf)
+    model = given_model(spark, sf, vectorizer)
+    upper, lower, _ = N._pass(rows, model.h, model.params)
+    model.h = N._update_h(model.h, upper, lower, model.params, 0.0, 0.0)
+    return rounded(model.topic_terms().filter("weight > 0").select("topic_id", "term", "weight"), "weight", digits=8)
 
 
 @query
@@ -491,36 +554,50 @@ def reconstruction_error(spark, sf):
 
 @query
 def nmf_predict(spark, sf):
-    """Unseen texts scored with a model trained on the documents."""
-    _, vectorizer, rows = _matrix(spark, sf)
-    model = N.fit_nmf(rows, vectorizer.vocab, k=6, max_iter=10)
+    """Unseen texts scored with the vocabulary of the documents and a given H: every predicted topic."""
+    _, vectorizer, _ = _matrix(spark, sf)
     unseen = table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
-    scored = S.predict(unseen, model, vectorizer, 3)
-    return scored.select("doc_id", "dominant_topic", F.round("confidence", 6).alias("confidence"))
+    return _predicted(S.predict(unseen, given_model(spark, sf, vectorizer), vectorizer, 3))
+
+
+def _predicted(scored):
+    rows = scored.select("doc_id", "dominant_topic", F.posexplode("topics").alias("pos", "t"))
+    flat = rows.select("doc_id", "dominant_topic", F.col("pos").cast("bigint").alias("pos"), "t.topic_id", F.col("t.probability").alias("weight"))
+    return rounded(flat, "weight")
 
 
 def _lda(spark, sf):
+    """Every term of the corpus, a preset of the trainer."""
     docs = corpus(spark, sf)
-    vectorizer = I.fit_tfidf(docs, (1, 1), 5, 0.5, 5000)
+    vectorizer = I.fit_tfidf(docs, (1, 1), 1, 1.0, None)
     bags = vectorizer.bags(docs).persist()
-    return docs, vectorizer, bags, L.fit_lda(bags, vectorizer.vocab, k=5, passes=4)
+    return docs, vectorizer, bags, L.fit_lda(bags, vectorizer.vocab, **L.PRESETS["standard"])
 
 
 @query
 def lda_topics(spark, sf):
-    return _lda(spark, sf)[3].topics(10)
+    """A property row for each topic, not the values: Spark's sampler decides those."""
+    return topic_shape(_lda(spark, sf)[3].topics(10))
 
 
 @query
 def lda_doc_topics(spark, sf):
+    """Properties: as many weights as topics, of sum 1, or 0 and topic -1 for a document without tokens."""
     _, _, bags, model = _lda(spark, sf)
-    return L.dominant_topics(model.transform(bags))
+    found = model.transform(bags).persist()
+    total = F.round(F.aggregate("w", F.lit(0.0), lambda a, x: a + x), 6) + F.lit(0.0)
+    sums = found.select("doc_id", F.size("w").cast("bigint").alias("n_topics"), total.alias("total"))
+    none = L.dominant_topics(found).select("doc_id", (F.col("dominant_topic") == -1).alias("none"))
+    return sums.join(none, "doc_id")
 
 
 @query
 def lda_perplexity(spark, sf):
-    _, _, bags, model = _lda(spark, sf)
-    return spark.createDataFrame([(model.log_perplexity(bags),)], "log_perplexity double")
+    """That the bound of a word is finite and below that of a certain one, and better than the uniform guess."""
+    _, vectorizer, bags, model = _lda(spark, sf)
+    bound = model.log_perplexity(bags)
+    better = bound > -float(np.log(vectorizer.vocab.count()))
+    return spark.createDataFrame([(bool(np.isfinite(bound)), bound < 0, better)], "finite boolean, negative boolean, informed boolean")
 
 
 @query
@@ -547,15 +624,25 @@ def predict_words(spark, sf):
     return entries.select("doc_id", "t.topic_id", F.array_join("t.topic_words.word", " ").alias("words"))
 
 
+def _turns(spark, sf):
+    """Conversation turns, those of the system role without text."""
+    text = F.when(F.col("role") != "system", F.col("text"))
+    return table(spark, sf, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), text.alias("text"))
+
+
 @query
 def predict_batch(spark, sf):
-    """Conversation turns, those of the system role without text, scored in bulk: counts of the outcome."""
-    _, vectorizer, rows = _matrix(spark, sf)
-    model = N.fit_nmf(rows, vectorizer.vocab, k=4, max_iter=5)
-    turns = table(spark, sf, "conversations")
-    text = F.when(F.col("role") != "user", F.col("text"))
-    docs = turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), text.alias("text"))
-    return S.batch_counts(S.predict_batch(docs, model, vectorizer))
+    """Conversation turns scored in bulk with a given H: every prediction, and the error of those without text."""
+    _, vectorizer, _ = _matrix(spark, sf)
+    scored = S.predict_batch(_turns(spark, sf), given_model(spark, sf, vectorizer), vectorizer)
+    flat = scored.select("doc_id", "error", F.coalesce("prediction.dominant_topic", F.lit(-1)).alias("dominant_topic"), F.col("prediction.confidence").alias("confidence"))
+    return rounded(flat, "confidence")
+
+
+@query
+def predict_batch_counts(spark, sf):
+    _, vectorizer, _ = _matrix(spark, sf)
+    return S.batch_counts(S.predict_batch(_turns(spark, sf), given_model(spark, sf, vectorizer), vectorizer))
 
 
 # --- evaluation
@@ -607,19 +694,15 @@ def silhouette_squared(spark, sf):
 
 @query
 def evaluate_models(spark, sf):
-    """The metric record of an NMF and an LDA model; the time is left out."""
-    docs, vectorizer, rows = _matrix(spark, sf)
-    nmf = N.fit_nmf(rows, vectorizer.vocab, k=4, max_iter=8)
-    bags = vectorizer.bags(docs).persist()
-    lda = L.fit_lda(bags, vectorizer.vocab, k=4, passes=3)
-    found, _, _ = G.compare(
-        [
-            ("NMF", lambda: G.Candidate("NMF", nmf.topics(), nmf.transform(rows), None, nmf.reconstruction_error)),
-            ("LDA", lambda: G.Candidate("LDA", lda.topics(), lda.transform(bags), lda.log_perplexity(bags))),
-        ],
-        docs,
-    )
-    return found.filter(F.col("metric") != "evaluation_time").select("model", "metric", "value")
+    """The metric records of two models made of the tables, one of which cannot be loaded; the time is left out."""
+
+    def broken():
+        raise ValueError("not there")
+
+    given = G.Candidate("given", lang_topics(spark, sf), topic_weights(spark, sf), -7.5, 12.25)
+    found, _, _ = G.compare([("given", lambda: given), ("broken", broken)], corpus(spark, sf))
+    kept = found.filter(~F.col("metric").isin("evaluation_time", "silhouette_squared"))
+    return rounded(kept.select("model", "metric", "value", "error"), "value", digits=4)
 
 
 @query
@@ -687,24 +770,32 @@ def latest_overall(spark, sf):
 # --- tuning
 
 
+def _run_shape(runs):
+    """Properties of a table of runs: each setting once with a finite score, the best one its maximum."""
+    best = runs.agg(F.max("value")).scalar()
+    return runs.select(
+        "max_features", "beta_loss", "k", "metric", F.coalesce(~F.isnan("value"), F.lit(False)).alias("scored"), (F.col("value") <= best).alias("within")
+    )
+
+
 @query
 def topic_sweep_lda(spark, sf):
     docs, vectorizer, bags, _ = _lda(spark, sf)
-    return U.sweep_table(U.sweep_lda(docs, bags, vectorizer.vocab, range(2, 5), passes=2)).select("k", "metric", "value")
+    return _run_shape(U.sweep_lda(docs, bags, vectorizer.vocab, U.LDA_COUNTS, passes=3))
 
 
 @query
 def topic_sweep_nmf(spark, sf):
     docs, vectorizer, rows = _matrix(spark, sf)
-    runs = U.sweep_nmf(docs, rows, vectorizer.vocab, range(2, 5), "reconstruction_error", max_iter=8)
-    return U.sweep_table(runs).select("k", "metric", "value")
+    return _run_shape(U.sweep_nmf(docs, rows, vectorizer.vocab, U.NMF_COUNTS, "reconstruction_error", tol=1e-3, inner_iter=10))
 
 
 @query
 def grid_search(spark, sf):
-    docs = corpus(spark, sf)
-    found = U.grid_search_nmf(docs, features=(500, 1000), counts=(3, 4), max_iter=5, inner_iter=10)
-    return U.best_run(found.runs).select("max_features", "beta_loss", "k", "value")
+    """The settings of the grid over the vocabulary sizes and losses, for the least and the largest topic count."""
+    counts = (U.GRID_COUNTS[0], U.GRID_COUNTS[-1])
+    found = U.grid_search_nmf(corpus(spark, sf), counts=counts, tol=1e-3, inner_iter=10)
+    return _run_shape(found.runs)
 
 
 def _runs(spark, sf):

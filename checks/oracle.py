@@ -198,7 +198,8 @@ ORACLE: dict[str, str] = {
         SELECT conv_id, turn, p[1] AS f0, p[2] AS f1, p[3] AS f2, p[4] AS f3
         FROM (SELECT conv_id, turn, string_split(replace(text, ' ', chr(9)), chr(9)) AS p FROM conversations) WHERE len(p) >= 4""",
     "parse_token_lists": f"""WITH {WORDS}
-        SELECT doc_id, count(*) AS n_tokens, string_agg(token, ' ' ORDER BY pos) AS joined FROM tok GROUP BY 1""",
+        SELECT d.doc_id, count(token) AS n_tokens, coalesce(string_agg(token, ' ' ORDER BY pos), '') AS joined
+        FROM documents d LEFT JOIN tok USING (doc_id) GROUP BY 1""",
     "parse_topics": f"WITH {TOPICS} SELECT topic_id, rank, term, weight FROM topics",
     "documents_with_topics": f"""WITH {DOC_WEIGHTS}
         SELECT doc_id, lang, source, top AS dominant_topic FROM documents JOIN dominant USING (doc_id)""",
@@ -334,9 +335,6 @@ ORACLE: dict[str, str] = {
         ranked AS (SELECT doc_id, topic_id, row_number() OVER (PARTITION BY doc_id ORDER BY w DESC, topic_id) AS pos FROM weights),
         listed AS (SELECT topic_id, string_agg(term, ' ' ORDER BY rank) AS words FROM topics WHERE rank <= 5 GROUP BY 1)
         SELECT doc_id, topic_id, words FROM ranked JOIN listed USING (topic_id) WHERE pos <= 2""",
-    "predict_batch": """
-        SELECT count(*) AS total_texts, count(*) FILTER (WHERE role <> 'user') AS successful_predictions FROM conversations""",
-    # --- evaluation
     "coherence_cv": f"""WITH {windows(110)},
         summed AS (SELECT topic_id, b, sum(v) AS s FROM npmi GROUP BY 1, 2),
         cosine AS (
@@ -419,3 +417,118 @@ ORACLE: dict[str, str] = {
     "tokens_difference": f"SELECT token FROM ({token_set('documents')} EXCEPT {token_set('conversations')}) WHERE token <> ''",
     "head_documents": "SELECT doc_id, lang, n_chars FROM documents ORDER BY doc_id LIMIT 100",
 }
+
+
+# --- models
+
+
+def topic_shape(k, n=10):
+    return f"""SELECT CAST(unnest(range({k})) AS INTEGER) AS topic_id, CAST({n} AS BIGINT) AS n_terms, CAST({n} AS BIGINT) AS n_different,
+        1::INTEGER AS first, {n}::INTEGER AS last, true AS falling, true AS non_negative"""
+
+
+def turns(table, doc_id, text):
+    """Tokens of another table as relation ``new_tok`` (doc_id, token), and its ids as ``new_docs``."""
+    return f"""
+new_docs AS (SELECT {doc_id} AS doc_id FROM {table} WHERE {text} IS NOT NULL),
+new_tok AS (
+  SELECT doc_id, token FROM (SELECT {doc_id} AS doc_id, unnest(string_split({clean(text)}, ' ')) AS token FROM {table} WHERE {text} IS NOT NULL)
+  WHERE length(token) >= 2 AND token NOT IN ({STOP}))"""
+
+
+OWN_TOKENS = """
+new_docs AS (SELECT doc_id FROM documents),
+new_tok AS (SELECT doc_id, token FROM tok)"""
+
+
+def solved(new, loss="frobenius"):
+    """TF-IDF of the new tokens over the vocabulary of the documents, H of the language topics, and W after two steps."""
+    start = "z / (total + 1e-10)" if loss == "frobenius" else "z / (mass * (SELECT avg(mass) FROM sums) + 1e-10)"
+    steps = []
+    for i in (1, 2):
+        if loss == "frobenius":
+            steps.append(f"""
+w{i} AS (
+  SELECT a.doc_id, a.topic_id, a.z, a.w * greatest(a.z, 0) / (sum(b.w * g.g) + 1e-10) AS w
+  FROM w{i - 1} a JOIN w{i - 1} b ON a.doc_id = b.doc_id JOIN gram g ON g.t = b.topic_id AND g.s = a.topic_id
+  GROUP BY a.doc_id, a.topic_id, a.z, a.w)""")
+        else:
+            steps.append(f"""
+fit{i} AS (SELECT x.doc_id, x.term, x.x / (sum(w.w * h.h) + 1e-10) AS ratio
+  FROM x JOIN h USING (term) JOIN w{i - 1} w ON w.doc_id = x.doc_id AND w.topic_id = h.topic_id GROUP BY x.doc_id, x.term, x.x),
+w{i} AS (
+  SELECT a.doc_id, a.topic_id, a.z, a.w * coalesce(sum(f.ratio * h.h), 0) / (m.mass + 1e-10) AS w
+  FROM w{i - 1} a JOIN sums m USING (topic_id)
+  LEFT JOIN (fit{i} f JOIN h USING (term)) ON f.doc_id = a.doc_id AND h.topic_id = a.topic_id
+  GROUP BY a.doc_id, a.topic_id, a.z, a.w, m.mass)""")
+    return f"""{TOPICS},{stats()},{vocab(3, 0.9, 30000)},
+h AS (SELECT topic_id, term, weight / 1000 AS h FROM topics JOIN vocab USING (term)),
+ids AS (SELECT unnest([0, 1, 2, 3]) AS topic_id),
+gram AS (SELECT a.topic_id AS t, b.topic_id AS s, coalesce(sum(p.h * q.h), 0) AS g
+  FROM ids a CROSS JOIN ids b LEFT JOIN (h p JOIN h q ON p.term = q.term) ON p.topic_id = a.topic_id AND q.topic_id = b.topic_id GROUP BY 1, 2),
+sums AS (SELECT topic_id, coalesce((SELECT sum(g) FROM gram WHERE t = topic_id), 0) AS total,
+  coalesce((SELECT sum(h) FROM h WHERE h.topic_id = ids.topic_id), 0) AS mass FROM ids),{new},
+y AS (SELECT doc_id, term, count(*) * any_value(idf) AS y FROM new_tok JOIN vocab ON term = token GROUP BY 1, 2),
+x AS (SELECT doc_id, term, y / sqrt(sum(y * y) OVER (PARTITION BY doc_id)) AS x FROM y),
+target AS (SELECT doc_id, topic_id, sum(x * h) AS z FROM x JOIN h USING (term) GROUP BY 1, 2),
+w0 AS (
+  SELECT doc_id, topic_id, z, {start} AS w
+  FROM (SELECT d.doc_id, s.topic_id, coalesce(z, 0) AS z, total, mass
+        FROM new_docs d CROSS JOIN sums s LEFT JOIN target t ON t.doc_id = d.doc_id AND t.topic_id = s.topic_id)),{",".join(steps)},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY w DESC, topic_id) - 1 AS pos FROM w2)"""
+
+
+def runs_shape(settings):
+    """Rows of (max_features, beta_loss, k) as made by ``settings``."""
+    return f"SELECT *, true AS scored, true AS within FROM ({settings})"
+
+
+ORACLE |= {
+    "nmf_topics": topic_shape(6),
+    "nmf_kl_topics": topic_shape(4),
+    "lda_topics": topic_shape(10),
+    "nmf_doc_topics": f"""WITH {WORDS},{stats()},{vocab(3, 0.9, 30000)},
+        known AS (SELECT DISTINCT doc_id FROM tok JOIN vocab ON token = term)
+        SELECT d.doc_id, CAST(6 AS BIGINT) AS n_topics, CASE WHEN k.doc_id IS NULL THEN 0.0 ELSE 1.0 END AS total, true AS dominant_is_heaviest
+        FROM documents d LEFT JOIN known k USING (doc_id)""",
+    "nmf_losses": """SELECT unnest(['frobenius', 'kullback-leibler']) AS loss, true AS falling, true AS several, true AS error_is_finite""",
+    "nmf_solve_given_h": f"WITH {solved(OWN_TOKENS)} SELECT doc_id, topic_id, {r('w')} AS weight FROM w2",
+    "nmf_solve_kl_given_h": f"WITH {solved(OWN_TOKENS, 'kl')} SELECT doc_id, topic_id, {r('w')} AS weight FROM w2",
+    "nmf_step_given_h": f"""WITH {solved(OWN_TOKENS)},
+        upper AS (SELECT topic_id, term, sum(w * x) AS u FROM w2 JOIN x USING (doc_id) GROUP BY 1, 2),
+        lower AS (SELECT a.topic_id AS t, b.topic_id AS s, sum(a.w * b.w) AS l FROM w2 a JOIN w2 b ON a.doc_id = b.doc_id GROUP BY 1, 2),
+        h1 AS (SELECT a.topic_id, a.term, a.h * greatest(u, 0) / (sum(l * b.h) + 1e-10) AS h
+          FROM h a JOIN upper USING (topic_id, term) JOIN h b ON b.term = a.term JOIN lower ON t = a.topic_id AND s = b.topic_id
+          GROUP BY a.topic_id, a.term, a.h, u),
+        h2 AS (SELECT a.topic_id, a.term, a.h * greatest(u, 0) / (sum(l * b.h) + 1e-10) AS h
+          FROM h1 a JOIN upper USING (topic_id, term) JOIN h1 b ON b.term = a.term JOIN lower ON t = a.topic_id AND s = b.topic_id
+          GROUP BY a.topic_id, a.term, a.h, u)
+        SELECT topic_id, term, {r('h', 8)} AS weight FROM h2 WHERE h > 0""",
+    "nmf_predict": f"""WITH {solved(turns('benchmark', 'item_id', 'text'))}
+        SELECT doc_id, first_value(topic_id) OVER (PARTITION BY doc_id ORDER BY pos) AS dominant_topic, pos, topic_id, {r('w')} AS weight
+        FROM ranked WHERE pos < 3""",
+    "predict_batch": f"""WITH {solved(turns("(SELECT *, CASE WHEN role <> 'system' THEN text END AS said FROM conversations)", 'conv_id * 1000 + turn', 'said'))}
+        SELECT c.conv_id * 1000 + c.turn AS doc_id, CASE WHEN role = 'system' OR text IS NULL THEN 'text is null' END AS error,
+               coalesce(topic_id, -1) AS dominant_topic, {r('w')} AS confidence
+        FROM conversations c LEFT JOIN ranked ON pos = 0 AND ranked.doc_id = c.conv_id * 1000 + c.turn""",
+    "predict_batch_counts": """
+        SELECT count(*) AS total_texts, count(text) FILTER (WHERE role <> 'system') AS successful_predictions FROM conversations""",
+    "lda_doc_topics": f"""WITH {WORDS}
+        SELECT d.doc_id, CAST(10 AS BIGINT) AS n_topics, CASE WHEN count(token) = 0 THEN 0.0 ELSE 1.0 END AS total, count(token) = 0 AS none
+        FROM documents d LEFT JOIN tok USING (doc_id) GROUP BY 1""",
+    "lda_perplexity": "SELECT true AS finite, true AS negative, true AS informed",
+    "evaluate_models": f"""WITH {TOPICS},
+        freq AS (SELECT token AS term, count(*) AS n FROM tok GROUP BY 1),
+        per_topic AS (SELECT topic_id, least(1.0, avg(coalesce(n, 0)) / 100) AS s FROM topics LEFT JOIN freq USING (term) GROUP BY 1),
+        cv AS (SELECT round(avg(coherence), 4) AS coherence FROM ({ORACLE["coherence_cv"]}))
+        SELECT 'given' AS model, metric, value, CAST(NULL AS VARCHAR) AS error FROM (
+          SELECT 'coherence_score' AS metric, (SELECT coherence FROM cv) AS value
+          UNION ALL SELECT 'topic_diversity', {r('CAST(count(DISTINCT term) AS DOUBLE) / count(*)', 4)} FROM topics
+          UNION ALL SELECT 'topic_intrusion_score', {r('avg(s)', 4)} FROM per_topic
+          UNION ALL SELECT 'perplexity', -7.5 UNION ALL SELECT 'reconstruction_error', 12.25 UNION ALL SELECT 'num_topics', 4.0)
+        UNION ALL SELECT 'broken', unnest(['topic_diversity', 'coherence_score', 'perplexity', 'silhouette_score', 'num_topics']), 0.0, 'not there'""",
+    "topic_sweep_lda": runs_shape("SELECT CAST(NULL AS INTEGER) AS max_features, CAST(NULL AS VARCHAR) AS beta_loss, CAST(unnest(range(5, 21)) AS INTEGER) AS k, 'coherence' AS metric"),
+    "topic_sweep_nmf": runs_shape("SELECT CAST(NULL AS INTEGER) AS max_features, 'frobenius' AS beta_loss, CAST(unnest(range(2, 11)) AS INTEGER) AS k, 'reconstruction_error' AS metric"),
+    "grid_search": runs_shape("""SELECT m AS max_features, l AS beta_loss, k, 'coherence' AS metric FROM (SELECT unnest([2000, 3000]) AS m)
+        CROSS JOIN (SELECT unnest(['frobenius', 'kullback-leibler']) AS l) CROSS JOIN (SELECT unnest([4, 12]) AS k)"""),
+}
