@@ -774,7 +774,7 @@ def _run_shape(runs):
     """Properties of a table of runs: each setting once with a finite score, the best one its maximum."""
     best = runs.agg(F.max("value")).scalar()
     return runs.select(
-        "max_features", "beta_loss", "k", "metric", F.coalesce(~F.isnan("value"), F.lit(False)).alias("scored"), (F.col("value") <= best).alias("within")
+        F.coalesce("max_features", F.lit(0)).alias("max_features"), F.coalesce("beta_loss", F.lit("-")).alias("beta_loss"), "k", "metric", F.coalesce(~F.isnan("value"), F.lit(False)).alias("scored"), (F.col("value") <= best).alias("within")
     )
 
 

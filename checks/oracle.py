@@ -527,8 +527,8 @@ ORACLE |= {
           UNION ALL SELECT 'topic_intrusion_score', {r('avg(s)', 4)} FROM per_topic
           UNION ALL SELECT 'perplexity', -7.5 UNION ALL SELECT 'reconstruction_error', 12.25 UNION ALL SELECT 'num_topics', 4.0)
         UNION ALL SELECT 'broken', unnest(['topic_diversity', 'coherence_score', 'perplexity', 'silhouette_score', 'num_topics']), 0.0, 'not there'""",
-    "topic_sweep_lda": runs_shape("SELECT CAST(NULL AS INTEGER) AS max_features, CAST(NULL AS VARCHAR) AS beta_loss, CAST(unnest(range(5, 21)) AS INTEGER) AS k, 'coherence' AS metric"),
-    "topic_sweep_nmf": runs_shape("SELECT CAST(NULL AS INTEGER) AS max_features, 'frobenius' AS beta_loss, CAST(unnest(range(2, 11)) AS INTEGER) AS k, 'reconstruction_error' AS metric"),
+    "topic_sweep_lda": runs_shape("SELECT 0 AS max_features, '-' AS beta_loss, CAST(unnest(range(5, 21)) AS INTEGER) AS k, 'coherence' AS metric"),
+    "topic_sweep_nmf": runs_shape("SELECT 0 AS max_features, 'frobenius' AS beta_loss, CAST(unnest(range(2, 11)) AS INTEGER) AS k, 'reconstruction_error' AS metric"),
     "grid_search": runs_shape("""SELECT m AS max_features, l AS beta_loss, k, 'coherence' AS metric FROM (SELECT unnest([2000, 3000]) AS m)
         CROSS JOIN (SELECT unnest(['frobenius', 'kullback-leibler']) AS l) CROSS JOIN (SELECT unnest([4, 12]) AS k)"""),
 }
