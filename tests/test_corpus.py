@@ -11,10 +11,16 @@ from topicloom.sources import readers, writers
 
 def test_csv(spark, tmp_path):
     (tmp_path / "c.csv").write_text('category,text\nnews,"a, ""b""\nc"\nsport,\n', encoding="utf-8")
-    rows = readers.read_csv(spark, str(tmp_path / "c.csv")).collect()
+    rows = readers.read_csv(spark, str(tmp_path / "c.csv"), multiline=True).collect()
     assert [(r.category, r.text) for r in rows] == [("news", 'a, "b"\nc'), ("sport", None)]
 
 
+def test_csv_without_line_breaks_can_be_split(spark, tmp_path):
+    (tmp_path / "c.csv").write_text('category,text\nnews,"a, ""b"""\nsport,\n', encoding="utf-8")
+    rows = readers.read_csv(spark, str(tmp_path / "c.csv")).collect()
+    assert [(r.category, r.text) for r in rows] == [("news", 'a, "b"'), ("sport", None)]
+
+
 TSV = "category\tfilename\ttitle\tcontent\nb\t1\tt\tshort \"quote\nb\t2\tt\tok\textra\nb\t3\tt\nb\t4\tt\tlast\n"
 
 
@@ -24,6 +30,13 @@ def test_tsv_skips_long_lines(spark, tmp_path):
     assert [(r.filename, r.content) for r in rows] == [("1", 'short "quote'), ("3", None), ("4", "last")]
 
 
+def test_a_row_equal_to_the_header_is_kept(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / f"{name}.tsv").write_text("x\ty\n1\t2\nx\ty\n")
+    rows = readers.read_tsv(spark, str(tmp_path)).collect()
+    assert sorted((r.x, r.y) for r in rows) == [("1", "2"), ("1", "2"), ("x", "y"), ("x", "y")]
+
+
 def test_ragged_tsv_keeps_long_lines(spark, tmp_path):
     (tmp_path / "c.tsv").write_text(TSV)
     rows = readers.read_ragged_tsv(spark, str(tmp_path / "c.tsv")).collect()
@@ -112,3 +125,15 @@ def test_relational(spark):
     assert R.difference(df.select("id"), df.filter("id < 3").select("id")).count() == 2
     assert [r.id for r in R.head(df, 2, "id").collect()] == [1, 2]
     assert [r.id for r in R.latest(df, 1, "id").collect()] == [4]
+
+
+def test_key_and_repeated_texts(spark):
+    from topicloom.operators.validate import validated
+
+    rows = lambda *r: spark.createDataFrame(list(r), "doc_id bigint, text string")
+    assert validated(rows((1, "a"), (2, "b")), ["text"], key="doc_id").count() == 2
+    with pytest.raises(DataValidationError, match="1 duplicate rows"):
+        validated(rows((1, "a"), (2, "a")), ["text"], key="doc_id")
+    assert validated(rows((1, "a"), (2, "a")), ["text"], True, key="doc_id").count() == 2
+    with pytest.raises(DataValidationError, match="repeat a doc_id"):
+        validated(rows((1, "a"), (1, "b")), ["text"], True, key="doc_id")

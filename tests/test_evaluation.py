@@ -190,7 +190,7 @@ def test_compare(spark, corpus):
     def hook(topics, doc_topics, tokens):
         return tokens.agg(F.lit("n").alias("metric"), F.count(F.lit(1)).alias("value"))
 
-    metrics, winners, _ = G.compare([("good", lambda: good), ("bad", lambda: 1 / 0)], docs, hooks=[hook])
+    metrics, winners, _ = G.compare([("good", lambda: good), ("bad", lambda: 1 / 0)], docs, hooks=[hook], squared_silhouette=False)
     values = {(r.model, r.metric): r.value for r in metrics.collect()}
     assert values["good", "topic_diversity"] == 1.0 and values["good", "silhouette_score"] == pytest.approx(1.0, abs=1e-7)
     assert values["good", "coherence_score"] == pytest.approx(1.0) and values["good", "perplexity"] is None

@@ -192,3 +192,25 @@ def test_tuning(spark, two_topics):
 def test_best_run_takes_the_first_of_ties(spark):
     runs = spark.createDataFrame([(i, "nmf", None, None, k, "c", v) for i, k, v in [(0, 2, 0.5), (1, 3, 0.9), (2, 4, 0.9)]], U.RUNS)
     assert U.best_run(runs).first().k == 3 and U.best_run(runs, False).first().k == 2
+
+
+def test_lda_leaves_the_cache_of_its_caller(spark, corpus):
+    docs = corpus(*["apple pear plum", "car bus train"] * 12)
+    vectorizer = I.fit_tfidf(docs, (1, 1), 1, 1.0, None)
+    bags = vectorizer.bags(docs).persist()
+    bags.count()
+    first = L.fit_lda(bags, vectorizer.vocab, k=2, passes=2, topic_prior=0.1)
+    assert bags.storageLevel.useMemory
+    loose = vectorizer.bags(docs)
+    L.fit_lda(loose, vectorizer.vocab, k=2, passes=2)
+    assert bags.storageLevel.useMemory
+    assert first.log_perplexity(bags) < 0
+
+
+def test_bags_of_a_large_vocabulary_are_the_same(spark, corpus, monkeypatch):
+    docs = corpus("a b b c", "c d", "", "x a")
+    model = I.fit_tfidf(docs, (1, 1), 1, 1.0, None)
+    plain = {r.doc_id: r.features for r in model.bags(docs).collect()}
+    monkeypatch.setattr(I, "BROADCAST_ROW_LIMIT", 2)
+    joined = {r.doc_id: r.features for r in model.bags(docs).collect()}
+    assert plain == joined
