@@ -1,6 +1,6 @@
 """Near-duplicates by an LSH forest. Each text has a MinHash signature; a tree of the forest sorts the signatures in an order
 of its own. Texts that share a long enough prefix there form a region; in a region a text is compared with its neighbours
-in the sorted order, whose common prefix is longest, and with the centre of the region, the text whose values are
+in the sorted order, whose common prefix is longest, and with the centres of the region, texts whose values are
 the most common. Regions deepen where they are crowded. Each candidate pair is confirmed on the full shingle sets."""
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from topicloom.llm.staging import stage
 SHINGLE = 5
 PERCENT = 85  # 100 * intersection >= PERCENT * union
 TREES, DEPTH = 16, 3  # a pair of similarity 0.85 shares the first DEPTH values in no tree in one of 4 million cases
-LEVELS = (3, 8)  # depths at which a region has a centre
+LEVELS = (3, 8)  # depths at which a region has centres
+CENTRES = 4  # of each region: the one of the most common values among the texts of each hash class
 TAIL = 12  # values of a signature that a tree sorts by
 NEIGHBOURS = 2
 BROADCAST_IDS = 1_000_000
@@ -112,10 +113,18 @@ def candidates(sets: DataFrame) -> DataFrame:
     paths = F.array(*[path(t) for t in range(TREES)])
     live = sets.join(trees, "id").select("id", "weight", F.explode("trees").alias("tree"), paths.alias("paths"))
     live = stage(live.select("id", "weight", "tree", F.col("paths")[F.col("tree")].alias("path")))
+    # texts of equal weight differ in the sizes of their deep regions, which take in every value of the signature
+    deep = live.select("id", F.xxhash64("tree", F.slice("path", 1, VALUES // TREES)).alias("region"))
+    sizes = stage(deep.groupBy("region").agg(F.count(F.lit(1)).alias("n")))
+    common = stage(deep.join(sizes, "region").groupBy("id").agg(F.sum("n").alias("deep")))
+    live = live.join(common, "id")
     pairs = []
     for level in LEVELS:
-        key = live.select("id", "weight", F.xxhash64("tree", F.slice("path", 1, level)).alias("region"))
-        centre = stage(key.groupBy("region").agg(F.max(F.struct("weight", "id"))["id"].alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
+        key = live.select("id", "weight", "deep", F.xxhash64("tree", F.slice("path", 1, level)).alias("region"))
+        classes = key.groupBy("region", F.pmod(F.xxhash64("id"), F.lit(CENTRES)).alias("class"))
+        best = classes.agg(F.max(F.struct("weight", "deep", "id"))["id"].alias("centre"), F.count(F.lit(1)).alias("n"))
+        few = best.groupBy("region").agg(F.collect_list("centre").alias("centres"), F.sum("n").alias("n"))  # CENTRES at most
+        centre = stage(few.filter("n > 1").select("region", F.explode("centres").alias("centre")))
         pairs.append(key.join(centre, "region").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")))
     parts = max(1, int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = live.repartitionByRange(parts, "tree", "path", "id").withColumn("part", F.spark_partition_id())
