@@ -25,7 +25,7 @@ STATES, SYMBOLS, ROUNDS = 8, 16_000, 3
 HEAD_WORDS = 1_000_000
 END = np.uint64(0xE0D0E0D0E0D0E0D1)
 PRIOR = 10.0  # weight of the corpus frequencies in the emissions of a state
-BLOCK = 12 << 20
+BLOCK = 3 << 20  # the tokens of a block take STATES * 8 bytes each in a few arrays
 RESULT = "n_tokens bigint, head_known bigint, head_log double, n_rare bigint, rare_log double, states_log double, tail array<bigint>"
 
 
@@ -137,8 +137,13 @@ def expected(model: Model, words: np.ndarray, edges: np.ndarray) -> tuple[np.nda
     for t in range(p.steps - 2, -1, -1):
         a, n = p.at[t + 1], p.active[t + 1]
         np.matmul(seen[a : a + n] * beta[a : a + n], back, out=beta[p.at[t] : p.at[t] + n])
-    later = np.flatnonzero(p.before >= 0)
-    moves = model.step * (alpha[p.before[later]].T @ (seen[later] * beta[later]))
+    seen *= beta
+    moves = np.zeros_like(model.step)
+    for a in range(0, len(seen), 1 << 16):
+        before = p.before[a : a + (1 << 16)]
+        later = np.flatnonzero(before >= 0)
+        moves += alpha[before[later]].T @ seen[a + later]
+    moves *= model.step
     alpha *= beta
     emitted = np.stack([np.bincount(symbols, alpha[:, k], len(model.emit)) for k in range(len(model.start))], 1)
     return alpha[: p.active[0]].sum(0), moves, emitted, float(np.log(scale).sum())
