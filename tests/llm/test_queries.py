@@ -28,7 +28,7 @@ def test_statement(spark, con, name):
     assert canonical(QUERIES[name](spark, SF).toPandas()).equals(canonical(con.sql(ORACLE[name]).df()))
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_whole_table(spark, con, name):
     key, source = ("page_id", "pages") if name.startswith("op10") else ("doc_id", "documents")
     found = sorted(r[0] for r in QUERIES[name](spark, SF).select(key).collect())
