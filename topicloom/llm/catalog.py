@@ -202,29 +202,41 @@ FROM listed LEFT JOIN spans USING (doc_id)
 @query
 def op10_warc_derivatives(spark, sf):
     """Per page the ids that link its response, metadata and conversion records, from the files they were written to."""
-    sources = W.responses(table(spark, sf, "pages"))
+    pages = table(spark, sf, "pages")
     path = folder(spark)
-    W.write_files(W.derivatives(sources), path)
+    W.write_files(W.derivatives(W.responses(pages)), path)
     read = W.read_files(spark, path)
     meta = F.from_json("block", "payload struct<stated:string,computed:string,length:bigint>, conversion string, title string, links array<string>")
-    own = read.select("refers_to", "kind", "record_id", "target_uri", "block", F.when(F.col("kind") == "metadata", meta).alias("m"))
-    # each response has one record of a kind; rows that repeat a page repeat its records, hence the dropped copies
-    left = own.filter("kind = 'metadata'").select("refers_to", F.col("record_id").alias("metadata_id"), "target_uri", "m").dropDuplicates(["metadata_id"])
-    right = own.filter("kind = 'conversion'").select("refers_to", F.col("record_id").alias("conversion_id"), F.length("block").cast("bigint").alias("text_chars"), F.sha2("block", 256).alias("text_sha256")).dropDuplicates(["conversion_id"])
-    ids = sources.select("page_id", F.col("record_id").alias("response_id"))
-    both = ids.join(left, F.col("response_id") == left["refers_to"]).drop("refers_to").join(right, F.col("response_id") == right["refers_to"]).drop("refers_to")
-    return both.select(
+    kinds = {k: F.col("kind") == k for k in ("metadata", "conversion")}
+    own = read.withColumn("m", F.when(kinds["metadata"], meta))
+    # a response has one record of each kind; rows that repeat a page repeat its records
+    values = {
+        "metadata_id": F.when(kinds["metadata"], F.col("record_id")),
+        "conversion_id": F.when(kinds["conversion"], F.col("record_id")),
+        "named": F.col("m.conversion"),
+        "url": F.col("target_uri"),
+        "payload_digest": F.col("m.payload.stated"),
+        "computed": F.col("m.payload.computed"),
+        "payload_bytes": F.col("m.payload.length"),
+        "title": F.col("m.title"),
+        "n_links": F.when(kinds["metadata"], F.size("m.links")).cast("bigint"),
+        "text_chars": F.when(kinds["conversion"], F.length("block")).cast("bigint"),
+        "text_sha256": F.when(kinds["conversion"], F.sha2("block", 256)),
+    }
+    flat = own.select("refers_to", *[v.alias(k) for k, v in values.items()])
+    both = flat.groupBy(F.col("refers_to").alias("response_id")).agg(*[F.max(k).alias(k) for k in values])
+    return W.response_ids(pages).join(both, "response_id").select(
         "page_id",
         "response_id",
         "metadata_id",
         "conversion_id",
-        (F.col("m.conversion") == F.col("conversion_id")).alias("linked"),
-        F.col("target_uri").alias("url"),
-        F.col("m.payload.stated").alias("payload_digest"),
-        (F.col("m.payload.stated") == F.col("m.payload.computed")).alias("digest_agrees"),
-        F.col("m.payload.length").alias("payload_bytes"),
-        F.col("m.title").alias("title"),
-        F.size("m.links").cast("bigint").alias("n_links"),
+        (F.col("named") == F.col("conversion_id")).alias("linked"),
+        "url",
+        "payload_digest",
+        (F.col("payload_digest") == F.col("computed")).alias("digest_agrees"),
+        "payload_bytes",
+        "title",
+        "n_links",
         "text_chars",
         "text_sha256",
     )

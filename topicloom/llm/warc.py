@@ -102,11 +102,14 @@ def plain_text(page: str) -> str:
     return "\n".join(line for line in (" ".join(x.split()) for x in page.split("\n")) if line)
 
 
+def response_id(page_id: object, url: str | None, page: str | None) -> str:
+    return record_id("response", str(page_id), url or "", digest((page or "").encode("utf-8", "replace")))
+
+
 def respond(page_id: object, url: str | None, page: str | None, date: str = DATE) -> tuple[str, bytes]:
     """(record id, response record) of a page."""
-    payload = (page or "").encode("utf-8", "replace")
+    name, payload = response_id(page_id, url, page), (page or "").encode("utf-8", "replace")
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload) + payload
-    name = record_id("response", str(page_id), url or "", digest(payload))
     uri = [("WARC-Target-URI", url)] if url else []
     own = [("WARC-Payload-Digest", digest(payload)), ("WARC-Block-Digest", digest(block)), ("Content-Type", "application/http; msgtype=response")]
     return name, assemble([("WARC-Type", "response"), ("WARC-Record-ID", name), ("WARC-Date", date), *uri, *own], block)
@@ -170,6 +173,16 @@ def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
     return pages.select("page_id", run("page_id", "url", "html").alias("r")).select("page_id", "r.*")
 
 
+def response_ids(pages: DataFrame) -> DataFrame:
+    """(page_id, response_id) of ``responses``, without making the records."""
+
+    @F.arrow_udf("string")
+    def run(ids: pa.Array, urls: pa.Array, bodies: pa.Array) -> pa.Array:
+        return pa.array([response_id(*row) for row in zip(ids.to_pylist(), urls.to_pylist(), bodies.to_pylist())], pa.string())
+
+    return pages.select("page_id", run("page_id", "url", "html").alias("response_id"))
+
+
 def derivatives(records: DataFrame, record_col: str = "record") -> DataFrame:
     """(kind, record_id, record) of all derived records of ``records``; damaged and other records yield none."""
 
