@@ -43,9 +43,10 @@ def ranked(rows: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def later_copies(rows: DataFrame, *key: str) -> DataFrame:
-    """(doc_id, th, pos, lines) of the rows that are not the first of their key."""
+    """(doc_id, th, pos, lines) of the rows that are not the first of their key. The firsts are staged: a join of two plain
+    exchanges is one whose common keys adaptive execution can split."""
     first = rows.groupBy(*key).agg(F.min(F.struct(*ROW, "pos")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    both = rows.join(first, list(key))
+    both = rows.join(stage(first.drop("n")), list(key))
     return both.filter(~F.col("first").eqNullSafe(F.struct(*ROW, "pos"))).select(*ROW, "pos", "lines")
 
 
