@@ -20,7 +20,8 @@ from topicloom.llm import textbytes as B
 # Pieces up to so many bytes are merged together in arrays of trees, longer ones alone.
 TOGETHER_BYTES = 128
 # So many distinct chunks of text are remembered by a worker; then it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 250_000
+BLOCK = 1 << 20  # bytes of text encoded at a time: a worker keeps its memory while later stages use others
 NONE = 1 << 40  # rank of a pair that is no token
 RESULT = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
@@ -274,7 +275,7 @@ def ranks_of(rank_lines: bytes, pattern: str) -> Ranks:
 
 def digests(ranks: Ranks, column: pa.Array) -> pa.Array:
     counts, id_hashes, text_hashes = [], [], []
-    for _, data, offsets in B.blocks(column):
+    for _, data, offsets in B.blocks(column, BLOCK):
         ids, sizes = ranks.encode_block(data, offsets)
         text, lengths = ranks.decode_block(ids)
         ends = np.cumsum(sizes)
@@ -307,7 +308,7 @@ class Tokenizer:
         @F.arrow_udf("array<int>")
         def run(column: pa.Array) -> pa.Array:
             ranks, out = ranks_of(*vocabulary.value), []
-            for _, data, offsets in B.blocks(column):
+            for _, data, offsets in B.blocks(column, BLOCK):
                 ids, sizes = ranks.encode_block(data, offsets)
                 out.append(B.list_array(ids.astype(np.int32), sizes))
             return pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int32()))
