@@ -21,7 +21,7 @@ FILTERS = 16  # of each width
 UNKNOWN = "und"
 RESULT = "lang_pred string, score double"
 # Windows are pushed through the network in runs of so many.
-RUN = 1024
+RUN = 256
 
 
 @dataclass
@@ -149,12 +149,16 @@ def classify(net: Network | None, column: pa.Array) -> pa.Array:
 
 
 def sample(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> DataFrame:
-    """(lang, text) of the ``docs_per_lang`` labelled documents of each language whose hashed id is least. The ranking
+    """(doc_id, lang, text) of up to ``docs_per_lang`` labelled documents of each language, by their hashed id. Languages are
+    counted first, so that only ids below a share of the hash range, about twice as many as wanted, are ranked. The ranking
     reads ids and labels only; texts are fetched for the chosen ids, whose number is bounded by the languages."""
     hashed = F.xxhash64(F.col("doc_id").cast("string"))
-    ranked = docs.filter("lang IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "lang", hashed.alias("h"))
+    labelled = docs.filter("lang IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "lang", hashed.alias("h"))
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    place = (F.col("h").cast("double") + 2.0**63) / 2.0**64
+    near = labelled.join(F.broadcast(counts), "lang").filter(place * F.col("n") <= 2 * docs_per_lang + 50)
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    chosen = ranked.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= docs_per_lang).select("doc_id", "lang").distinct()
+    chosen = near.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= docs_per_lang).select("doc_id", "lang").distinct()
     return docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"]).filter("text IS NOT NULL")
 
 
