@@ -27,7 +27,7 @@ CHECK_STEPS = 128  # a checkpoint every so many steps
 LOW = np.uint64(1 << 31)  # least coder state
 MAGIC = b"TRNS"
 HEAD = struct.Struct("<4sIIIIII")  # magic, ids, lanes, checkpoints, words, checksum of the ids, checksum of what follows
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 END_ID = 2
 
 
@@ -138,7 +138,9 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     ends = np.append(starts[1:], len(data))
     if len(w):
         ends = np.minimum(ends, w.ends[np.searchsorted(w.starts, starts, "right") - 1])
-    return B.span_strings(data, starts, ends), np.searchsorted(starts, offsets)
+    places = np.concatenate([[0], np.cumsum(ends - starts)])
+    body = data[B.SPACED[data]]  # the parts are all that is no white space
+    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(places), pa.py_buffer(body)), np.searchsorted(starts, offsets)
 
 
 class Encoder:
@@ -159,7 +161,7 @@ class Encoder:
         self.ids = np.zeros(0, np.uint32)
 
     def encode_units(self, parts: list[str]) -> list[list[int]]:
-        return [e.ids for a in range(0, len(parts), 50_000) for e in self.tokenizer.encode_batch_fast(parts[a : a + 50_000], add_special_tokens=False)]
+        return [e.ids for a in range(0, len(parts), 8_000) for e in self.tokenizer.encode_batch_fast(parts[a : a + 8_000], add_special_tokens=False)]
 
     def learn(self, parts: list[str]) -> np.ndarray:
         if len(self.places) > REMEMBERED or len(self.ids) > 8 * REMEMBERED:
@@ -198,18 +200,22 @@ def count_ids(docs: DataFrame, definition, end_id: int = END_ID) -> np.ndarray:
     """How often each id stands in all texts, ends included. Different parts are counted first and encoded once each."""
 
     def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, int] = {}
-        rows = 0
+        held: list[pa.Table] = []
+        rows = size = 0
         for batch in batches:
             rows += batch.num_rows
             for _, data, offsets in B.blocks(batch.column(0)):
-                for x in units(data, offsets)[0].value_counts().to_pylist():
-                    held[x["values"]] = held.get(x["values"], 0) + x["counts"]
-            if len(held) > REMEMBERED:
-                yield from _counted(held)
-                held = {}
-        held[""] = held.get("", 0) + rows  # ends
-        yield from _counted(held)
+                counts = units(data, offsets)[0].value_counts()
+                held.append(pa.table({"part": counts.field("values"), "n": counts.field("counts")}))
+                size += len(counts)
+                if size > 2 * REMEMBERED:
+                    held = [_counted(held)]
+                    size = held[0].num_rows
+                    if size > REMEMBERED:
+                        yield from _batches(held[0])
+                        held, size = [], 0
+        held.append(pa.table({"part": pa.array([""], pa.large_string()), "n": pa.array([rows], pa.int64())}))  # ends
+        yield from _batches(_counted(held))
 
     def ids_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(definition.value)
@@ -230,10 +236,13 @@ def count_ids(docs: DataFrame, definition, end_id: int = END_ID) -> np.ndarray:
     return out
 
 
-def _counted(held: dict[str, int]) -> Iterator[pa.RecordBatch]:
-    keys, n = pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())
-    for a in range(0, len(keys), 100_000):
-        yield pa.record_batch([keys[a : a + 100_000], n[a : a + 100_000]], ["part", "n"])
+def _counted(held: list[pa.Table]) -> pa.Table:
+    added = pa.concat_tables(held).group_by("part", use_threads=False).aggregate([("n", "sum")])
+    return pa.table({"part": added["part"], "n": added["n_sum"]})
+
+
+def _batches(counts: pa.Table) -> list[pa.RecordBatch]:
+    return counts.cast(pa.schema([("part", pa.string()), ("n", pa.int64())])).to_batches(100_000)
 
 
 def write_blocks(docs: DataFrame, path: str, tokenizer_file: str | None = None, end_id: int = END_ID) -> Table:
