@@ -1,3 +1,4 @@
+import random
 import re
 from itertools import combinations
 
@@ -92,3 +93,21 @@ def test_components(spark, edges):
         roots[y] = x
     got = {r.id: r.root for r in H.components(rows).collect()}
     assert {k: find(k) for k in roots if find(k) != k} == {k: v for k, v in got.items() if k != v}
+
+
+def test_crowded_region_of_many_hubs(documents):
+    """Bases on one template, each with edits that are linked through their own base only."""
+    rng, docs = random.Random(4), []
+    for h in range(30):
+        base = [f"t{k}" for k in range(400)]
+        for p in rng.sample(range(0, 400, 8), 7):
+            base[p] = f"b{h}x{p}"
+        docs.append((1000 * h + 999, " ".join(base)))
+        for k in range(30):
+            own = set(rng.sample(range(4, 396, 8), 6))
+            docs.append((1000 * h + k, " ".join(f"e{h}x{k}x{p}" if p in own else w for p, w in enumerate(base))))
+    assert result(H.find_groups(documents(*docs))) == brute(docs)
+
+
+def test_agreements():
+    assert [H.agreements(p)[1] for p in (85, 80)] == [86, 78]

@@ -1,10 +1,14 @@
 """Near-duplicates by an LSH forest. Each text has a MinHash signature; a tree of the forest sorts the signatures in an order
 of its own. Texts that share a long enough prefix there form a region; in a region a text is compared with its neighbours
 in the sorted order, whose common prefix is longest, and with the centres of the region, texts whose values are
-the most common. Regions deepen where they are crowded. Each candidate pair is confirmed on the full shingle sets."""
+the most common. Each candidate pair is confirmed on the full shingle sets. Texts of one region that these links have left
+in different components are then compared with each other, all of them, so that a crowded region loses no link."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -20,6 +24,8 @@ LEVELS = (3, 8)  # depths at which a region has centres
 CENTRES = 4  # of each region: the one of the most common values among the texts of each hash class
 TAIL = 12  # values of a signature that a tree sorts by
 NEIGHBOURS = 2
+CHUNK = 512  # texts of a region that one step compares with as many others
+MISSED = 2.5e-7  # share of the linked pairs whose signatures may agree in fewer values than are asked for
 BROADCAST_IDS = 1_000_000
 VALUES = 128
 
@@ -101,8 +107,9 @@ def path(tree: int, depth: int = TAIL) -> F.Column:
     return F.array(*[F.col("signature")[k] for k in tree_order(tree)[:depth]])
 
 
-def candidates(sets: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of the set ids that the forest names. ``sets``: id, signature. A region with a third
+def candidates(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs (a, b), a < b, of the set ids that the forest names, and the members (id, region) of the regions
+    of more than one set. ``sets``: id, signature. A region with a third
     of all rows stays spread: regions are counted and their centres chosen by pre-aggregated counts and maxima, rows
     are sorted by ranges of (tree, path, id), and the last rows of each range are carried to the next."""
     slim = sets.select("id", F.posexplode(F.array(*[F.xxhash64(F.lit(t), path(t, DEPTH)) for t in range(TREES)])).alias("tree", "region"))
@@ -113,6 +120,7 @@ def candidates(sets: DataFrame) -> DataFrame:
     paths = F.array(*[path(t) for t in range(TREES)])
     live = sets.join(trees, "id").select("id", "weight", F.explode("trees").alias("tree"), paths.alias("paths"))
     live = stage(live.select("id", "weight", "tree", F.col("paths")[F.col("tree")].alias("path")))
+    members = live.select("id", F.xxhash64("tree", F.slice("path", 1, DEPTH)).alias("region"))
     # texts of equal weight differ in the sizes of their deep regions, which take in every value of the signature
     deep = live.select("id", F.xxhash64("tree", F.slice("path", 1, VALUES // TREES)).alias("region"))
     sizes = stage(deep.groupBy("region").agg(F.count(F.lit(1)).alias("n")))
@@ -146,7 +154,118 @@ def candidates(sets: DataFrame) -> DataFrame:
     out = pairs[0]
     for more in pairs[1:]:
         out = out.unionByName(more)
-    return out.filter("a < b").distinct()
+    return out.filter("a < b").distinct(), members
+
+
+def agreements(percent: int, values: int = VALUES) -> tuple[int, int]:
+    """(many, least): values in which the signatures of nine out of ten pairs at the threshold agree, and of all but MISSED."""
+    p = percent / 100
+    below = np.cumsum([comb(values, k) * p**k * (1 - p) ** (values - k) for k in range(values + 1)])
+    return int((below <= 0.1).sum()), int((below <= MISSED).sum())
+
+
+def across(sets: DataFrame, members: DataFrame, roots: DataFrame, percent: int, agreeing: int, best: bool) -> DataFrame | None:
+    """Distinct pairs (a, b), a < b, of sets of one region and of different components whose signatures agree in ``agreeing``
+    values: every such pair, or with ``best`` those that agree most for one of the two among the texts of two chunks.
+    None if no region has two components. ``sets``: id, n, signature; ``members``: id, region; ``roots``: id, root.
+
+    A component that fills chunks is cut into some of its own, the small ones of a region share chunks, and each two chunks
+    are compared by a task, but for two of the same component. So the work follows what is not linked yet."""
+    slim = members.join(roots, "id", "left").select("id", F.xxhash64(F.coalesce("root", "id")).alias("comp"), "region")
+    counts = stage(slim.groupBy("region", "comp").agg(F.count(F.lit(1)).alias("n")))
+    small = F.sum(F.when(F.col("n") < CHUNK, F.col("n")).otherwise(0))
+    whole = counts.groupBy("region").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("n"), F.ceil(small / CHUNK).alias("shared"))
+    whole = stage(whole.filter("kinds > 1 AND n > 2").select("region", F.greatest("shared", F.lit(1)).alias("shared")))
+    if whole.isEmpty():
+        return None
+    large = counts.filter(F.col("n") >= CHUNK).join(whole, "region", "left_semi")
+    large = stage(large.select("region", "comp", F.ceil(F.col("n") / CHUNK).alias("cuts")))
+    rows = slim.join(whole, "region").join(large, ["region", "comp"], "left")
+    own = F.when(F.col("cuts").isNotNull(), F.col("comp"))
+    slot = F.when(F.col("cuts").isNotNull(), F.pmod(F.xxhash64("id"), F.col("cuts"))).otherwise(F.pmod(F.xxhash64("comp"), F.col("shared")))
+    rows = stage(rows.select("id", "comp", "region", own.alias("own"), F.xxhash64("region", own.isNull(), own, slot).alias("chunk")))
+    chunks = stage(rows.select("region", "chunk", "own").distinct())
+    other = chunks.select("region", F.col("chunk").alias("with"), F.col("own").alias("own_with"))
+    two = chunks.join(other, "region").filter(~F.coalesce(F.col("own") == F.col("own_with"), F.lit(False)) & (F.col("chunk") <= F.col("with")))
+    two = two.select(F.xxhash64("chunk", "with").alias("task"), F.expr("explode(array_distinct(array(struct(chunk, false as right), struct(with as chunk, chunk != with as right))))").alias("s"))
+    two = stage(two.select("task", "s.*"))
+    dealt = rows.select("id", "comp", "chunk").join(two, "chunk").select("task", "right", "id", "comp")
+    parts = max(1, int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    full = dealt.join(sets, "id").select("task", "right", "id", "comp", "n", "signature")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            task = batch.column(0).to_numpy()
+            edges = np.concatenate([[0], np.flatnonzero(task[1:] != task[:-1]) + 1, [len(task)]])
+            for a, b in zip(edges.tolist(), edges[1:].tolist()):
+                if held and held[0].column(0)[0].as_py() != int(task[a]):
+                    yield from meet(held, percent, agreeing, best)
+                    held = []
+                held.append(batch.slice(a, b - a))
+        yield from meet(held, percent, agreeing, best)
+
+    return full.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(compare, "a binary, b binary").distinct()
+
+
+def meet(held: list[pa.RecordBatch], percent: int, agreeing: int, best: bool) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b) of the rows (task, right, id, comp, n, signature) of one task, left with right or all where none is right; with
+    ``best`` for each row the one whose signature agrees most."""
+    if not held:
+        return
+    t = pa.Table.from_batches(held).combine_chunks()
+    right, comp, n = (t[c].to_numpy() for c in ("right", "comp", "n"))
+    signature = t["signature"].combine_chunks().flatten().to_numpy().reshape(-1, VALUES)
+    left = np.flatnonzero(~right)
+    against = np.flatnonzero(right) if right.any() else left
+    most, mate = np.full(len(n), agreeing - 1), np.zeros(len(n), np.int64)
+    for k in range(0, len(left), 16):
+        rows = left[k : k + 16]
+        can = comp[rows, None] != comp[against]
+        can &= 100 * np.minimum(n[rows, None], n[against]) >= percent * np.maximum(n[rows, None], n[against])
+        if against is left:
+            can &= rows[:, None] < against
+        x, y = np.nonzero(can)
+        for c in range(0, len(x), 8192):
+            i, j = rows[x[c : c + 8192]], against[y[c : c + 8192]]
+            same = (signature[i] == signature[j]).sum(1)
+            near = np.flatnonzero(same >= agreeing)
+            if best:
+                near = near[np.argsort(same[near], kind="stable")]
+                for own, its in ((i[near], j[near]), (j[near], i[near])):
+                    last = np.full(len(n), -1)
+                    last[own] = np.arange(len(near))  # the last is the largest
+                    at = np.flatnonzero(last >= 0)
+                    at = at[same[near[last[at]]] > most[at]]
+                    most[at], mate[at] = same[near[last[at]]], its[last[at]]
+            elif len(near):
+                yield _pairs(t["id"], i[near], j[near])
+    own = np.flatnonzero(most >= agreeing)
+    if best and len(own):
+        yield _pairs(t["id"], own, mate[own])
+
+
+def _pairs(ids: pa.ChunkedArray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+    names = ids.take(pa.array(np.concatenate([i, j]))).to_pylist()
+    pairs = [sorted(p) for p in zip(names[: len(i)], names[len(i) :])]
+    return pa.record_batch([pa.array(s, pa.binary()) for s in zip(*pairs)], ["a", "b"])
+
+
+def confirm(docs: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` (a, b) that are linked, by the full sets. ``sets``: id, n, first_doc."""
+    sizes = sets.select("id", "n", "first_doc")
+    for side in ("a", "b"):
+        pairs = pairs.join(sizes.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("first_doc").alias(f"doc_{side}")), side)
+    pairs = stage(pairs.filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"))
+    wanted = stage(pairs.select(F.explode(F.array("doc_a", "doc_b")).alias("doc_id")).distinct())
+    full = stage(full_sets(docs, wanted).dropDuplicates(["id"]))
+    checked = pairs.select("a", "b")
+    for side in ("a", "b"):
+        checked = checked.join(full.select(F.col("id").alias(side), F.col("hashes").alias(f"set_{side}")), side)
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    return stage(checked.filter(100 * both >= percent * (F.size("set_a") + F.size("set_b") - both)).select("a", "b"))
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -203,19 +322,17 @@ def find_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         some.groupBy(F.col("set_hash").alias("id"))
         .agg(F.min("doc_id").alias("first_doc"), F.max("n_shingles").alias("n"), F.first("signature").alias("signature"))
     )
-    pairs = candidates(sets.select("id", "signature"))
+    pairs, members = candidates(sets.select("id", "signature"))
+    roots = stage(components(confirm(docs, sets, pairs, percent)))
+    likely, least = agreements(percent)
+    for agreeing, best in ((likely, True), (least, False)):  # what likely links join is not compared again
+        pairs = across(sets.select("id", "n", "signature"), members, roots, percent, agreeing, best)
+        if pairs is None:
+            break
+        links = confirm(docs, sets, pairs, percent)
+        if not links.isEmpty():
+            roots = stage(components(links.unionByName(roots.select(F.col("id").alias("a"), F.col("root").alias("b")))))
     sizes = sets.select("id", "n", "first_doc")
-    for side in ("a", "b"):
-        pairs = pairs.join(sizes.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("first_doc").alias(f"doc_{side}")), side)
-    pairs = stage(pairs.filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"))
-    wanted = stage(pairs.select(F.explode(F.array("doc_a", "doc_b")).alias("doc_id")).distinct())
-    full = stage(full_sets(docs, wanted).dropDuplicates(["id"]))
-    checked = pairs.select("a", "b")
-    for side in ("a", "b"):
-        checked = checked.join(full.select(F.col("id").alias(side), F.col("hashes").alias(f"set_{side}")), side)
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    links = stage(checked.filter(100 * both >= percent * (F.size("set_a") + F.size("set_b") - both)).select("a", "b"))
-    roots = components(links)
     rooted = sizes.join(roots, "id", "left").select("id", "first_doc", F.coalesce("root", "id").alias("root"))
     least = stage(rooted.groupBy("root").agg(F.min("first_doc").alias("component_id")))
     known = stage(rooted.join(least, "root").select(F.col("id").alias("set_hash"), "component_id"))
