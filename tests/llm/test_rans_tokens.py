@@ -86,3 +86,17 @@ def test_file_rows(spark, documents):
     A.write_blocks(documents(*[(k, "word " * k) for k in range(50)]), path)
     rows = sorted(spark.read.parquet(path).collect(), key=lambda r: (r.part, r.block))
     assert [d for r in rows for d in r.doc_ids] == list(range(50))
+
+
+def test_added_tokens_as_the_library_does(documents):
+    """The strings of added tokens in a text are these tokens, as in a tokenizer left as it was read."""
+    untouched = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["one <|endoftext|> two", "a<|endoftext|>b", "<|startoftext|><|endoftext|>", "<|ENDOFTEXT|> <|endoftext", "|>x<|endoftext|>", "é<|startoftext|>\u0301é", "<|endof text|> <<|endoftext|>>", "<|endoftext|>\n"]
+    expect = [untouched.encode(t, add_special_tokens=False).ids for t in texts]
+    assert expect[0] == [637, 49407, 1237]
+    for _, data, offsets in B.blocks(pa.array(texts, pa.string())):
+        ids, counts = OWN.encode_block(data, offsets)
+        edges = np.concatenate([[0], np.cumsum(counts)])
+        assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:])] == expect
+    rows = sorted(A.round_trip(documents(*enumerate(texts))).collect())
+    assert [(r.n_tokens, r.ids_crc32) for r in rows] == [(len(e) + 1, zlib.crc32(np.array([*e, A.END_ID], "<u4").tobytes())) for e in expect]

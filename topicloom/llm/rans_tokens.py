@@ -7,6 +7,8 @@ ids go round LANES coder states, so that one numpy step codes an id of each. Blo
 from __future__ import annotations
 
 import itertools
+import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -125,15 +127,27 @@ KIND[65:91] = KIND[97:123] = 1
 KIND[39] = 0
 
 
-def units(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+@cache
+def added_tokens(definition: str) -> re.Pattern[bytes] | None:
+    """The strings that the tokenizer cuts out of the raw text before anything else."""
+    added = [t["content"].encode() for t in json.loads(definition)["added_tokens"]]
+    return re.compile(b"|".join(re.escape(t) for t in sorted(added, key=len, reverse=True))) if added else None
+
+
+def units(data: np.ndarray, offsets: np.ndarray, added: re.Pattern[bytes] | None = None) -> tuple[pa.Array, np.ndarray]:
     """The texts in parts that the tokenizer never joins (it drops white space and parts letters, digits and other
-    characters), and the first part of each row."""
+    characters), and the first part of each row. A match of ``added`` is a part of its own."""
+    found = np.array([m.span() for m in added.finditer(data.tobytes())] if added else [], np.int64).reshape(-1, 2)
+    found = found[np.searchsorted(offsets, found[:, 0], "right") == np.searchsorted(offsets, found[:, 1] - 1, "right")]
     data = B.LOWER[data]
     w = B.Words(data, offsets, B.SPACED)
     heads = np.zeros(len(data), bool)
     heads[w.starts] = True
     kind = KIND[data]
     heads[1:] |= (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
+    heads[B.ragged(found[:, 0], found[:, 1] - found[:, 0])] = False
+    heads[found[:, 0]] = True
+    heads[found[found[:, 1] < len(data), 1]] = True
     starts = np.flatnonzero(heads & B.SPACED[data])
     ends = np.append(starts[1:], len(data))
     if len(w):
@@ -151,7 +165,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = added_tokens(definition)
         self.size = self.tokenizer.get_vocab_size()
         self.forget()
 
@@ -178,7 +192,7 @@ class Encoder:
 
     def encode_block(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, one after another, and the number of each."""
-        parts, rows = units(data, offsets)
+        parts, rows = units(data, offsets, self.added)
         parts = parts.dictionary_encode()
         place = self.learn(parts.dictionary.to_pylist())[np.asarray(parts.indices)]
         return self.ids[B.ragged(self.starts[place], self.lengths[place])], B.sums_by_row(self.lengths[place], rows)
@@ -205,7 +219,7 @@ def count_ids(docs: DataFrame, definition, end_id: int = END_ID) -> np.ndarray:
         for batch in batches:
             rows += batch.num_rows
             for _, data, offsets in B.blocks(batch.column(0)):
-                counts = units(data, offsets)[0].value_counts()
+                counts = units(data, offsets, added_tokens(definition.value))[0].value_counts()
                 held.append(pa.table({"part": counts.field("values"), "n": counts.field("counts")}))
                 size += len(counts)
                 if size > 2 * REMEMBERED:
