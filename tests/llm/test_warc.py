@@ -85,3 +85,15 @@ def test_empty_table_and_damage(spark, tmp_path):
     (tmp_path / "a.warc").write_bytes(data.replace(b"three", b"seven"))
     with pytest.raises(Exception, match="does not agree"):
         W.read_files(spark, str(tmp_path)).collect()
+
+
+def test_head_without_end_tag():
+    shown = {
+        "<html><head><title>T</title><body><p>All the text</p></body></html>": "All the text",
+        "<html><head><meta charset=utf-8><title>a <p> b</title><script>'</head><p>'</script>\n<p>One<p>Two": "One\nTwo",
+        "<head><title>T</title>Bare text": "Bare text",
+        "<head><style>p {}</style><link href=x><body>Text <code></head></code>more": "Text more",
+        "<head><title>T</title><style>x</style> lost </head><body>Kept": "Kept",
+        "<header>Top</header><head>": "Top",
+    }
+    assert {page: W.plain_text(page) for page in shown} == shown

@@ -28,8 +28,15 @@ RECORDS_PER_FILE = 20_000
 FIELDS = "kind string, record_id string, refers_to string, target_uri string, block_digest string, block string"
 
 _comment = re.compile(r"<!--.*?(?:-->|$)", re.S)
-_hidden = re.compile(r"<(script|style|noscript|template|head)\b.*?(?:</\1\s*>|$)", re.S | re.I)
-_break = re.compile(r"</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|header|footer|nav|blockquote|pre|td|th)\b[^>]*>", re.I)
+_blocks = r"(?:p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|header|footer|nav|blockquote|pre|td|th)\b"
+_inert = r"(?><(title|script|style|noscript|template)\b.*?</\{}\s*>)"  # a part of a head whose content is no markup
+# A head ends at its end tag; where that is left out, before the body, a block element or whatever else is no part of a head.
+_hidden = re.compile(
+    r"<(script|style|noscript|template)\b.*?(?:</\1\s*>|$)|<head\b[^>]*(?:>|$)"
+    rf"(?:(?>(?:[^<]+|{_inert.format(2)}|(?!</head\b|<body\b|<{_blocks})<)*)</head\s*>|(?>(?:\s+|{_inert.format(3)}|<(?:meta|link|base)\b[^>]*>)*))",
+    re.S | re.I,
+)
+_break = re.compile(rf"</?{_blocks}[^>]*>", re.I)
 _tag = re.compile(r"<[/!?]?[a-zA-Z][^>]*>|<[!?][^>]*>")
 _title = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
 _link = re.compile(r"<a\b[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)", re.I)
