@@ -17,6 +17,8 @@ from topicloom.llm.staging import stage
 
 # A text is rejected if the network is less sure of its language than this, or if it has no letter.
 MIN_SCORE = 0.5
+# Documents are near-duplicates from this percentage of common shingles on (op4's own contract is 85).
+SIMILAR = 80
 
 # The language model cannot be expressed in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -39,7 +41,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the first document of each group of near-duplicates."""
-    return keep_one(docs)
+    return keep_one(docs, SIMILAR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,6 +67,17 @@ def test_stages(spark, con):
     assert sorted(r.doc_id for r in clean.collect()) == sorted(d for d, _, n, _ in hits if not n)
 
 
+@pytest.mark.parametrize("edits, linked", [(7, True), (8, True), (9, False)])
+def test_near_duplicates_from_eighty(spark, documents, edits, linked):
+    """Two documents of 400 words on either side of 80 percent, and below the 85 of op4."""
+    words = [f"w{k}" for k in range(400)]
+    other = [f"x{k}" if k % 40 == 20 and k < 40 * edits else w for k, w in enumerate(words)]
+    a, b = ({tuple(t[k : k + 5]) for k in range(396)} for t in (words, other))
+    assert (80 <= 100 * len(a & b) / len(a | b) < 85) == linked
+    left = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, documents((1, " ".join(words)), (2, " ".join(other))), SF)
+    assert sorted(r.doc_id for r in left.collect()) == ([1] if linked else [1, 2])
+
+
 def test_run(spark):
     found = corpus_pipeline.run(spark, SF)
     assert found.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
