@@ -781,20 +781,19 @@ def _run_shape(runs):
 @query
 def topic_sweep_lda(spark, sf):
     docs, vectorizer, bags, _ = _lda(spark, sf)
-    return _run_shape(U.sweep_lda(docs, bags, vectorizer.vocab, U.LDA_COUNTS, passes=3))
+    return _run_shape(U.sweep_lda(docs, bags, vectorizer.vocab, U.LDA_COUNTS, passes=10))
 
 
 @query
 def topic_sweep_nmf(spark, sf):
     docs, vectorizer, rows = _matrix(spark, sf)
-    return _run_shape(U.sweep_nmf(docs, rows, vectorizer.vocab, U.NMF_COUNTS, "reconstruction_error", tol=1e-3, inner_iter=10))
+    return _run_shape(U.sweep_nmf(docs, rows, vectorizer.vocab, U.NMF_COUNTS, "reconstruction_error", inner_iter=10))
 
 
 @query
 def grid_search(spark, sf):
-    """The settings of the grid over the vocabulary sizes and losses, for the least and the largest topic count."""
-    counts = (U.GRID_COUNTS[0], U.GRID_COUNTS[-1])
-    found = U.grid_search_nmf(corpus(spark, sf), counts=counts, tol=1e-3, inner_iter=10)
+    """All settings of the grid: vocabulary sizes, losses and topic counts."""
+    found = U.grid_search_nmf(corpus(spark, sf), counts=U.GRID_COUNTS, inner_iter=10)
     return _run_shape(found.runs)
 
 
