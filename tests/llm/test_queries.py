@@ -31,7 +31,10 @@ def test_statement(spark, con, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_whole_table(spark, con, name):
     key, source = ("page_id", "pages") if name.startswith("op10") else ("doc_id", "documents")
-    found = sorted(r[0] for r in QUERIES[name](spark, SF).select(key).collect())
+    rows = QUERIES[name](spark, SF)
+    if name.startswith("op13"):  # a row for each piece
+        rows = rows.filter("start = 0")
+    found = sorted(r[0] for r in rows.select(key).collect())
     assert found == [r[0] for r in con.sql(f"SELECT {key} FROM {source} ORDER BY 1").fetchall()]
 
 

@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicloom.llm import byte_bpe as T
+from topicloom.llm import centroid_scan as C
 from topicloom.llm import decontaminate as D
 from topicloom.llm import hidden_markov as S
 from topicloom.llm import kneser_ney as Q
 from topicloom.llm import language_cnn as N
 from topicloom.llm import line_runs as L
+from topicloom.llm import max_sketch as R
 from topicloom.llm import minhash_forest as H
+from topicloom.llm import packing as P
 from topicloom.llm import rans_tokens as A
 from topicloom.llm import sparse_suffixes as X
 from topicloom.llm import warc as W
@@ -240,3 +243,81 @@ def op10_warc_derivatives(spark, sf):
         "text_chars",
         "text_sha256",
     )
+
+
+@query
+def op11_centroid_scan(spark, sf):
+    found, centroids = C.cluster(table(spark, sf, "embeddings").select("vec_id", "embedding"))
+    digest = F.sha2(F.array_join(F.transform("centroid", lambda v: v.cast("string")), ","), 256)
+    about = centroids.select("cluster", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+    return found.join(F.broadcast(about), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def _rounds(rounds: int = 5) -> str:
+    """Statement of the rounds of ``op11``: assign, then move; a common table for each."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, c, d FROM (
+    SELECT vec_id, c, d, row_number() OVER (PARTITION BY vec_id ORDER BY d, c) AS place
+    FROM (SELECT vec_id, c, sum((p.v - q.v) * (p.v - q.v))::BIGINT AS d FROM parts p JOIN c{r} q USING (i) GROUP BY vec_id, c)
+  ) WHERE place = 1
+)""")
+        if r < rounds:
+            steps.append(f"""s{r} AS MATERIALIZED (SELECT c, i, sum(v)::BIGINT AS s, count(*) AS n FROM a{r} JOIN parts USING (vec_id) GROUP BY c, i),
+c{r + 1} AS MATERIALIZED (
+  SELECT c, i, coalesce((s - ((s % n + n) % n)) // n, v) AS v FROM c{r} LEFT JOIN s{r} USING (c, i)
+)""")
+    return ",\n".join(steps)
+
+
+ORACLE["op11_centroid_scan"] = f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS x, sha256('2:' || vec_id) AS h FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64
+), parts AS MATERIALIZED (
+  SELECT vec_id, unnest(range(64)) AS i, unnest(x) AS v FROM kept
+), c0 AS MATERIALIZED (
+  SELECT c, unnest(range(64)) AS i, unnest(x) AS v FROM (SELECT row_number() OVER (ORDER BY h) - 1 AS c, x FROM kept QUALIFY c < 40)
+), {_rounds()}
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY c)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia, centroid_sha256
+FROM a5 JOIN (SELECT c, sha256(string_agg(v::BIGINT::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c5 GROUP BY c) USING (c)
+"""
+
+
+@query
+def op12_max_sketch(spark, sf):
+    index = R.build_index(table(spark, sf, "documents").select("doc_id", "text"))
+    return R.search(index, table(spark, sf, "benchmark").select("item_id", "text")).select("item_id", "rank", "doc_id", "score")
+
+
+ORACLE["op12_max_sketch"] = r"""
+WITH words AS (
+  SELECT 'd' AS kind, doc_id AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents
+  UNION ALL
+  SELECT 'i', item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) FROM benchmark
+), counted AS MATERIALIZED (
+  SELECT kind, id, t, count(*) AS tf FROM words GROUP BY ALL
+), sizes AS MATERIALIZED (
+  SELECT id, sum(tf)::BIGINT AS n FROM counted WHERE kind = 'd' GROUP BY id
+), whole AS MATERIALIZED (
+  SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS length FROM sizes
+), norms AS (
+  SELECT id, 100 - 75 + (75 * n * docs) // length AS m FROM sizes, whole
+), weights AS (
+  SELECT t, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM counted, whole WHERE kind = 'd' GROUP BY t, docs
+), scored AS (
+  SELECT i.id AS item_id, d.id AS doc_id, sum(i.tf * w * ((1000000000 * d.tf) // (1000 * d.tf + 8 * m)))::BIGINT AS score
+  FROM counted i JOIN counted d ON i.kind = 'i' AND d.kind = 'd' AND i.t = d.t JOIN weights ON weights.t = i.t JOIN norms ON norms.id = d.id
+  GROUP BY ALL
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
+@query
+def op13_tier_packing(spark, sf):
+    return P.pieces(P.pack(table(spark, sf, "documents").select("doc_id", "text")))
