@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from checks.catalog import QUERIES
 from topicloom.functions.stopwords import merged_stopwords
 from topicloom.functions.text import clean
-from topicloom.models import lda as L
 from topicloom.models import nmf as N
+from topicloom.models import online_lda as O
 from topicloom.models import scoring as S
 from topicloom.operators import coherence as C
 from topicloom.operators import phrases as P
@@ -71,7 +71,7 @@ def main() -> None:
 
     nmf = timed("nmf_fit_20_passes", lambda: N.fit_nmf(rows, vectorizer.vocab, k=8, max_iter=20, tol=0.0))
     bags = vectorizer.bags(tokens).persist()
-    lda = timed("lda_fit_20_passes", lambda: L.fit_lda(bags, vectorizer.vocab, k=10, passes=20))
+    lda = timed("lda_fit_20_passes", lambda: O.fit_online_lda(bags, vectorizer.vocab, k=10, passes=20))
     timed("coherence_cv", lambda: C.model_coherence(tokens, nmf.topics()).collect())
     timed(
         "evaluate_nmf",

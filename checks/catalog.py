@@ -13,8 +13,10 @@ from topicloom.functions import tokens as K
 from topicloom.functions.stopwords import ENGLISH, merged_stopwords, stopword_table
 from topicloom.models import lda as L
 from topicloom.models import nmf as N
+from topicloom.models import online_lda as O
 from topicloom.models import scoring as S
 from topicloom.models import tuning as U
+from topicloom.models.ranges import RangedRows, entries_of
 from topicloom.operators import coherence as C
 from topicloom.operators import embed as E
 from topicloom.operators import lexicon as X
@@ -27,7 +29,7 @@ from topicloom.operators import validate as B
 from topicloom.operators import vocab as V
 from topicloom.plans import evaluate as G
 from topicloom.plans.preprocess import preprocess, tokenize
-from topicloom.runtime import by_document, row_count
+from topicloom.runtime import by_document, cut_lineage, row_count
 from topicloom.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -527,6 +529,26 @@ def nmf_step_given_h(spark, sf):
     return rounded(model.topic_terms().filter("weight > 0").select("topic_id", "term", "weight"), "weight", digits=8)
 
 
+@query
+def nmf_step_by_ranges(spark, sf):
+    """As ``nmf_step_given_h``, with H and the sums as tables of term ranges."""
+    _, vectorizer, rows = _matrix(spark, sf)
+    model = given_model(spark, sf, vectorizer)
+    table, squares = model.ranges(), rows.agg(F.sum(F.aggregate("val", F.lit(0.0), lambda a, x: a + x * x))).first()[0]
+    upper, lower, _ = N._pass_by_ranges(RangedRows(rows, model.params.k, 100_000), table, model.params, squares)
+    moved = N.NmfModel(model.params, None, model.vocab, table=N._update_by_ranges(table, upper, lower, model.params))
+    return rounded(moved.topic_terms().filter("weight > 0").select("topic_id", "term", "weight"), "weight", digits=8)
+
+
+@query
+def nmf_loss_given_h(spark, sf):
+    """The losses of both kinds for a given H and the W it gives, from one read of the rows."""
+    _, vectorizer, rows = _matrix(spark, sf)
+    models = [given_model(spark, sf, vectorizer, beta_loss=loss) for loss in U.GRID_LOSSES]
+    sums = N._passes(rows, [m.h for m in models], [m.params for m in models])
+    return rounded(spark.createDataFrame([(m.params.beta_loss, float(s[2])) for m, s in zip(models, sums)], "loss string, value double"), "value")
+
+
 @query
 def nmf_given_h(spark, sf):
     """Top terms of given topic weights: the document frequencies per language."""
@@ -571,12 +593,12 @@ def _lda(spark, sf):
     docs = corpus(spark, sf)
     vectorizer = I.fit_tfidf(docs, (1, 1), 1, 1.0, None)
     bags = vectorizer.bags(docs).persist()
-    return docs, vectorizer, bags, L.fit_lda(bags, vectorizer.vocab, **L.PRESETS["standard"])
+    return docs, vectorizer, bags, O.fit_online_lda(bags, vectorizer.vocab, **L.PRESETS["standard"])
 
 
 @query
 def lda_topics(spark, sf):
-    """A property row for each topic, not the values: Spark's sampler decides those."""
+    """A property row for each topic, not the values: the seeded start decides those."""
     return topic_shape(_lda(spark, sf)[3].topics(10))
 
 
@@ -600,6 +622,53 @@ def lda_perplexity(spark, sf):
     return spark.createDataFrame([(bool(np.isfinite(bound)), bound < 0, better)], "finite boolean, negative boolean, informed boolean")
 
 
+def given_lda(spark, sf, ranged=False):
+    """Topics from the tables: a tenth and the document frequency in the language; two inner iterations and fixed priors."""
+    docs = corpus(spark, sf)
+    vectorizer = I.fit_tfidf(docs, (1, 1), 1, 1.0, None)
+    lam = np.full((len(LANGS), vectorizer.vocab.count()), 0.1)
+    for r in lang_term_df(spark, sf).filter("topic_id IS NOT NULL").join(vectorizer.vocab.select("term", "term_id"), "term").toLocalIterator():
+        lam[r.topic_id, r.term_id] += r.df
+    params = O.LdaParams(k=len(LANGS), learn_priors=False, iterations=2, threshold=0.0)
+    model = O.OnlineLda(params, vectorizer.vocab, np.full(len(LANGS), 0.25), lam, np.full(lam.shape[1], 0.5))
+    if ranged:
+        model = O.OnlineLda(params, vectorizer.vocab, model.alpha, table=cut_lineage(O._table(model)))
+    return model, vectorizer.bags(docs)
+
+
+@query
+def lda_infer_given_topics(spark, sf):
+    """Topic distributions of all documents for given topics."""
+    model, bags = given_lda(spark, sf)
+    return _weights(model.transform(bags))
+
+
+def _topics_after(model, bags):
+    """All weights of the topics after one step that replaces them."""
+    table = O._table(model.update(bags, 1.0)).select("part", "m")
+    named = entries_of(table, model.params.k).join(model.vocab.select("term_id", "term"), "term_id")
+    return rounded(named.select("topic_id", "term", "weight"), "weight")
+
+
+@query
+def lda_step_given_topics(spark, sf):
+    """One step of online variational Bayes from given topics: inference of all documents and the next topics."""
+    return _topics_after(*given_lda(spark, sf))
+
+
+@query
+def lda_step_by_ranges(spark, sf):
+    """As ``lda_step_given_topics``, with the topics as a table of word ranges."""
+    return _topics_after(*given_lda(spark, sf, ranged=True))
+
+
+@query
+def lda_bound_given_topics(spark, sf):
+    """The variational bound of a word for given topics, and that of topics in word ranges."""
+    found = [(kind, *given_lda(spark, sf, kind == "ranges")) for kind in ("whole", "ranges")]
+    return rounded(spark.createDataFrame([(kind, model.log_perplexity(bags)) for kind, model, bags in found], "topics string, bound double"), "bound")
+
+
 @query
 def lda_given_distributions(spark, sf):
     """Dominant topic with -1 for documents without any topic word."""
@@ -653,6 +722,14 @@ def coherence_cv(spark, sf):
     return rounded(C.coherence_cv(corpus(spark, sf), lang_topics(spark, sf)), "coherence")
 
 
+@query
+def coherence_of_runs(spark, sf):
+    """All measures of two topic sets from one scan: ten and five words of each language."""
+    topics = lang_topics(spark, sf)
+    runs = topics.withColumn("run_id", F.lit(0)).unionByName(topics.filter("rank <= 5").withColumn("run_id", F.lit(1)))
+    return rounded(C.coherence_of_runs(corpus(spark, sf), runs, list(C.MEASURES)), "coherence", digits=4)
+
+
 @query
 def coherence_npmi(spark, sf):
     return rounded(C.coherence_npmi(corpus(spark, sf), lang_topics(spark, sf)), "coherence")
@@ -770,24 +847,28 @@ def latest_overall(spark, sf):
 # --- tuning
 
 
-def _run_shape(runs):
-    """Properties of a table of runs: each setting once with a finite score, the best one its maximum."""
-    best = runs.agg(F.max("value")).scalar()
+def _run_shape(runs, higher_is_better=True):
+    """Properties of a table of runs: each setting once with a finite score, none better than that of ``best_run``."""
+    best = U.best_run(runs, higher_is_better).select("value").scalar()
+    beaten = F.col("value") <= best if higher_is_better else F.col("value") >= best
     return runs.select(
-        F.coalesce("max_features", F.lit(0)).alias("max_features"), F.coalesce("beta_loss", F.lit("-")).alias("beta_loss"), "k", "metric", F.coalesce(~F.isnan("value"), F.lit(False)).alias("scored"), (F.col("value") <= best).alias("within")
-    )
+        F.coalesce("max_features", F.lit(0)).alias("max_features"), F.coalesce("beta_loss", F.lit("-")).alias("beta_loss"), "k", "metric",
+        F.coalesce(~F.isnan("value"), F.lit(False)).alias("scored"), beaten.alias("within"),
+    )
 
 
 @query
 def topic_sweep_lda(spark, sf):
-    docs, vectorizer, bags, _ = _lda(spark, sf)
+    docs = corpus(spark, sf)
+    vectorizer = I.fit_tfidf(docs, (1, 1), 1, 1.0, None)
+    bags = vectorizer.bags(docs).persist()
     return _run_shape(U.sweep_lda(docs, bags, vectorizer.vocab, U.LDA_COUNTS, passes=10))
 
 
 @query
 def topic_sweep_nmf(spark, sf):
     docs, vectorizer, rows = _matrix(spark, sf)
-    return _run_shape(U.sweep_nmf(docs, rows, vectorizer.vocab, U.NMF_COUNTS, "reconstruction_error", inner_iter=10))
+    return _run_shape(U.sweep_nmf(docs, rows, vectorizer.vocab, U.NMF_COUNTS, "reconstruction_error", inner_iter=10), higher_is_better=False)
 
 
 @query
@@ -802,7 +883,7 @@ def _runs(spark, sf):
     stats = documents(spark, sf).groupBy("source", "lang").agg(F.avg("n_chars").alias("value"), F.min("doc_id").alias("first"))
     return stats.select(
         F.col("first").alias("run_id"), F.lit("nmf").alias("model"), F.length("source").alias("max_features"),
-        F.col("lang").alias("beta_loss"), F.col("first").cast("int").alias("k"), F.lit("coherence").alias("metric"), "value",
+        F.col("lang").alias("beta_loss"), F.lit(0.0).alias("alpha_w"), F.lit(0.0).alias("alpha_h"), F.lit(0.0).alias("l1_ratio"), F.col("first").cast("int").alias("k"), F.lit("coherence").alias("metric"), "value",
     )
 
 

@@ -530,5 +530,72 @@ ORACLE |= {
     "topic_sweep_lda": runs_shape("SELECT 0 AS max_features, '-' AS beta_loss, CAST(unnest(range(5, 21)) AS INTEGER) AS k, 'coherence' AS metric"),
     "topic_sweep_nmf": runs_shape("SELECT 0 AS max_features, 'frobenius' AS beta_loss, CAST(unnest(range(2, 11)) AS INTEGER) AS k, 'reconstruction_error' AS metric"),
     "grid_search": runs_shape("""SELECT m AS max_features, l AS beta_loss, k, 'coherence' AS metric FROM (SELECT unnest([2000, 3000]) AS m)
-        CROSS JOIN (SELECT unnest(['frobenius', 'kullback-leibler']) AS l) CROSS JOIN (SELECT unnest([4, 12]) AS k)"""),
+        CROSS JOIN (SELECT unnest(['frobenius', 'kullback-leibler']) AS l) CROSS JOIN (SELECT CAST(unnest(range(4, 13)) AS INTEGER) AS k)"""),
 }
+
+
+ORACLE["nmf_step_by_ranges"] = ORACLE["nmf_step_given_h"]
+
+ORACLE["nmf_loss_given_h"] = f"""
+SELECT 'frobenius' AS loss, {r('v')} AS value FROM (
+  WITH {solved(OWN_TOKENS)},
+  lower AS (SELECT a.topic_id AS t, b.topic_id AS s, sum(a.w * b.w) AS l FROM w2 a JOIN w2 b ON a.doc_id = b.doc_id GROUP BY 1, 2)
+  SELECT (SELECT sum(x * x) FROM x) / 2 - (SELECT sum(z * w) FROM w2) + (SELECT sum(l * g) FROM lower JOIN gram USING (t, s)) / 2 AS v)
+UNION ALL
+SELECT 'kullback-leibler', {r('v')} FROM (
+  WITH {solved(OWN_TOKENS, "kl")},
+  fitted AS (SELECT x.doc_id, x.term, x.x, coalesce(sum(w.w * h.h), 0) AS f
+    FROM x LEFT JOIN (h JOIN w2 w ON w.topic_id = h.topic_id) ON h.term = x.term AND w.doc_id = x.doc_id GROUP BY 1, 2, 3)
+  SELECT (SELECT sum(x * ln(x / (f + 1e-10)) - x) FROM fitted) + (SELECT sum(w * mass) FROM w2 JOIN sums USING (topic_id)) AS v)"""
+
+ORACLE["coherence_of_runs"] = " UNION ALL ".join(
+    f"SELECT {run} AS run_id, '{measure}' AS measure, {r('avg(coherence)', 4)} AS coherence FROM ({ORACLE[name].replace('rank <= 10', f'rank <= {words}')})"
+    for run, words in ((0, 10), (1, 5))
+    for measure, name in (("c_v", "coherence_cv"), ("c_npmi", "coherence_npmi"), ("c_uci", "coherence_uci"), ("u_mass", "coherence_umass"))
+)
+
+
+def psi(x):
+    """Digamma of a positive expression: its argument shifted up by 8, then the asymptotic series."""
+    y = f"({x} + 8)"
+    series = f"(1 / 12.0 - (1 / 120.0 - (1 / 252.0 - 1 / 240.0 / {y} ** 2) / {y} ** 2) / {y} ** 2) / {y} ** 2"
+    return f"(ln({y}) - 0.5 / {y} - {series} - ({' + '.join(f'1.0 / ({x} + {i})' for i in range(8))}))"
+
+
+def inferred():
+    """Topics of a tenth and the document frequencies, and two inner iterations for every document."""
+    steps = []
+    for i in range(3):
+        steps.append(f"""
+t{i} AS (SELECT doc_id, topic_id, g, tot, {psi('g')} - {psi('tot')} AS lt, exp({psi('g')} - {psi('tot')}) AS th
+  FROM (SELECT *, sum(g) OVER (PARTITION BY doc_id) AS tot FROM g{i})),
+f{i} AS (SELECT doc_id, term, n, sum(th * b) AS norm FROM cnt JOIN beta USING (term) JOIN t{i} USING (doc_id, topic_id) GROUP BY 1, 2, 3),
+p{i} AS (SELECT f.doc_id, topic_id, sum(n / norm * b) AS s FROM f{i} f JOIN beta USING (term) GROUP BY 1, 2),
+g{i + 1} AS (SELECT doc_id, topic_id, 0.25 + th * s AS g FROM t{i} JOIN p{i} USING (doc_id, topic_id))""")
+    return f"""{LANG_TERMS},
+ids AS (SELECT unnest([0, 1, 2, 3]) AS topic_id),
+lam AS (SELECT topic_id, term, 0.1 + coalesce(df, 0) AS l FROM ids CROSS JOIN (SELECT DISTINCT token AS term FROM tok) LEFT JOIN lang_terms USING (topic_id, term)),
+beta AS (SELECT topic_id, term, l, s, {psi('l')} - {psi('s')} AS lb, exp({psi('l')} - {psi('s')}) AS b
+  FROM lam JOIN (SELECT topic_id, sum(l) AS s FROM lam GROUP BY 1) USING (topic_id)),
+cnt AS (SELECT doc_id, token AS term, CAST(count(*) AS DOUBLE) AS n FROM tok GROUP BY 1, 2),
+g0 AS (SELECT doc_id, topic_id, 0.25 + sum(n) / 4 AS g FROM cnt CROSS JOIN ids GROUP BY 1, 2),{",".join(steps)}"""
+
+
+ORACLE["lda_infer_given_topics"] = f"""WITH {inferred()}
+SELECT d.doc_id, ids.topic_id, {r('coalesce(g / tot, 0)')} AS weight FROM documents d CROSS JOIN ids LEFT JOIN t2 ON t2.doc_id = d.doc_id AND t2.topic_id = ids.topic_id"""
+
+ORACLE["lda_step_given_topics"] = f"""WITH {inferred()},
+stats AS (SELECT topic_id, term, sum(n / norm * th) AS s FROM f2 JOIN t2 USING (doc_id) GROUP BY 1, 2)
+SELECT topic_id, term, {r('0.5 + stats.s * b')} AS weight FROM stats JOIN beta USING (topic_id, term)"""
+
+ORACLE["lda_step_by_ranges"] = ORACLE["lda_step_given_topics"]
+
+ORACLE["lda_bound_given_topics"] = f"""WITH {inferred()},
+parts AS (
+  SELECT (SELECT sum(n * ln(norm)) FROM f2) AS words,
+    (SELECT sum((0.25 - g) * lt + lgamma(g) - lgamma(0.25::DOUBLE)) FROM t2) AS topics_of_docs,
+    (SELECT sum(lgamma(1.0::DOUBLE) - lgamma(tot)) FROM (SELECT DISTINCT doc_id, tot FROM t2)) AS docs,
+    (SELECT sum((0.5 - l) * lb + lgamma(l) - lgamma(0.5::DOUBLE)) FROM beta) AS topics,
+    (SELECT sum(lgamma(CAST(0.5 * (SELECT count(DISTINCT term) FROM beta) AS DOUBLE)) - lgamma(s)) FROM (SELECT DISTINCT topic_id, s FROM beta)) AS whole,
+    (SELECT sum(n) FROM cnt) AS tokens)
+SELECT unnest(['whole', 'ranges']) AS topics, {r('(words + topics_of_docs + docs + topics + whole) / tokens')} AS bound FROM parts"""

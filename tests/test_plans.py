@@ -10,7 +10,7 @@ from topicloom.functions.tokens import split_words
 from topicloom.models.scoring import predict
 from topicloom.operators import relational as R
 from topicloom.operators import vocab as V
-from topicloom.operators.coherence import topic_pairs, window_counts
+from topicloom.operators.coherence import occurrences, topic_pairs, window_counts
 from topicloom.operators.phrases import apply_phrases
 from topicloom.operators.tfidf import fit_tfidf, load_tfidf
 from topicloom.plans.preprocess import tokenize
@@ -57,7 +57,8 @@ def test_a_hashed_corpus_is_not_shuffled_again(spark, placed):
     assert own_exchanges(apply_phrases(placed, phrases)) == 0
     topics = spark.createDataFrame([(0, 1, "york", 1.0), (0, 2, "jersey", 1.0)], "topic_id int, rank int, term string, weight double")
     pairs = topic_pairs(topics).persist()
-    assert own_exchanges(window_counts(placed, pairs, 110)) == 1  # the summed counts
+    found = occurrences(placed, topics.select(F.col("term").alias("word")))
+    assert own_exchanges(window_counts(found, pairs, 110)) == 1  # the summed counts
 
 
 @needs_data

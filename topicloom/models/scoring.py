@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from topicloom.models.lda import LdaTopics
 from topicloom.models.nmf import NmfModel
+from topicloom.models.online_lda import OnlineLda
 from topicloom.operators.tfidf import TfidfModel
 from topicloom.plans.preprocess import preprocess_new
 
@@ -47,7 +48,7 @@ def attach_words(predictions: DataFrame, topics: DataFrame, n: int = 10) -> Data
 
 def distributions(
     docs: DataFrame,
-    model: LdaTopics | NmfModel,
+    model: LdaTopics | OnlineLda | NmfModel,
     vectorizer: TfidfModel,
     phrase_tables: Sequence[DataFrame] = (),
     text: str = "text",
@@ -57,19 +58,19 @@ def distributions(
     """Topic weights (doc_id, w) of raw texts, with the phrases and the vocabulary of the training. NMF gives raw
     weights, LDA probabilities."""
     tokens = preprocess_new(docs, phrase_tables, text, stopwords, lexicon=lexicon)
-    if isinstance(model, LdaTopics):
+    if isinstance(model, (LdaTopics, OnlineLda)):
         return model.transform(vectorizer.bags(tokens))
     return model.transform(vectorizer.arrays(tokens, partitioned=True))
 
 
-def predict(docs: DataFrame, model: LdaTopics | NmfModel, vectorizer: TfidfModel, num_topics: int = 5, **options) -> DataFrame:
+def predict(docs: DataFrame, model: LdaTopics | OnlineLda | NmfModel, vectorizer: TfidfModel, num_topics: int = 5, **options) -> DataFrame:
     """Top topics with their words for every document: (doc_id, topics, dominant_topic, confidence)."""
     scored = top_topics(distributions(docs, model, vectorizer, **options), num_topics)
     return attach_words(scored, model.topics(10))
 
 
 def predict_batch(
-    docs: DataFrame, model: LdaTopics | NmfModel, vectorizer: TfidfModel, num_topics: int = 5, text: str = "text", **options
+    docs: DataFrame, model: LdaTopics | OnlineLda | NmfModel, vectorizer: TfidfModel, num_topics: int = 5, text: str = "text", **options
 ) -> DataFrame:
     """Predictions for a whole table; a row that cannot be scored keeps its id and text and gets an ``error``."""
     usable = docs.filter(F.col(text).isNotNull())

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicloom.functions.stopwords import merged_stopwords
-from topicloom.models.lda import LdaTopics, fit_lda, save_lda
 from topicloom.models.nmf import NmfModel, dominant_topic, fit_nmf, save_nmf
+from topicloom.models.online_lda import OnlineLda, fit_online_lda, save_online_lda
 from topicloom.models.tuning import grid_search_lda
 from topicloom.operators import metrics as M
 from topicloom.operators.tfidf import PRESETS, TfidfModel, fit_tfidf, save_tfidf
@@ -22,7 +22,7 @@ from topicloom.sources import writers
 
 @dataclass(frozen=True)
 class Trained:
-    lda: LdaTopics
+    lda: OnlineLda
     nmf: NmfModel
     dictionary: TfidfModel
     vectorizer: TfidfModel
@@ -64,7 +64,7 @@ def train(
         options.pop("k")
         lda = grid_search_lda(tokens, bags, dictionary.vocab, optimize_counts, **options).model
     else:
-        lda = fit_lda(bags, dictionary.vocab, **options)
+        lda = fit_online_lda(bags, dictionary.vocab, **options)
 
     vectorizer = fit_tfidf(tokens, stop_words=words, **PRESETS[preset])
     rows = vectorizer.arrays(tokens, partitioned=True).persist()
@@ -86,7 +86,7 @@ def train(
 
 def _store(result: Trained, corpus: DataFrame, dominant: DataFrame, docs: DataFrame, path: str) -> None:
     writers.write_corpus(corpus, f"{path}/preprocessed")
-    save_lda(result.lda, f"{path}/lda_model")
+    save_online_lda(result.lda, f"{path}/lda_model")
     save_nmf(result.nmf, f"{path}/nmf_model")
     save_tfidf(result.dictionary, f"{path}/dictionary")
     save_tfidf(result.vectorizer, f"{path}/vectorizer")

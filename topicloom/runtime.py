@@ -4,6 +4,9 @@ lineage cuts and the canonical partitioning of a corpus."""
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +15,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROW_LIMIT = 500_000
 BROADCAST_BYTE_LIMIT = 128 << 20
 
-# A k x V factor matrix is held by the driver and every task only within this many cells (8 bytes each).
-FACTOR_CELL_LIMIT = 32_000_000
+# k x V factors are held by the driver and every task only within this many cells (8 bytes each); larger ones stay tables of term ranges.
+FACTOR_CELL_LIMIT = 16_000_000
 
 
 class DataValidationError(ValueError):
@@ -59,6 +62,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own below the checkpoint folder, for tables that one call writes and reads; deleted when the call ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/topicloom-{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def by_document(df: DataFrame, key: str = "doc_id") -> DataFrame:
     """Hash-partition a corpus by its document key. One shuffle of the compact rows here makes
     the later per-document groupings, windows and joins free of exchanges."""
@@ -75,3 +89,9 @@ def merge_partitions(df: DataFrame, wanted: int) -> DataFrame:
     repeated passes over a small table do not pay for many near-empty tasks."""
     wanted = max(wanted, df.sparkSession.sparkContext.defaultParallelism)
     return df.coalesce(wanted) if df.rdd.getNumPartitions() > wanted else df
+
+
+def spread_partitions(df: DataFrame, wanted: int) -> DataFrame:
+    """``df`` in at least ``wanted`` partitions, for passes whose work is large although the table is small: adaptive execution merges
+    partitions by their bytes."""
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
