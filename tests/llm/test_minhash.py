@@ -109,5 +109,42 @@ def test_crowded_region_of_many_hubs(documents):
     assert result(H.find_groups(documents(*docs))) == brute(docs)
 
 
+def test_unlinked_near_copies_send_no_pairs(spark, documents, prose, monkeypatch):
+    """Near copies of one text that are hardly linked: what the last comparison sends grows with the texts, not with their pairs."""
+    rng, marks = random.Random(8), []
+    linked = H.linked_within
+    monkeypatch.setattr(H, "linked_within", lambda docs, sets, marked, percent: marks.append(marked.count()) or linked(docs, sets, marked, percent))
+    base = prose(300, 3)
+    for n in (150, 300):
+        docs = [(k, edited(base, *rng.sample(range(5, 295, 8), 5))) for k in range(n)]
+        assert result(H.find_groups(documents(*docs))) == brute(docs)
+    assert 0 < marks[1] < 2.6 * marks[0] and marks[1] < 300 * H.TREES < 300 * 299 / 2
+
+
+def test_forest(monkeypatch):
+    """Links of exact sets over small column blocks: as many as join what is linked."""
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(H, "COLUMNS", 7)
+    rng = np.random.default_rng(2)
+    bases = [rng.integers(0, 1 << 60, 40) for _ in range(3)]
+    sets = [np.unique(np.concatenate([rng.choice(bases[k % 3], 37, replace=False), rng.integers(0, 1 << 60, k % 2)])) for k in range(24)]
+    comp = [k // 2 for k in range(24)]
+    for right in ([False] * 24, [k % 4 > 1 for k in range(24)]):
+        rows = pa.table({"task": [1] * 24, "right": right, "id": [bytes([k]) for k in range(24)], "comp": comp, "hashes": [s.tolist() for s in sets]})
+        links = {(i, j) for i, j in combinations(range(24), 2) if comp[i] != comp[j] and (right[i] != right[j] or not any(right)) and 100 * len(set(sets[i]) & set(sets[j])) >= 85 * len(set(sets[i]) | set(sets[j]))}
+        found = [(a[0], b[0]) for batch in H.forest(rows, 85) for a, b in zip(*(c.to_pylist() for c in batch.columns))]
+        assert set(found) <= links and len(found) < 12
+
+        def groups(pairs):
+            label = list(comp)
+            for i, j in pairs:
+                label = [label[i] if x == label[j] else x for x in label]
+            return {frozenset(k for k in range(24) if label[k] == x) for x in label}
+
+        assert groups(found) == groups(links)
+
+
 def test_agreements():
     assert [H.agreements(p)[1] for p in (85, 80)] == [86, 78]

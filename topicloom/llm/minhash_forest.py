@@ -2,7 +2,9 @@
 of its own. Texts that share a long enough prefix there form a region; in a region a text is compared with its neighbours
 in the sorted order, whose common prefix is longest, and with the centres of the region, texts whose values are
 the most common. Each candidate pair is confirmed on the full shingle sets. Texts of one region that these links have left
-in different components are then compared with each other, all of them, so that a crowded region loses no link."""
+in different components are then compared with each other, all of them, so that a crowded region loses no link: by their
+signatures first, and those that may be linked by their full sets, inside the task that compares two chunks of the
+region. It sends a spanning forest of the links it confirmed, and nothing for pairs that are none."""
 
 from __future__ import annotations
 
@@ -24,7 +26,9 @@ LEVELS = (3, 8)  # depths at which a region has centres
 CENTRES = 4  # of each region: the one of the most common values among the texts of each hash class
 TAIL = 12  # values of a signature that a tree sorts by
 NEIGHBOURS = 2
-CHUNK = 512  # texts of a region that one step compares with as many others
+CHUNK = 512  # texts of a region that one step compares with as many others; a long text counts as several
+LONG = 2048  # shingles that count as one text there
+COLUMNS = 8192  # shingles whose holders are multiplied at a time
 MISSED = 2.5e-7  # share of the linked pairs whose signatures may agree in fewer values than are asked for
 BROADCAST_IDS = 1_000_000
 VALUES = 128
@@ -120,7 +124,7 @@ def candidates(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     paths = F.array(*[path(t) for t in range(TREES)])
     live = sets.join(trees, "id").select("id", "weight", F.explode("trees").alias("tree"), paths.alias("paths"))
     live = stage(live.select("id", "weight", "tree", F.col("paths")[F.col("tree")].alias("path")))
-    members = live.select("id", F.xxhash64("tree", F.slice("path", 1, DEPTH)).alias("region"))
+    members = live.select("id", "tree", F.xxhash64("tree", F.slice("path", 1, DEPTH)).alias("region"))
     # texts of equal weight differ in the sizes of their deep regions, which take in every value of the signature
     deep = live.select("id", F.xxhash64("tree", F.slice("path", 1, VALUES // TREES)).alias("region"))
     sizes = stage(deep.groupBy("region").agg(F.count(F.lit(1)).alias("n")))
@@ -165,35 +169,45 @@ def agreements(percent: int, values: int = VALUES) -> tuple[int, int]:
 
 
 def across(sets: DataFrame, members: DataFrame, roots: DataFrame, percent: int, agreeing: int, best: bool) -> DataFrame | None:
-    """Distinct pairs (a, b), a < b, of sets of one region and of different components whose signatures agree in ``agreeing``
-    values: every such pair, or with ``best`` those that agree most for one of the two among the texts of two chunks.
-    None if no region has two components. ``sets``: id, n, signature; ``members``: id, region; ``roots``: id, root.
+    """Sets of one region and of different components whose signatures agree in ``agreeing`` values, from the tasks that compare two
+    chunks of a region each. With ``best`` distinct pairs (a, b), a < b: for each text of a task the one that agrees most; without it
+    the texts (task, right, id, comp) that agree with one of the other side, each pair being met in the first tree they share.
+    None if no region has two components. ``sets``: id, n, signature; ``members``: id, tree, region; ``roots``: id, root.
 
     A component that fills chunks is cut into some of its own, the small ones of a region share chunks, and each two chunks
     are compared by a task, but for two of the same component. So the work follows what is not linked yet."""
-    slim = members.join(roots, "id", "left").select("id", F.xxhash64(F.coalesce("root", "id")).alias("comp"), "region")
-    counts = stage(slim.groupBy("region", "comp").agg(F.count(F.lit(1)).alias("n")))
-    small = F.sum(F.when(F.col("n") < CHUNK, F.col("n")).otherwise(0))
+    weight = F.ceil(F.col("n") / LONG).alias("weight")
+    slim = members.join(sets.select("id", weight), "id").join(roots, "id", "left")
+    slim = slim.select("id", "tree", "weight", F.xxhash64(F.coalesce("root", "id")).alias("comp"), "region")
+    counts = stage(slim.groupBy("region", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("weight")))
+    small = F.sum(F.when(F.col("weight") < CHUNK, F.col("weight")).otherwise(0))
     whole = counts.groupBy("region").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("n"), F.ceil(small / CHUNK).alias("shared"))
     whole = stage(whole.filter("kinds > 1 AND n > 2").select("region", F.greatest("shared", F.lit(1)).alias("shared")))
     if whole.isEmpty():
         return None
-    large = counts.filter(F.col("n") >= CHUNK).join(whole, "region", "left_semi")
-    large = stage(large.select("region", "comp", F.ceil(F.col("n") / CHUNK).alias("cuts")))
+    large = counts.filter(F.col("weight") >= CHUNK).join(whole, "region", "left_semi")
+    large = stage(large.select("region", "comp", F.ceil(F.col("weight") / CHUNK).alias("cuts")))
     rows = slim.join(whole, "region").join(large, ["region", "comp"], "left")
     own = F.when(F.col("cuts").isNotNull(), F.col("comp"))
     slot = F.when(F.col("cuts").isNotNull(), F.pmod(F.xxhash64("id"), F.col("cuts"))).otherwise(F.pmod(F.xxhash64("comp"), F.col("shared")))
-    rows = stage(rows.select("id", "comp", "region", own.alias("own"), F.xxhash64("region", own.isNull(), own, slot).alias("chunk")))
+    rows = stage(rows.select("id", "tree", "comp", "region", own.alias("own"), F.xxhash64("region", own.isNull(), own, slot).alias("chunk")))
     chunks = stage(rows.select("region", "chunk", "own").distinct())
     other = chunks.select("region", F.col("chunk").alias("with"), F.col("own").alias("own_with"))
     two = chunks.join(other, "region").filter(~F.coalesce(F.col("own") == F.col("own_with"), F.lit(False)) & (F.col("chunk") <= F.col("with")))
     two = two.select(F.xxhash64("chunk", "with").alias("task"), F.expr("explode(array_distinct(array(struct(chunk, false as right), struct(with as chunk, chunk != with as right))))").alias("s"))
     two = stage(two.select("task", "s.*"))
-    dealt = rows.select("id", "comp", "chunk").join(two, "chunk").select("task", "right", "id", "comp")
-    parts = max(1, int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    full = dealt.join(sets, "id").select("task", "right", "id", "comp", "n", "signature")
+    dealt = rows.select("id", "tree", "comp", "chunk").join(two, "chunk").select("task", "right", "id", "comp", "tree")
+    full = dealt.join(sets, "id").select("task", "right", "id", "comp", "tree", "n", "signature")
+    if best:
+        return _by_task(full, lambda held: best_pairs(held, percent, agreeing), "a binary, b binary").distinct()
+    return _by_task(full, lambda held: agreeing_texts(held, percent, agreeing), "task bigint, right boolean, id binary, comp bigint")
+
+
+def _by_task(rows: DataFrame, meet, schema: str) -> DataFrame:
+    """``meet`` over the rows of each task, as an Arrow table with its numbers."""
+    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
@@ -202,25 +216,26 @@ def across(sets: DataFrame, members: DataFrame, roots: DataFrame, percent: int,
             edges = np.concatenate([[0], np.flatnonzero(task[1:] != task[:-1]) + 1, [len(task)]])
             for a, b in zip(edges.tolist(), edges[1:].tolist()):
                 if held and held[0].column(0)[0].as_py() != int(task[a]):
-                    yield from meet(held, percent, agreeing, best)
+                    yield from meet(pa.Table.from_batches(held).combine_chunks())
                     held = []
                 held.append(batch.slice(a, b - a))
-        yield from meet(held, percent, agreeing, best)
+        if held:
+            yield from meet(pa.Table.from_batches(held).combine_chunks())
 
-    return full.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(compare, "a binary, b binary").distinct()
+    return rows.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(run, schema)
+
+
+def _sides(right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows to compare with each other: left with right, or all where none is right."""
+    left = np.flatnonzero(~right)
+    return left, np.flatnonzero(right) if right.any() else left
 
 
-def meet(held: list[pa.RecordBatch], percent: int, agreeing: int, best: bool) -> Iterator[pa.RecordBatch]:
-    """The pairs (a, b) of the rows (task, right, id, comp, n, signature) of one task, left with right or all where none is right; with
-    ``best`` for each row the one whose signature agrees most."""
-    if not held:
-        return
-    t = pa.Table.from_batches(held).combine_chunks()
+def _agreeing(t: pa.Table, percent: int, agreeing: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, agreements, signatures) of the pairs of rows of different components that agree in enough values."""
     right, comp, n = (t[c].to_numpy() for c in ("right", "comp", "n"))
     signature = t["signature"].combine_chunks().flatten().to_numpy().reshape(-1, VALUES)
-    left = np.flatnonzero(~right)
-    against = np.flatnonzero(right) if right.any() else left
-    most, mate = np.full(len(n), agreeing - 1), np.zeros(len(n), np.int64)
+    left, against = _sides(right)
     for k in range(0, len(left), 16):
         rows = left[k : k + 16]
         can = comp[rows, None] != comp[against]
@@ -231,22 +246,80 @@ def meet(held: list[pa.RecordBatch], percent: int, agreeing: int, best: bool) ->
         for c in range(0, len(x), 8192):
             i, j = rows[x[c : c + 8192]], against[y[c : c + 8192]]
             same = (signature[i] == signature[j]).sum(1)
-            near = np.flatnonzero(same >= agreeing)
-            if best:
-                near = near[np.argsort(same[near], kind="stable")]
-                for own, its in ((i[near], j[near]), (j[near], i[near])):
-                    last = np.full(len(n), -1)
-                    last[own] = np.arange(len(near))  # the last is the largest
-                    at = np.flatnonzero(last >= 0)
-                    at = at[same[near[last[at]]] > most[at]]
-                    most[at], mate[at] = same[near[last[at]]], its[last[at]]
-            elif len(near):
-                yield _pairs(t["id"], i[near], j[near])
+            near = same >= agreeing
+            if near.any():
+                yield i[near], j[near], same[near], signature
+
+
+def best_pairs(t: pa.Table, percent: int, agreeing: int) -> Iterator[pa.RecordBatch]:
+    most, mate = np.full(len(t), agreeing - 1), np.zeros(len(t), np.int64)
+    for i, j, same, _ in _agreeing(t, percent, agreeing):
+        near = np.argsort(same, kind="stable")
+        for own, its in ((i[near], j[near]), (j[near], i[near])):
+            last = np.full(len(t), -1)
+            last[own] = np.arange(len(near))  # the last is the largest
+            at = np.flatnonzero(last >= 0)
+            at = at[same[near[last[at]]] > most[at]]
+            most[at], mate[at] = same[near[last[at]]], its[last[at]]
     own = np.flatnonzero(most >= agreeing)
-    if best and len(own):
+    if len(own):
         yield _pairs(t["id"], own, mate[own])
 
 
+def agreeing_texts(t: pa.Table, percent: int, agreeing: int) -> Iterator[pa.RecordBatch]:
+    tree = t["tree"][0].as_py()
+    found = np.zeros(len(t), bool)
+    for i, j, _, signature in _agreeing(t, percent, agreeing):
+        first = np.ones(len(i), bool)
+        for earlier in range(tree):
+            places = tree_order(earlier)[:DEPTH]
+            first &= (signature[i][:, places] != signature[j][:, places]).any(axis=1)
+        found[i[first]] = found[j[first]] = True
+    if found.any():
+        yield from t.filter(pa.array(found)).select(["task", "right", "id", "comp"]).to_batches()
+
+
+def linked_within(docs: DataFrame, sets: DataFrame, marked: DataFrame, percent: int) -> DataFrame:
+    """A spanning forest (a, b) of the links between the texts ``marked`` (task, right, id, comp) of each task, by their full sets."""
+    wanted = stage(marked.select("id").distinct().join(sets.select("id", "first_doc"), "id").select(F.col("first_doc").alias("doc_id")).distinct())
+    full = stage(full_sets(docs, wanted).dropDuplicates(["id"]))
+    rows = marked.join(full, "id").select("task", "right", "id", "comp", "hashes")
+    return stage(_by_task(rows, lambda held: forest(held, percent), "a binary, b binary").distinct())
+
+
+def forest(t: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+    right, comp = t["right"].to_numpy(), t["comp"].to_numpy()
+    left, against = _sides(right)
+    lists = t["hashes"].combine_chunks()
+    sizes = np.diff(lists.offsets.to_numpy())
+    row = np.repeat(np.arange(len(t)), sizes)
+    _, column, copies = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    shared = copies[column] > 1
+    row, column = row[shared], np.unique(column[shared], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(left), len(against)), np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, (first, first + COLUMNS))
+        held = np.zeros((len(t), COLUMNS), np.float32)
+        held[row[a:b], column[a:b] - first] = 1
+        common += held[left] @ held[against].T
+    union = sizes[left][:, None] + sizes[against] - common
+    x, y = np.nonzero((100 * common >= percent * union) & (comp[left][:, None] != comp[against]))
+    i, j = left[x], against[y]
+    label = np.unique(comp, return_inverse=True)[1]
+    kept: list[tuple[int, int]] = []
+    while len(i):
+        open_ = label[i] != label[j]
+        i, j = i[open_], j[open_]
+        for at in np.unique(label[i], return_index=True)[1]:
+            if label[i[at]] != label[j[at]]:
+                kept.append((i[at], j[at]))
+                label[label == label[j[at]]] = label[i[at]]
+    if kept:
+        yield _pairs(t["id"], *np.array(kept).T)
+
+
 def _pairs(ids: pa.ChunkedArray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
     names = ids.take(pa.array(np.concatenate([i, j]))).to_pylist()
     pairs = [sorted(p) for p in zip(names[: len(i)], names[len(i) :])]
@@ -326,10 +399,10 @@ def find_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     roots = stage(components(confirm(docs, sets, pairs, percent)))
     likely, least = agreements(percent)
     for agreeing, best in ((likely, True), (least, False)):  # what likely links join is not compared again
-        pairs = across(sets.select("id", "n", "signature"), members, roots, percent, agreeing, best)
-        if pairs is None:
+        found = across(sets.select("id", "n", "signature"), members, roots, percent, agreeing, best)
+        if found is None:
             break
-        links = confirm(docs, sets, pairs, percent)
+        links = confirm(docs, sets, found, percent) if best else linked_within(docs, sets, stage(found), percent)
         if not links.isEmpty():
             roots = stage(components(links.unionByName(roots.select(F.col("id").alias("a"), F.col("root").alias("b")))))
     sizes = sets.select("id", "n", "first_doc")
