@@ -61,7 +61,8 @@ def test_stages(spark, con):
 
     left = stages["near_duplicates"](spark, docs, SF)
     assert left.columns == columns
-    first = con.sql(f"SELECT doc_id FROM ({ORACLE['op4_minhash_forest']}) WHERE kept ORDER BY 1").fetchall()
+    statement = ORACLE["op4_minhash_forest"].replace("85 * (p.n", f"{corpus_pipeline.SIMILAR} * (p.n")
+    first = con.sql(f"SELECT doc_id FROM ({statement}) WHERE kept ORDER BY 1").fetchall()
     assert sorted(r.doc_id for r in left.collect()) == [r[0] for r in first]
 
     clean = stages["decontamination"](spark, docs, SF)

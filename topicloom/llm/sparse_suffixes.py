@@ -125,9 +125,11 @@ def passages(docs: DataFrame, grams: np.ndarray) -> DataFrame:
         for _, data, offsets in B.blocks(column):
             b = Block(data, offsets)
             g = b.grams[b.keep[b.run_first]]
+            if not len(known):  # a slice without grams
+                g = g[:0]
             at = np.searchsorted(known, g)
             at[at == len(known)] = 0
-            hit = np.flatnonzero(np.repeat(known[at] == g, b.run_size))
+            hit = np.flatnonzero(np.repeat(known[at] == g, b.run_size if len(known) else b.run_size[:0]))
             h = b.hashes(hit)
             _, once = np.unique(h ^ B.mix(b.row[hit].astype(np.uint64)), return_index=True)
             once.sort()

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 
 # Texts are worked on in runs of about so many bytes.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 U64 = np.uint64
 _rng = np.random.default_rng(20240607)
