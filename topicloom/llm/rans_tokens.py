@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from topicloom.llm import textbytes as B
-from topicloom.llm.staging import folder
+from topicloom.llm.staging import folder, stage
 
 SCALE = 18  # frequencies add up to 2^SCALE
 LANES = 4096
@@ -210,53 +210,51 @@ def read_definition(path: str | None) -> str:
         return file.read()
 
 
-def count_ids(docs: DataFrame, definition, end_id: int = END_ID) -> np.ndarray:
-    """How often each id stands in all texts, ends included. Different parts are counted first and encoded once each."""
+def encode_texts(docs: DataFrame, definition, end_id: int) -> DataFrame:
+    """(doc_id, th, ids) of every row, staged: the ids of its text, the end included, as little-endian integers of 2 bytes, or of 4 where the
+    vocabulary needs them; th is the hash of the text. Texts are tokenized here and nowhere else."""
 
-    def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-        rows = size = 0
-        for batch in batches:
-            rows += batch.num_rows
-            for _, data, offsets in B.blocks(batch.column(0)):
-                counts = units(data, offsets, added_tokens(definition.value))[0].value_counts()
-                held.append(pa.table({"part": counts.field("values"), "n": counts.field("counts")}))
-                size += len(counts)
-                if size > 2 * REMEMBERED:
-                    held = [_counted(held)]
-                    size = held[0].num_rows
-                    if size > REMEMBERED:
-                        yield from _batches(held[0])
-                        held, size = [], 0
-        held.append(pa.table({"part": pa.array([""], pa.large_string()), "n": pa.array([rows], pa.int64())}))  # ends
-        yield from _batches(_counted(held))
-
-    def ids_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(definition.value)
-        total = np.zeros(max(own.size, end_id + 1), np.int64)
+        kind = id_type(own.size, end_id)
         for batch in batches:
-            parts, n = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-            found = [[end_id] if not p else ids for p, ids in zip(parts, own.encode_units(parts))]
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            ids = np.fromiter(itertools.chain.from_iterable(found), np.int64, int(lengths.sum()))
-            np.add.at(total, ids, np.repeat(n, lengths))
-        used = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(used), pa.array(total[used])], ["id", "n"])
+            for first, data, offsets in B.blocks(batch.column(2)):
+                ids, counts = own.encode_block(data, offsets)
+                n = len(counts)
+                ids = np.insert(ids, np.cumsum(counts), end_id).astype(kind)
+                edges = (np.concatenate([[0], np.cumsum(counts + 1)]) * kind.itemsize).astype(np.int32)
+                column = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(edges), pa.py_buffer(ids)])
+                yield pa.record_batch([batch.column(0).slice(first, n), batch.column(1).slice(first, n), column], ["doc_id", "th", "ids"])
 
-    parts = docs.select("text").mapInArrow(parts_of, "part string, n bigint").groupBy("part").agg(F.sum("n").alias("n"))
-    counted = parts.mapInArrow(ids_of, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(max(encoder(definition.value).size, end_id + 1), np.int64)
-    out[counted["id"].to_numpy()] = counted["n"].to_numpy()
-    return out
+    keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
+    return stage(keyed.mapInArrow(run, "doc_id bigint, th bigint, ids binary"))
+
+
+def id_type(size: int, end_id: int) -> np.dtype:
+    return np.dtype("<u2" if max(size, end_id + 1) <= 1 << 16 else "<u4")
 
 
-def _counted(held: list[pa.Table]) -> pa.Table:
-    added = pa.concat_tables(held).group_by("part", use_threads=False).aggregate([("n", "sum")])
-    return pa.table({"part": added["part"], "n": added["n_sum"]})
+def _ids(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a binary column, and the number of each row."""
+    edges = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    body = np.frombuffer(column.buffers()[2], np.uint8)[edges[0] : edges[-1]] if len(column) else np.zeros(0, np.uint8)
+    return body.view(kind), np.diff(edges) // kind.itemsize
 
 
-def _batches(counts: pa.Table) -> list[pa.RecordBatch]:
-    return counts.cast(pa.schema([("part", pa.string()), ("n", pa.int64())])).to_batches(100_000)
+def count_ids(encoded: DataFrame, size: int, kind: np.dtype) -> np.ndarray:
+    """How often each of the ids below ``size`` stands in the encoded texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            total += np.bincount(_ids(batch.column(0), kind)[0], minlength=size)
+        used = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(used), pa.array(total[used])], ["id", "n"])
+
+    counted = encoded.select("ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size, np.int64)
+    out[counted["id"].to_numpy()] = counted["n"].to_numpy()
+    return out
 
 
 def write_blocks(docs: DataFrame, path: str, tokenizer_file: str | None = None, end_id: int = END_ID) -> Table:
@@ -267,39 +265,43 @@ def write_blocks(docs: DataFrame, path: str, tokenizer_file: str | None = None,
     reader needs."""
     spark = docs.sparkSession
     definition = spark.sparkContext.broadcast(read_definition(tokenizer_file))
-    table = Table(count_ids(docs, definition, end_id))
+    size = max(encoder(definition.value).size, end_id + 1)
+    kind = id_type(size, end_id)
+    encoded = encode_texts(docs, definition, end_id)
+    table = Table(count_ids(encoded, size, kind))
     known = spark.sparkContext.broadcast(table)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, number = TaskContext.get().partitionId(), 0
-        own = encoder(definition.value)
-        docs_held, ids_held, held = [], [], 0
+        docs_held, counts_held, ids_held, held = [], [], [], 0
 
         def out() -> pa.RecordBatch:
-            counts = pa.array([[len(x) for x in ids_held]], pa.list_(pa.int64()))
-            payload = known.value.encode(np.concatenate(ids_held))
-            return pa.record_batch([pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([docs_held], pa.list_(pa.int64())), counts, pa.array([payload], pa.binary())], ["part", "block", "doc_ids", "counts", "payload"])
+            payload = known.value.encode(np.concatenate(ids_held).astype(np.uint32))
+            return pa.record_batch([pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([docs_held], pa.list_(pa.int64())), pa.array([counts_held], pa.list_(pa.int64())), pa.array([payload], pa.binary())], ["part", "block", "doc_ids", "counts", "payload"])
 
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for first, data, offsets in B.blocks(batch.column(1)):
-                ids, counts = own.encode_block(data, offsets)
-                edges = np.concatenate([[0], np.cumsum(counts)])
-                for k in range(len(counts)):
-                    docs_held.append(names[first + k])
-                    ids_held.append(np.append(ids[edges[k] : edges[k + 1]], np.uint32(end_id)))
-                    held += len(ids_held[-1])
-                    if held >= BLOCK_IDS:
-                        yield out()
-                        docs_held, ids_held, held, number = [], [], 0, number + 1
+            ids, counts = _ids(batch.column(1), kind)
+            ends = np.cumsum(counts)
+            first = 0
+            while first < len(names):  # whole documents until the block is full
+                before = int(ends[first - 1]) if first else 0
+                last = min(len(names), int(np.searchsorted(ends, before + BLOCK_IDS - held)) + 1)
+                docs_held += names[first:last]
+                counts_held += counts[first:last].tolist()
+                ids_held.append(ids[before : ends[last - 1]].copy())
+                held += len(ids_held[-1])
+                if held >= BLOCK_IDS:
+                    yield out()
+                    docs_held, counts_held, ids_held, held, number = [], [], [], 0, number + 1
+                first = last
         if docs_held:
             yield out()
 
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
-    ordered = keyed.repartitionByRange(parts, "doc_id", "th").sortWithinPartitions("doc_id", "th").select("doc_id", "text")
+    ordered = encoded.repartitionByRange(parts, "doc_id", "th").sortWithinPartitions("doc_id", "th").select("doc_id", "ids")
     schema = "part int, block int, doc_ids array<bigint>, counts array<bigint>, payload binary"
     ordered.mapInArrow(blocks, schema).write.parquet(path)
     return table
