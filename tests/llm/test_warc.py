@@ -1,11 +1,17 @@
+import base64
 import gzip
+import hashlib
 import json
+import uuid
+from html.parser import HTMLParser
 
 import pytest
 
 from topicloom.llm import warc as W
+from topicloom.llm.catalog import QUERIES
 from topicloom.llm.staging import folder
 
+SF = "/root/testdata/sf0.01"
 PAGE = """<!DOCTYPE html><html><head><title>A &amp; B</title><style>p{}</style><script>var t="</p>";</script></head>
 <body><!-- gone --><nav><a href="/x?a=1&amp;b=2">X</a></nav><p>One <b>two</b>&nbsp;three</p><div>x &lt; y</div><script>no</script></body></html>"""
 
@@ -97,3 +103,71 @@ def test_head_without_end_tag():
         "<header>Top</header><head>": "Top",
     }
     assert {page: W.plain_text(page) for page in shown} == shown
+
+
+def test_ids_are_name_based_uuids():
+    for parts in (("response", "1", "", "x"), ("metadata", "é|")):
+        assert W.record_id(*parts) == f"<urn:uuid:{uuid.uuid5(W.SPACE, '|'.join(parts))}>"
+
+
+@pytest.mark.parametrize("size", [1, 7, 100, 10**9])
+def test_records_from_pieces(size):
+    made = [r for page in (PAGE, "", "a\r\n\r\n\r\n\r\nb\r\n", "\r\n") for _, _, r in W.derive(W.respond(1, "u", page)[1])]
+    data = b"".join(r + W.END.encode() for r in made)
+    pieces = [(1, data[k : k + size]) for k in range(0, len(data), size)]
+    assert [W.assemble([h for h in headers if h[0] != "Content-Length"], block) for headers, block in W._records(pieces)] == made
+    for cut in ([(1, data[:-20])], [(1, data[:-20]), (2, data)], [(1, b"junk" + data)]):
+        with pytest.raises(ValueError, match="no record"):
+            list(W._records(cut))
+
+
+def test_plain_and_gzip_files_by_any_name(spark, tmp_path):
+    records = [r + W.END.encode() for _, _, r in W.derive(W.respond(1, "u", PAGE)[1])]
+    (tmp_path / "a.warc").write_bytes(b"".join(records))
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in records))
+    (tmp_path / "c.gzip").write_bytes(b"".join(records))
+    assert sorted(r.kind for r in W.read_files(spark, str(tmp_path)).collect()) == ["conversion"] * 3 + ["metadata"] * 3
+
+
+class Shown(HTMLParser):
+    """The visible text of a page by the parser of the standard library, as words."""
+
+    def __init__(self):
+        super().__init__()
+        self.hidden, self.words, self.links, self.title, self.in_title = 0, [], 0, [], False
+
+    def handle_starttag(self, tag, attrs):
+        self.hidden += tag in ("script", "style", "noscript", "template", "head")
+        self.in_title |= tag == "title"
+        self.links += tag == "a" and any(k == "href" for k, _ in attrs)
+
+    def handle_endtag(self, tag):
+        self.hidden -= tag in ("script", "style", "noscript", "template", "head")
+        self.in_title &= tag != "title"
+
+    def handle_data(self, data):
+        if self.in_title:
+            self.title.append(data)
+        elif not self.hidden:
+            self.words.append(data)
+
+
+def test_query_against_a_second_derivation(spark):
+    """Every page of the table: its words, title, links and digests made anew by other means, without the module."""
+    pages = {r.page_id: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    rows = QUERIES["op10_warc_derivatives"](spark, SF).collect()
+    assert sorted(r.page_id for r in rows) == sorted(pages)
+    for r in rows:
+        page = pages[r.page_id].html or ""
+        data = page.encode()
+        shown = Shown()
+        shown.feed(page)
+        own = "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+        name = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, '|'.join(['response', str(r.page_id), pages[r.page_id].url or '', own]))}>"
+        assert (r.response_id, r.payload_digest, r.payload_bytes, r.digest_agrees, r.linked) == (name, own, len(data), True, True)
+        assert (r.url, r.n_links) == (pages[r.page_id].url, shown.links)
+        assert (r.title or "") == " ".join("".join(shown.title).split())
+        assert r.metadata_id == f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, 'metadata|' + name)}>"
+        text = W.plain_text(page)
+        assert "".join(text.split()) == "".join("".join(shown.words).split())
+        assert (r.text_chars, r.text_sha256) == (len(text), hashlib.sha256(text.encode()).hexdigest())

@@ -209,11 +209,15 @@ def op10_warc_derivatives(spark, sf):
     path = folder(spark)
     W.write_files(W.derivatives(W.responses(pages)), path)
     read = W.read_files(spark, path)
-    meta = F.from_json("block", "payload struct<stated:string,computed:string,length:bigint>, conversion string, title string, links array<string>")
+    meta = F.from_json(
+        "block",
+        "source struct<warc:array<array<string>>>, payload struct<stated:string,computed:string,length:bigint>, conversion string, title string, links array<string>",
+    )
     kinds = {k: F.col("kind") == k for k in ("metadata", "conversion")}
     own = read.withColumn("m", F.when(kinds["metadata"], meta))
     # a response has one record of each kind; rows that repeat a page repeat its records
     values = {
+        "page_id": F.get(F.filter("m.source.warc", lambda h: h[0] == W.PAGE), 0)[1].cast("bigint"),
         "metadata_id": F.when(kinds["metadata"], F.col("record_id")),
         "conversion_id": F.when(kinds["conversion"], F.col("record_id")),
         "named": F.col("m.conversion"),
@@ -227,8 +231,8 @@ def op10_warc_derivatives(spark, sf):
         "text_sha256": F.when(kinds["conversion"], F.sha2("block", 256)),
     }
     flat = own.select("refers_to", *[v.alias(k) for k, v in values.items()])
-    both = flat.groupBy(F.col("refers_to").alias("response_id")).agg(*[F.max(k).alias(k) for k in values])
-    return W.response_ids(pages).join(both, "response_id").select(
+    both = flat.groupBy(F.col("refers_to").alias("response_id")).agg(*[F.max(k).alias(k) for k in values], F.count("metadata_id").alias("rows"))
+    return both.withColumn("row", F.explode(F.sequence(F.lit(1), "rows"))).select(
         "page_id",
         "response_id",
         "metadata_id",

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 import base64
 import gzip
-import hashlib
 import html
 import json
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from hashlib import sha1
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +25,8 @@ END = "\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
 SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the namespace of URLs
 RECORDS_PER_FILE = 20_000
+CHUNK_BYTES = 8 << 20  # of records that a task hands on at a time
+PAGE = "X-Page-ID"  # the header of a response that names its page
 FIELDS = "kind string, record_id string, refers_to string, target_uri string, block_digest string, block string"
 
 _comment = re.compile(r"<!--.*?(?:-->|$)", re.S)
@@ -44,17 +46,21 @@ _charset = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 
 
 def digest(data: bytes) -> str:
-    return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+    return "sha1:" + base64.b32encode(sha1(data).digest()).decode()
 
 
 def record_id(*parts: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(SPACE, '|'.join(parts))}>"
+    """The name-based UUID (version 5) of the parts."""
+    h = bytearray(sha1(SPACE.bytes + "|".join(parts).encode("utf-8", "replace")).digest()[:16])
+    h[6], h[8] = h[6] & 0x0F | 0x50, h[8] & 0x3F | 0x80
+    x = h.hex()
+    return f"<urn:uuid:{x[:8]}-{x[8:12]}-{x[12:16]}-{x[16:20]}-{x[20:]}>"
 
 
 def assemble(headers: list[tuple[str, str]], block: bytes) -> bytes:
     """A record without its two closing line ends. Line ends in a value become blanks."""
-    own = [(k, re.sub(r"[\r\n]+", " ", v)) for k, v in headers] + [("Content-Length", str(len(block)))]
-    return ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in own) + "\r\n").encode() + block
+    own = "".join([f"{k}: {re.sub(r'[\r\n]+', ' ', v) if chr(10) in v or chr(13) in v else v}\r\n" for k, v in headers])
+    return f"WARC/1.1\r\n{own}Content-Length: {len(block)}\r\n\r\n".encode("utf-8", "replace") + block
 
 
 def headers_of(lines: bytes) -> list[tuple[str, str]]:
@@ -85,16 +91,21 @@ def get(headers: list[tuple[str, str]], name: str, default: str = "") -> str:
     return next((v for k, v in headers if k.lower() == name.lower()), default)
 
 
-def body_of(headers: list[tuple[str, str]], body: bytes) -> bytes:
+def first_of(headers: list[tuple[str, str]]) -> dict[str, str]:
+    """The first value of each header by its name in lower case."""
+    return {k.lower(): v for k, v in reversed(headers)}
+
+
+def body_of(headers: dict[str, str], body: bytes) -> bytes:
     """The entity of an HTTP response: chunks joined, compression undone. What cannot be undone stays as it is."""
     try:
-        if get(headers, "transfer-encoding").lower() == "chunked":
+        if headers.get("transfer-encoding", "").lower() == "chunked":
             out, at = [], 0
             while (stop := body.find(b"\r\n", at)) >= 0 and (size := int(body[at:stop].split(b";")[0], 16)):
                 out.append(body[stop + 2 : stop + 2 + size])
                 at = stop + 4 + size
             body = b"".join(out)
-        how = get(headers, "content-encoding").lower()
+        how = headers.get("content-encoding", "").lower()
         if how in ("gzip", "x-gzip"):
             return gzip.decompress(body)
         return zlib.decompress(body) if how == "deflate" else body
@@ -109,33 +120,36 @@ def plain_text(page: str) -> str:
     return "\n".join(line for line in (" ".join(x.split()) for x in page.split("\n")) if line)
 
 
-def response_id(page_id: object, url: str | None, page: str | None) -> str:
-    return record_id("response", str(page_id), url or "", digest((page or "").encode("utf-8", "replace")))
-
-
 def respond(page_id: object, url: str | None, page: str | None, date: str = DATE) -> tuple[str, bytes]:
     """(record id, response record) of a page."""
-    name, payload = response_id(page_id, url, page), (page or "").encode("utf-8", "replace")
+    payload = (page or "").encode("utf-8", "replace")
+    own = digest(payload)
+    name = record_id("response", str(page_id), url or "", own)
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload) + payload
-    uri = [("WARC-Target-URI", url)] if url else []
-    own = [("WARC-Payload-Digest", digest(payload)), ("WARC-Block-Digest", digest(block)), ("Content-Type", "application/http; msgtype=response")]
-    return name, assemble([("WARC-Type", "response"), ("WARC-Record-ID", name), ("WARC-Date", date), *uri, *own], block)
+    some = [(k, v) for k, v in (("WARC-Target-URI", url), (PAGE, None if page_id is None else str(page_id))) if v]
+    rest = [("WARC-Payload-Digest", own), ("WARC-Block-Digest", digest(block)), ("Content-Type", "application/http; msgtype=response")]
+    return name, assemble([("WARC-Type", "response"), ("WARC-Record-ID", name), ("WARC-Date", date), *some, *rest], block)
 
 
 def derive(record: bytes | None) -> list[tuple[str, str, bytes]]:
     """(kind, record id, record) of the metadata and, for text, the conversion of a response record. Nothing for a null, for
     a damaged record and for one of another type."""
     found = parse(record or b"")
-    if found is None or get(found[0], "WARC-Type").lower() != "response":
+    if found is None:
         return []
     headers, block, _ = found
-    source, uri, date = (get(headers, f"WARC-{k}") for k in ("Record-ID", "Target-URI", "Date"))
+    named = first_of(headers)
+    if named.get("warc-type", "").lower() != "response":
+        return []
+    source, uri, date = (named.get(k, "") for k in ("warc-record-id", "warc-target-uri", "warc-date"))
     head, _, raw = block.partition(b"\r\n\r\n")
     status, _, lines = head.partition(b"\r\n")
     http = headers_of(lines)
-    body = body_of(http, raw)
-    kind = get(http, "content-type", "text/html").split(";")[0].strip().lower()
-    charset = _charset.search(get(http, "content-type"))
+    of_http = first_of(http)
+    body = body_of(of_http, raw)
+    content = of_http.get("content-type", "text/html")
+    kind = content.split(";")[0].strip().lower()
+    charset = _charset.search(content)
     about: dict = {}
     text = None
     if kind.startswith("text/") or kind.endswith(("html", "xml")):
@@ -158,7 +172,7 @@ def derive(record: bytes | None) -> list[tuple[str, str, bytes]]:
         out.append(("conversion", conversion, assemble([("WARC-Type", "conversion"), ("WARC-Record-ID", conversion), *refers, *own], data)))
     meta = {
         "source": {"warc": headers, "status": status.decode("utf-8", "replace"), "http": http},
-        "payload": {"stated": get(headers, "WARC-Payload-Digest") or None, "computed": digest(raw), "length": len(raw)},
+        "payload": {"stated": named.get("warc-payload-digest") or None, "computed": digest(raw), "length": len(raw)},
         "conversion": conversion,
         **about,
     }
@@ -180,26 +194,30 @@ def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
     return pages.select("page_id", run("page_id", "url", "html").alias("r")).select("page_id", "r.*")
 
 
-def response_ids(pages: DataFrame) -> DataFrame:
-    """(page_id, response_id) of ``responses``, without making the records."""
-
-    @F.arrow_udf("string")
-    def run(ids: pa.Array, urls: pa.Array, bodies: pa.Array) -> pa.Array:
-        return pa.array([response_id(*row) for row in zip(ids.to_pylist(), urls.to_pylist(), bodies.to_pylist())], pa.string())
-
-    return pages.select("page_id", run("page_id", "url", "html").alias("response_id"))
-
-
 def derivatives(records: DataFrame, record_col: str = "record") -> DataFrame:
     """(kind, record_id, record) of all derived records of ``records``; damaged and other records yield none."""
 
-    @F.arrow_udf("array<struct<kind:string,record_id:string,record:string>>")
-    def run(column: pa.Array) -> pa.Array:
-        kind = pa.list_(pa.struct([("kind", pa.string()), ("record_id", pa.string()), ("record", pa.string())]))
-        made = [[{"kind": k, "record_id": n, "record": r.decode()} for k, n, r in derive(x)] for x in column.to_pylist()]
-        return pa.array(made, kind)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple[str, str, bytes]] = []
+        held = 0
+        for batch in batches:
+            for at in range(batch.num_rows):
+                made = derive(batch.column(0)[at].as_py())
+                rows += made
+                held += sum(len(r) for _, _, r in made)
+                if held >= CHUNK_BYTES:
+                    yield _batch(rows)
+                    rows, held = [], 0
+        if rows:
+            yield _batch(rows)
+
+    return records.select(F.col(record_col).alias("record")).mapInArrow(run, "kind string, record_id string, record string")
 
-    return records.select(F.explode(run(F.col(record_col))).alias("d")).select("d.*")
+
+def _batch(rows: list[tuple[str, str, bytes]]) -> pa.RecordBatch:
+    kinds, ids, records = zip(*rows)
+    columns = [pa.array(kinds, pa.string()), pa.array(ids, pa.string()), pa.array(records, pa.binary()).cast(pa.string())]
+    return pa.record_batch(columns, ["kind", "record_id", "record"])
 
 
 def write_files(derived: DataFrame, path: str) -> None:
@@ -208,30 +226,82 @@ def write_files(derived: DataFrame, path: str) -> None:
     out.option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
-def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """(kind, record_id, refers_to, target_uri, block_digest, block) of the records in text WARC files, plain or gzip. Raises
-    ValueError for a file that breaks off or a block that does not agree with its digest."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _records(pieces: Iterable[tuple[int, bytes]]) -> Iterator[tuple[list[tuple[str, str]], bytes]]:
+    """(headers, block) of the records in the pieces (file, bytes) of files, in their order. Holds one record at a time."""
+    held: list[bytes] = []
+    size = wanted = 0
+    last = None
+
+    def broken(at: bytes) -> ValueError:
+        return ValueError(f"no record at {at[:60]!r}")
+
+    for file, piece in pieces:
+        if held and file != last:
+            raise broken(held[0])
+        last = file
+        if not held and not (piece := piece.lstrip(b"\r\n")):
+            continue  # line ends between records
+        held.append(piece)
+        size += len(piece)
+        if size < wanted:
+            continue
+        data, at = b"".join(held), 0
+        while at < len(data):
+            found = parse(data, at)
+            if found is None:
+                break
+            yield found[0], found[1]
+            at = found[2]
+            while data[at : at + 1] in (b"\r", b"\n"):
+                at += 1
+        rest = data[at:]
+        held, size, wanted = [rest] if rest else [], len(rest), 0
+        if rest:
+            split = rest.find(b"\r\n\r\n")
+            length = get(headers_of(rest[:split]), "Content-Length") if split >= 0 else "0"
+            if not rest.startswith(b"WARC/"[: len(rest)]) or not length.isdigit():
+                raise broken(rest)
+            wanted = split + 4 + int(length) if split >= 0 else 0
+    if held:
+        raise broken(held[0])
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pieces() -> Iterator[tuple[int, bytes]]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                data = batch.column(0)[row].as_py()
-                data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
-                at, rows = 0, []
-                while at < len(data):
-                    found = parse(data, at)
-                    if found is None:
-                        raise ValueError(f"no record at byte {at}")
-                    headers, block, at = found
-                    stated = get(headers, "WARC-Block-Digest")
-                    if stated and stated != digest(block):
-                        raise ValueError(f"{get(headers, 'WARC-Record-ID')} does not agree with its digest")
-                    names = ("Type", "Record-ID", "Refers-To", "Target-URI", "Block-Digest")
-                    rows.append([get(headers, f"WARC-{n}") or None for n in names] + [block.decode("utf-8", "replace")])
-                    if len(rows) == 1000 or at >= len(data):
-                        columns = [pa.array(c, pa.string()) for c in zip(*rows)]
-                        yield pa.record_batch(columns, ["kind", "record_id", "refers_to", "target_uri", "block_digest", "block"])
-                        rows = []
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.filter("length > 0").select("content").mapInArrow(run, FIELDS)
+            files = batch.column(0).to_pylist()
+            for at, file in enumerate(files):
+                yield file, batch.column(1)[at].as_py()
+
+    names = ("warc-type", "warc-record-id", "warc-refers-to", "warc-target-uri", "warc-block-digest")
+    rows, held = [], 0
+    for headers, block in _records(pieces()):
+        named = first_of(headers)
+        stated = named.get("warc-block-digest")
+        if stated and stated != digest(block):
+            raise ValueError(f"{named.get('warc-record-id')} does not agree with its digest")
+        rows.append([named.get(n) or None for n in names] + [block.decode("utf-8", "replace")])
+        held += len(block)
+        if held >= CHUNK_BYTES or len(rows) == 5000:
+            yield _read_batch(rows)
+            rows, held = [], 0
+    if rows:
+        yield _read_batch(rows)
+
+
+def _read_batch(rows: list[list[str | None]]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, pa.string()) for c in zip(*rows)], ["kind", "record_id", "refers_to", "target_uri", "block_digest", "block"])
+
+
+def read_files(spark: SparkSession, path: str) -> DataFrame:
+    """(kind, record_id, refers_to, target_uri, block_digest, block) of the records in WARC files, gzip (named ``.gz``) or plain. Raises
+    ValueError for a file that breaks off or a block that does not agree with its digest.
+
+    A gzip file is read as a stream, cut at its empty lines, by one task that puts its records together again; a task
+    holds one record and a batch, never a file. A plain file is one value, so it has to stay below 2 GB."""
+    options = spark.read.option("recursiveFileLookup", "true")
+    stream = options.option("lineSep", END).option("pathGlobFilter", "*.gz").text(path)
+    pieces = stream.select(F.xxhash64(F.input_file_name()).alias("file"), F.concat("value", F.lit(END)).cast("binary").alias("piece"))
+    whole = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "{*[!z],*[!g]z,*[!.]gz}").format("binaryFile").load(path)
+    whole = whole.filter("length > 0").select(F.xxhash64("path").alias("file"), F.col("content").alias("piece"))
+    return pieces.mapInArrow(_read, FIELDS).unionByName(whole.mapInArrow(_read, FIELDS))
