@@ -1,7 +1,7 @@
 """Near-duplicates by an LSH forest. Each text has a MinHash signature; a tree of the forest sorts the signatures in an order
-of its own. Texts that share a long enough prefix there form a region; in a region a text is compared with its neighbours
-in the sorted order, whose common prefix is longest, and with the centres of the region, texts whose values are
-the most common. Each candidate pair is confirmed on the full shingle sets. Texts of one region that these links have left
+of its own. Texts that share a long enough prefix there form a region, and a crowded region is parted by longer prefixes,
+as deep as it takes; a text is compared with its neighbours in the sorted order, whose common prefix is longest, and with the
+centres of its regions, texts whose values are the most common. Each candidate pair is confirmed on the full shingle sets. Texts of one region that these links have left
 in different components are then compared with each other, all of them, so that a crowded region loses no link: by their
 signatures first, and those that may be linked by their full sets, inside the task that compares two chunks of the
 region. It sends a spanning forest of the links it confirmed, and nothing for pairs that are none."""
@@ -22,7 +22,7 @@ from topicloom.llm.staging import stage
 SHINGLE = 5
 PERCENT = 85  # 100 * intersection >= PERCENT * union
 TREES, DEPTH = 16, 3  # a pair of similarity 0.85 shares the first DEPTH values in no tree in one of 4 million cases
-LEVELS = (3, 8)  # depths at which a region has centres
+CROWD = 64  # texts of a region from which on it is parted by further values of its tree
 CENTRES = 4  # of each region: the one of the most common values among the texts of each hash class
 TAIL = 12  # values of a signature that a tree sorts by
 NEIGHBOURS = 2
@@ -130,14 +130,24 @@ def candidates(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     sizes = stage(deep.groupBy("region").agg(F.count(F.lit(1)).alias("n")))
     common = stage(deep.join(sizes, "region").groupBy("id").agg(F.sum("n").alias("deep")))
     live = live.join(common, "id")
-    pairs = []
-    for level in LEVELS:
-        key = live.select("id", "weight", "deep", F.xxhash64("tree", F.slice("path", 1, level)).alias("region"))
+    prefix = lambda depth: F.xxhash64("tree", F.slice("path", 1, depth)).alias("region")
+    key, depth, named = live.select("id", "weight", "deep", "tree", "path", prefix(DEPTH)), DEPTH, None
+    while True:
         classes = key.groupBy("region", F.pmod(F.xxhash64("id"), F.lit(CENTRES)).alias("class"))
         best = classes.agg(F.max(F.struct("weight", "deep", "id"))["id"].alias("centre"), F.count(F.lit(1)).alias("n"))
         few = best.groupBy("region").agg(F.collect_list("centre").alias("centres"), F.sum("n").alias("n"))  # CENTRES at most
-        centre = stage(few.filter("n > 1").select("region", F.explode("centres").alias("centre")))
-        pairs.append(key.join(centre, "region").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")))
+        few = stage(few.filter("n > 1"))
+        met = key.join(few, "region").select("id", "centres")
+        named = met if named is None else named.unionByName(met)
+        large = few.filter(F.col("n") > CROWD).select("region")
+        if depth == TAIL or large.isEmpty():
+            break
+        depth = min(TAIL, depth + max(1, depth // 2))
+        key = stage(key.join(large, "region", "left_semi").select("id", "weight", "deep", "tree", "path", prefix(depth)))
+    # most trees name the same centres: a text's are put together before they become pairs
+    named = named.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("centres"))).alias("centres"))
+    named = named.select("id", F.explode("centres").alias("centre"))
+    pairs = [named.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))]
     parts = max(1, int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = live.repartitionByRange(parts, "tree", "path", "id").withColumn("part", F.spark_partition_id())
     ordered = stage(ranged.select("id", "tree", "path", "part"))
