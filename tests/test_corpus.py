@@ -137,3 +137,30 @@ def test_key_and_repeated_texts(spark):
     assert validated(rows((1, "a"), (2, "a")), ["text"], True, key="doc_id").count() == 2
     with pytest.raises(DataValidationError, match="repeat a doc_id"):
         validated(rows((1, "a"), (1, "b")), ["text"], True, key="doc_id")
+
+
+REPEATS = [("a", 1, 0.0), ("a", 1, -0.0), ("a", None, 0.0), (None, None, None), (None, None, None), ("b", None, 1.0), ("c" * 100_000, 2, None), ("c" * 100_000, 2, None), ("c" * 100_000, 2, None)]
+
+
+@pytest.mark.parametrize("limit", [0, 1000])
+@pytest.mark.parametrize("values", [1, 2, 2**62])
+def test_duplicates_by_fingerprint(spark, monkeypatch, limit, values):
+    """With few values most rows share a fingerprint with rows that differ."""
+    made = B.fingerprint
+    monkeypatch.setattr(B, "fingerprint", lambda df: F.struct(F.pmod(made(df)["h1"], F.lit(values)).alias("h1")))
+    monkeypatch.setattr(B, "BROADCAST_ROW_LIMIT", limit)
+    df = spark.createDataFrame(REPEATS, "`te.xt` string, _n int, _fingerprint double")
+    assert tuple(B.duplicate_count(df).first()) == (9, 4)
+    once = B.drop_duplicates(df)
+    assert once.columns == df.columns
+    assert sorted(map(str, once.collect())) == sorted(map(str, df.dropDuplicates().collect()))
+    assert tuple(B.duplicate_count(df.limit(0)).first()) == (0, 0) and B.drop_duplicates(df.limit(0)).count() == 0
+
+
+def test_rows_of_their_own_fingerprint_are_not_shuffled(spark):
+    df = spark.range(1000).select(F.repeat(F.col("id").cast("string"), 1000).alias("text"))
+    counts, _, _, repeated = B._suspects(df)
+    assert repeated.count() == 0
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in plan[: plan.index("Project")]
+    assert B.drop_duplicates(df).count() == 1000

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from topicloom.functions.text import trim_whitespace
-from topicloom.runtime import DataValidationError
+from topicloom.runtime import BROADCAST_ROW_LIMIT, DataValidationError, cut_lineage
 
 
 def missing_columns(df: DataFrame, expected: Iterable[str]) -> set[str]:
@@ -47,13 +47,32 @@ def require_no_nulls(df: DataFrame) -> DataFrame:
     return df
 
 
+def fingerprint(df: DataFrame) -> Column:
+    """Two seeded 64-bit hashes of all values of a row. Equal rows have equal ones; nulls leave no trace, so different rows may too."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return F.struct(*[F.xxhash64(F.lit(seed), *columns).alias(f"h{seed}") for seed in (1, 2)])
+
+
+def _suspects(df: DataFrame) -> tuple[DataFrame, DataFrame, str, DataFrame]:
+    """(counts, marked, name, repeated): rows by fingerprint; ``df`` with its fingerprint in a column of a new name; the fingerprints seen
+    more than once. Only fingerprints are shuffled; the repeated ones are broadcast if a count finds them within
+    BROADCAST_ROW_LIMIT (of two numbers each), and met by shuffle beyond it."""
+    name = "_fingerprint"
+    while name in df.columns:
+        name = f"_{name}"
+    marked = df.withColumn(name, fingerprint(df))
+    counts = marked.groupBy(name).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = cut_lineage(counts.filter("_n > 1").select(name))
+    return counts, marked, name, F.broadcast(repeated) if repeated.count() <= BROADCAST_ROW_LIMIT else repeated
+
+
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each group of equal rows: (n_rows, n_duplicates)."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    return groups.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n_duplicates"),
-    )
+    """Rows beyond the first of each group of equal rows: (n_rows, n_duplicates). Whole rows move, and are compared, only where their
+    fingerprint was seen twice."""
+    counts, marked, name, repeated = _suspects(df)
+    groups = marked.join(repeated, name, "left_semi").groupBy(*[f"`{c}`" for c in df.columns]).agg(F.count(F.lit(1)).alias(name))
+    duplicates = groups.agg(F.coalesce(F.sum(F.col(name) - 1), F.lit(0))).scalar()
+    return counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows")).select("n_rows", duplicates.alias("n_duplicates"))
 
 
 def require_no_duplicates(df: DataFrame) -> DataFrame:
@@ -71,7 +90,10 @@ def require_unique(df: DataFrame, key: str) -> DataFrame:
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
+    """``df`` with one of each group of equal rows. Rows whose fingerprint is their own stay where they are."""
+    _, marked, name, repeated = _suspects(df)
+    alone = marked.join(repeated, name, "left_anti").drop(name)
+    return alone.unionByName(marked.join(repeated, name, "left_semi").drop(name).dropDuplicates())
 
 
 def trim_strings(df: DataFrame) -> DataFrame:
