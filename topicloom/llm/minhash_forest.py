@@ -130,14 +130,16 @@ def candidates(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     sizes = stage(deep.groupBy("region").agg(F.count(F.lit(1)).alias("n")))
     common = stage(deep.join(sizes, "region").groupBy("id").agg(F.sum("n").alias("deep")))
     live = live.join(common, "id")
-    pairs = []
-    for level in LEVELS:
-        key = live.select("id", "weight", "deep", F.xxhash64("tree", F.slice("path", 1, level)).alias("region"))
-        classes = key.groupBy("region", F.pmod(F.xxhash64("id"), F.lit(CENTRES)).alias("class"))
-        best = classes.agg(F.max(F.struct("weight", "deep", "id"))["id"].alias("centre"), F.count(F.lit(1)).alias("n"))
-        few = best.groupBy("region").agg(F.collect_list("centre").alias("centres"), F.sum("n").alias("n"))  # CENTRES at most
-        centre = stage(few.filter("n > 1").select("region", F.explode("centres").alias("centre")))
-        pairs.append(key.join(centre, "region").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")))
+    regions = F.array(*[F.xxhash64("tree", F.slice("path", 1, level)) for level in LEVELS])
+    key = live.select("id", "weight", "deep", F.explode(regions).alias("region"))
+    classes = key.groupBy("region", F.pmod(F.xxhash64("id"), F.lit(CENTRES)).alias("class"))
+    best = classes.agg(F.max(F.struct("weight", "deep", "id"))["id"].alias("centre"), F.count(F.lit(1)).alias("n"))
+    few = best.groupBy("region").agg(F.collect_list("centre").alias("centres"), F.sum("n").alias("n"))  # CENTRES at most
+    few = stage(few.filter("n > 1").select("region", "centres"))
+    # a text meets the same centres in many of its regions (TREES times the levels at most): each once, before they become rows
+    met = key.select("id", "region").join(few, "region").groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("centres"))).alias("centres"))
+    met = met.select("id", F.explode(F.array_remove("centres", F.col("id"))).alias("centre"))
+    pairs = [met.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))]
     parts = max(1, int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = live.repartitionByRange(parts, "tree", "path", "id").withColumn("part", F.spark_partition_id())
     ordered = stage(ranged.select("id", "tree", "path", "part"))
