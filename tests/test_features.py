@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,7 +32,9 @@ def scan(tokens, pairs):
     return out
 
 
-def test_merge_equals_a_left_to_right_scan(spark, corpus):
+@pytest.mark.parametrize("limit", [P.BROADCAST_ROW_LIMIT, 0])
+def test_merge_equals_a_left_to_right_scan(spark, corpus, monkeypatch, limit):
+    monkeypatch.setattr(P, "BROADCAST_ROW_LIMIT", limit)
     rng = random.Random(1)
     docs = [[rng.choice("abc") for _ in range(rng.randrange(0, 25))] for _ in range(300)] + [list("aaaa"), list("abc"), []]
     pairs = {("a", "a"), ("a", "b"), ("b", "c")}
@@ -40,6 +43,23 @@ def test_merge_equals_a_left_to_right_scan(spark, corpus):
     assert merged == {i: scan(d, pairs) for i, d in enumerate(docs)}
 
 
+def test_phrases_of_odd_rows(spark):
+    rows = [(0, None, 1), (1, ["a", "b"], 2), (1, ["a", "b"], 2), (None, ["b", None, "a", "b"], 3), (2, [], 4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, tokens array<string>, w1 int")
+    phrases = spark.createDataFrame([("a", "b"), (None, "b"), ("b", None), ("a", "b")], "w1 string, w2 string")
+    merged = [(r.doc_id, r.tokens, r.w1) for r in P.apply_phrases(docs, phrases).collect()]
+    wanted = [(0, None, 1), (1, ["a_b"], 2), (1, ["a_b"], 2), (None, ["b", None, "a_b"], 3), (2, [], 4)]
+    assert sorted(merged, key=lambda r: r[2]) == sorted(wanted, key=lambda r: r[2])
+    assert P.apply_phrases(docs, phrases.limit(0)).filter("w1 = 2").first().tokens == ["a", "b"]
+    assert P.apply_phrases(docs.limit(0), phrases).count() == 0
+
+
+def test_phrases_that_agree_in_one_hash():
+    table = [np.array([3, 3, 9], np.uint64), np.array([1, 5, 2], np.uint64)]
+    keys = [np.array([3, 3, 3, 9, 9, 10], np.uint64), np.array([5, 1, 2, 2, 1, 2], np.uint64)]
+    assert P._is_phrase(table, keys).tolist() == [True, True, False, True, False, False]
+
+
 def test_learn_phrases(corpus):
     docs = [["new", "york"]] * 8 + [["w%d" % i, "v%d" % i] for i in range(200)] + [["new"], []]
     found = P.learn_phrases(corpus(*docs), min_count=5, threshold=1.0).collect()

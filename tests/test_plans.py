@@ -13,7 +13,7 @@ from topicloom.operators import vocab as V
 from topicloom.operators.coherence import occurrences, topic_pairs, window_counts
 from topicloom.operators.phrases import apply_phrases
 from topicloom.operators.tfidf import fit_tfidf, load_tfidf
-from topicloom.plans.preprocess import tokenize
+from topicloom.plans.preprocess import fit_preprocess, tokenize
 from topicloom.plans.training import train
 
 SF = "/root/testdata/sf0.001"
@@ -54,7 +54,8 @@ def test_a_hashed_corpus_is_not_shuffled_again(spark, placed):
     assert own_exchanges(model.transform(placed, partitioned=True)) == 0
     assert own_exchanges(model.arrays(placed, partitioned=True)) == 0
     phrases = spark.createDataFrame([("york", "jersey")], "w1 string, w2 string")
-    assert own_exchanges(apply_phrases(placed, phrases)) == 0
+    merging = plan(apply_phrases(spark.createDataFrame([(0, ["a", "b"])], "doc_id bigint, tokens array<string>"), phrases))
+    assert "Exchange" not in merging and "Join" not in merging and "Window" not in merging and "Aggregate" not in merging
     topics = spark.createDataFrame([(0, 1, "york", 1.0), (0, 2, "jersey", 1.0)], "topic_id int, rank int, term string, weight double")
     pairs = topic_pairs(topics).persist()
     found = occurrences(placed, topics.select(F.col("term").alias("word")))
@@ -85,6 +86,15 @@ def test_cleaner_and_splitter_are_pluggable(spark):
     assert tokenize(docs, stopwords=[], min_length=1, cleaner=lambda c: c, splitter=split_words).first().tokens == ["It's", "ONE-two"]
 
 
+def test_texts_are_not_shuffled(spark):
+    docs = spark.createDataFrame([(i, "New York is a new town " * 3) for i in range(20)], "doc_id bigint, text string")
+    done = fit_preprocess(docs, min_count=1, threshold=0.001, cleaner=clean_light)
+    assert "Exchange" not in plan(done.corpus) and "Join" not in plan(done.corpus)
+    assert done.tokens.count() == 20 and own_exchanges(V.doc_term(done.tokens)) == 0
+    row = done.corpus.first()
+    assert row.text.startswith("New York") and row.cleaned_text == " ".join(row.tokens) and "_" in row.cleaned_text
+
+
 def test_training_job(spark, tmp_path):
     fruit, cars = "apple pear plum fig melon", "car bus train tram lorry"
     docs = spark.createDataFrame(

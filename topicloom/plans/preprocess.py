@@ -16,6 +16,18 @@ from topicloom.operators.phrases import apply_phrases, build_ngrams
 from topicloom.runtime import by_document
 
 
+def surface_tokens(
+    text: Column,
+    stopwords: Sequence[str] | None = None,
+    min_length: int = 2,
+    cleaner: Callable[[Column], Column] = clean,
+    splitter: Callable[[Column], Column] = split_clean,
+) -> Column:
+    """Tokens of a text, without short ones and stopwords; none for a null text."""
+    words = merged_stopwords() if stopwords is None else list(stopwords)
+    return keep_tokens(splitter(cleaner(F.coalesce(text, F.lit("")))), words, min_length)
+
+
 def tokenize(
     docs: DataFrame,
     text: str = "text",
@@ -28,9 +40,8 @@ def tokenize(
     """(doc_id, tokens) hashed by ``doc_id``. The length and stopword tests are on the surface form, the
     output is the lemma. ``cleaner`` (text to text) and ``splitter`` (text to array) may be any Column functions,
     for example ``clean_light`` and ``split_words``."""
-    words = merged_stopwords() if stopwords is None else list(stopwords)
-    cleaned = cleaner(F.coalesce(F.col(text), F.lit("")))
-    tokens = by_document(docs.select("doc_id", keep_tokens(splitter(cleaned), words, min_length).alias("tokens")))
+    found = surface_tokens(F.col(text), stopwords, min_length, cleaner, splitter)
+    tokens = by_document(docs.select("doc_id", found.alias("tokens")))
     return tokens if lexicon is None else collect_tokens(lemmatize(token_rows(tokens), lexicon))
 
 
@@ -54,13 +65,23 @@ def fit_preprocess(
     trigrams: bool = True,
     min_count: int = 5,
     threshold: float = 100.0,
+    cleaner: Callable[[Column], Column] = clean,
+    splitter: Callable[[Column], Column] = split_clean,
 ) -> Preprocessed:
-    """Clean, tokenize and merge phrases. The token table is cached, as every phrase pass reads it several times."""
-    tokens = tokenize(docs, text, stopwords, min_length, lexicon).persist()
-    merged, phrases = build_ngrams(tokens, bigrams, trigrams, min_count, threshold)
-    joined = docs.select("doc_id", F.col(text).alias("text")).join(merged, "doc_id")
-    corpus = joined.select("doc_id", "text", join_tokens(F.col("tokens")).alias("cleaned_text"), "tokens")
-    return Preprocessed(corpus, merged, phrases)
+    """Clean, tokenize and merge phrases. Without a lexicon a text stays beside its tokens, and phrases are merged inside the row, so
+    no text is shuffled; lemmas are collected by ``doc_id`` and the texts joined to them. The token table of each phrase pass
+    is cached, as the pass reads it several times."""
+    texts = docs.select("doc_id", F.col(text).alias("text"))
+    if lexicon is None:
+        first = texts.withColumn("tokens", surface_tokens(F.col("text"), stopwords, min_length, cleaner, splitter)).persist()
+    else:
+        first = tokenize(docs, text, stopwords, min_length, lexicon, cleaner, splitter).persist()
+    merged, phrases = build_ngrams(first, bigrams, trigrams, min_count, threshold)
+    if phrases:
+        first.unpersist()
+    corpus = merged if lexicon is None else texts.join(merged, "doc_id")
+    tokens = merged if lexicon is not None else by_document(merged.select("doc_id", "tokens")).persist()
+    return Preprocessed(corpus.select("doc_id", "text", join_tokens(F.col("tokens")).alias("cleaned_text"), "tokens"), tokens, phrases)
 
 
 def preprocess(docs: DataFrame, **options) -> DataFrame:
@@ -75,9 +96,11 @@ def preprocess_new(
     stopwords: Sequence[str] | None = None,
     min_length: int = 2,
     lexicon: DataFrame | None = None,
+    cleaner: Callable[[Column], Column] = clean,
+    splitter: Callable[[Column], Column] = split_clean,
 ) -> DataFrame:
     """Tokens of unseen documents with the phrases learned in training, one table per pass."""
-    tokens = tokenize(docs, text, stopwords, min_length, lexicon)
+    tokens = tokenize(docs, text, stopwords, min_length, lexicon, cleaner, splitter)
     for phrases in phrase_tables:
         tokens = apply_phrases(tokens, phrases)
     return tokens

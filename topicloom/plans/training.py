@@ -47,13 +47,15 @@ def train(
     nmf_options: dict | None = None,
     squared_silhouette: bool = True,
     optimize_counts: Iterable[int] | None = None,
+    **preprocessing,
 ) -> Trained:
     """Train LDA on term counts and NMF on TF-IDF of (doc_id, text) and compare them. The LDA dictionary holds every term of
     the corpus unless ``dictionary_size`` limits it to the most frequent ones. With ``optimize_counts`` (for instance
     ``TOPIC_ONLY_COUNTS``) the number of LDA topics is the one of the best c_v among them. ``doc_id`` has to be unique;
-    texts that repeat are rejected unless ``allow_duplicates``. With ``path`` (shared storage) everything is written below it."""
+    texts that repeat are rejected unless ``allow_duplicates``. With ``path`` (shared storage) everything is written below it.
+    ``preprocessing`` goes to ``fit_preprocess``: ``lexicon``, ``cleaner``, ``splitter``, ``min_count``, ``threshold`` and so on."""
     checked = validated(docs, ["doc_id", text], allow_duplicates, key="doc_id")
-    done = fit_preprocess(checked, text=text, stopwords=stopwords)
+    done = fit_preprocess(checked, text=text, stopwords=stopwords, **preprocessing)
     tokens = done.tokens
     words = merged_stopwords() if stopwords is None else list(stopwords)
 
