@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -29,7 +30,7 @@ from topicloom.operators import validate as B
 from topicloom.operators import vocab as V
 from topicloom.plans import evaluate as G
 from topicloom.plans.preprocess import preprocess, tokenize
-from topicloom.runtime import by_document, cut_lineage, row_count
+from topicloom.runtime import by_document, checkpoint_dir, cut_lineage, row_count
 from topicloom.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +59,11 @@ def corpus(spark, sf):
     return tokenize(documents(spark, sf)).persist()
 
 
+def place(spark: SparkSession) -> str:
+    """A new folder below the shared one, for a table that a query writes and reads back."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/topicloom-{uuid.uuid4().hex}"
+
+
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) + F.lit(0.0) for c in columns})
 
@@ -132,6 +138,66 @@ def parse_topics(spark, sf):
     return readers.parse_topics(listed)
 
 
+@query
+def stored_csv(spark, sf):
+    """Documents as quoted CSV and back; texts keep their quotes, commas, line breaks and outer spaces."""
+    path = place(spark)
+    kept = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    documents(spark, sf).select("doc_id", "text", "lang").write.options(**kept).csv(path)
+    return readers.read_csv(spark, path, "doc_id bigint, text string, lang string", multiline=True)
+
+
+@query
+def stored_tsv(spark, sf):
+    """Documents, with tabs and line breaks as spaces, as unquoted lines of tab-separated fields and back; an empty field is null."""
+    path = place(spark)
+    kept = {"header": True, "sep": "\t", "quote": "", "escape": "", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    flat = documents(spark, sf).select("doc_id", F.translate("text", "\t\n\r", "   ").alias("text"), "lang")
+    flat.write.options(**kept).csv(path)
+    return readers.read_tsv(spark, path).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
+@query
+def stored_json(spark, sf):
+    path = writers.write_json(documents(spark, sf).select("doc_id", "text", "lang"), place(spark))
+    return readers.read_corpus(spark, path, "json").select("doc_id", "text", "lang")
+
+
+@query
+def stored_corpus(spark, sf):
+    """Preprocessed documents as Parquet and back through the token loader."""
+    path = writers.write_corpus(corpus(spark, sf).withColumnRenamed("tokens", "cleaned_tokens"), place(spark))
+    docs = readers.load_tokens(readers.read_corpus(spark, path))
+    return docs.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), K.join_tokens(F.col("tokens")).alias("joined"))
+
+
+@query
+def stored_topics(spark, sf):
+    return readers.read_topics_csv(spark, writers.write_topics(lang_topics(spark, sf), place(spark), "csv"))
+
+
+@query
+def stored_documents_with_topics(spark, sf):
+    path = place(spark)
+    writers.write_documents_with_topics(documents(spark, sf), N.dominant_topic(topic_weights(spark, sf)), path)
+    return spark.read.parquet(path).select("doc_id", "lang", "source", "dominant_topic")
+
+
+@query
+def stored_vectorizer(spark, sf):
+    """TF-IDF of the documents by a vectorizer that was saved and loaded."""
+    docs = corpus(spark, sf)
+    path = I.save_tfidf(I.fit_tfidf(docs, stop_words=merged_stopwords(), **I.PRESETS["tfidf"]), place(spark))
+    return rounded(I.load_tfidf(spark, path).transform(docs, partitioned=True), "w")
+
+
+@query
+def stored_embeddings(spark, sf):
+    """Document vectors as Parquet and back, one row a component."""
+    path = writers.write_embeddings(doc_vectors(spark, sf), place(spark))
+    return spark.read.parquet(path)
+
+
 @query
 def documents_with_topics(spark, sf):
     joined = writers.documents_with_topics(documents(spark, sf), N.dominant_topic(topic_weights(spark, sf)))

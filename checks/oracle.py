@@ -599,3 +599,16 @@ parts AS (
     (SELECT sum(lgamma(CAST(0.5 * (SELECT count(DISTINCT term) FROM beta) AS DOUBLE)) - lgamma(s)) FROM (SELECT DISTINCT topic_id, s FROM beta)) AS whole,
     (SELECT sum(n) FROM cnt) AS tokens)
 SELECT unnest(['whole', 'ranges']) AS topics, {r('(words + topics_of_docs + docs + topics + whole) / tokens')} AS bound FROM parts"""
+
+# --- written below the shared folder and read back
+ORACLE["stored_csv"] = ORACLE["stored_json"] = "SELECT doc_id, text, lang FROM documents"
+ORACLE["stored_tsv"] = """
+    SELECT doc_id, nullif(translate(text, chr(9) || chr(10) || chr(13), '   '), '') AS text, nullif(lang, '') AS lang FROM documents"""
+for stored, plain in (
+    ("corpus", "tokenize_documents"),
+    ("topics", "parse_topics"),
+    ("documents_with_topics", "documents_with_topics"),
+    ("vectorizer", "tfidf"),
+    ("embeddings", "doc_vectors"),
+):
+    ORACLE[f"stored_{stored}"] = ORACLE[plain]
