@@ -111,9 +111,14 @@ def path(tree: int, depth: int = TAIL) -> F.Column:
     return F.array(*[F.col("signature")[k] for k in tree_order(tree)[:depth]])
 
 
-def candidates(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct pairs (a, b), a < b, of the set ids that the forest names, and the members (id, region) of the regions
-    of more than one set. ``sets``: id, signature. A region with a third
+def alike(n: F.Column, m: F.Column, percent: int) -> F.Column:
+    """Whether sets of these sizes may be linked."""
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+
+def candidates(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs (a, b), a < b, of the set ids that the forest names and whose sizes allow a link, and the members
+    (id, tree, region) of the regions of more than one set. ``sets``: id, n, signature. Sizes travel with the ids, so that pairs need no join for them. A region with a third
     of all rows stays spread: regions are counted and their centres chosen by pre-aggregated counts and maxima, rows
     are sorted by ranges of (tree, path, id), and the last rows of each range are carried to the next."""
     slim = sets.select("id", F.posexplode(F.array(*[F.xxhash64(F.lit(t), path(t, DEPTH)) for t in range(TREES)])).alias("tree", "region"))
@@ -122,8 +127,8 @@ def candidates(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     # the values of a text are common if its regions are large
     trees = slim.join(crowded, "region").groupBy("id").agg(F.collect_set("tree").alias("trees"), F.sum("n").alias("weight"))
     paths = F.array(*[path(t) for t in range(TREES)])
-    live = sets.join(trees, "id").select("id", "weight", F.explode("trees").alias("tree"), paths.alias("paths"))
-    live = stage(live.select("id", "weight", "tree", F.col("paths")[F.col("tree")].alias("path")))
+    live = sets.join(trees, "id").select("id", "n", "weight", F.explode("trees").alias("tree"), paths.alias("paths"))
+    live = stage(live.select("id", "n", "weight", "tree", F.col("paths")[F.col("tree")].alias("path")))
     members = live.select("id", "tree", F.xxhash64("tree", F.slice("path", 1, DEPTH)).alias("region"))
     # texts of equal weight differ in the sizes of their deep regions, which take in every value of the signature
     deep = live.select("id", F.xxhash64("tree", F.slice("path", 1, VALUES // TREES)).alias("region"))
@@ -131,31 +136,33 @@ def candidates(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     common = stage(deep.join(sizes, "region").groupBy("id").agg(F.sum("n").alias("deep")))
     live = live.join(common, "id")
     regions = F.array(*[F.xxhash64("tree", F.slice("path", 1, level)) for level in LEVELS])
-    key = live.select("id", "weight", "deep", F.explode(regions).alias("region"))
+    key = live.select("id", "n", "weight", "deep", F.explode(regions).alias("region"))
     classes = key.groupBy("region", F.pmod(F.xxhash64("id"), F.lit(CENTRES)).alias("class"))
-    best = classes.agg(F.max(F.struct("weight", "deep", "id"))["id"].alias("centre"), F.count(F.lit(1)).alias("n"))
-    few = best.groupBy("region").agg(F.collect_list("centre").alias("centres"), F.sum("n").alias("n"))  # CENTRES at most
-    few = stage(few.filter("n > 1").select("region", "centres"))
+    best = classes.agg(F.max(F.struct("weight", "deep", "id", "n")).alias("most"), F.count(F.lit(1)).alias("texts"))
+    centre = F.struct(F.col("most.id").alias("id"), F.col("most.n").alias("n"))
+    few = best.groupBy("region").agg(F.collect_list(centre).alias("centres"), F.sum("texts").alias("texts"))  # CENTRES at most
+    few = stage(few.filter("texts > 1").select("region", "centres"))
     # a text meets the same centres in many of its regions (TREES times the levels at most): each once, before they become rows
-    met = key.select("id", "region").join(few, "region").groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("centres"))).alias("centres"))
-    met = met.select("id", F.explode(F.array_remove("centres", F.col("id"))).alias("centre"))
-    pairs = [met.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))]
+    met = key.select("id", "n", "region").join(few, "region").groupBy("id", "n").agg(F.array_distinct(F.flatten(F.collect_list("centres"))).alias("centres"))
+    met = met.select("id", "n", F.explode("centres").alias("o")).filter(alike(F.col("n"), F.col("o.n"), percent))
+    pairs = [met.select(F.least("id", "o.id").alias("a"), F.greatest("id", "o.id").alias("b"))]
     parts = max(1, int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = live.repartitionByRange(parts, "tree", "path", "id").withColumn("part", F.spark_partition_id())
-    ordered = stage(ranged.select("id", "tree", "path", "part"))
+    ordered = stage(ranged.select("id", "n", "tree", "path", "part"))
     filled = [r[0] for r in ordered.select("part").distinct().orderBy("part").collect()]  # no more than the partitions
     if len(filled) > 1:
         following = F.create_map(*[F.lit(x) for ends in zip(filled, filled[1:]) for x in ends])
         last = Window.partitionBy("part").orderBy(F.desc("tree"), F.desc("path"), F.desc("id"))
-        tails = ordered.withColumn("n", F.row_number().over(last)).filter(F.col("n") <= NEIGHBOURS)
+        tails = ordered.withColumn("back", F.row_number().over(last)).filter(F.col("back") <= NEIGHBOURS)
         carried = tails.withColumn("part", following[F.col("part")]).filter("part IS NOT NULL")
-        seen = ordered.unionByName(carried.drop("n"))
+        seen = ordered.unionByName(carried.drop("back"))
     else:
         seen = ordered
     within = Window.partitionBy("part").orderBy("tree", "path", "id")
-    earlier = [F.lag(F.struct("id", "tree", "path"), back).over(within) for back in range(1, NEIGHBOURS + 1)]
-    near = seen.withColumn("earlier", F.array(*earlier)).select("id", "tree", "path", F.explode("earlier").alias("o"))
+    earlier = [F.lag(F.struct("id", "n", "tree", "path"), back).over(within) for back in range(1, NEIGHBOURS + 1)]
+    near = seen.withColumn("earlier", F.array(*earlier)).select("id", "n", "tree", "path", F.explode("earlier").alias("o"))
     near = near.filter((F.col("o.tree") == F.col("tree")) & (F.slice("o.path", 1, DEPTH) == F.slice("path", 1, DEPTH)))
+    near = near.filter(alike(F.col("n"), F.col("o.n"), percent))
     pairs.append(near.select(F.least("id", "o.id").alias("a"), F.greatest("id", "o.id").alias("b")))
     out = pairs[0]
     for more in pairs[1:]:
@@ -329,12 +336,10 @@ def _pairs(ids: pa.ChunkedArray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch
 
 
 def confirm(docs: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The ``pairs`` (a, b) that are linked, by the full sets. ``sets``: id, n, first_doc."""
-    sizes = sets.select("id", "n", "first_doc")
-    for side in ("a", "b"):
-        pairs = pairs.join(sizes.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("first_doc").alias(f"doc_{side}")), side)
-    pairs = stage(pairs.filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"))
-    wanted = stage(pairs.select(F.explode(F.array("doc_a", "doc_b")).alias("doc_id")).distinct())
+    """The ``pairs`` (a, b) that are linked, by the full sets. ``sets``: id, first_doc; the sizes of the pairs allow a link."""
+    pairs = stage(pairs)
+    named = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    wanted = stage(named.join(sets.select("id", "first_doc"), "id").select(F.col("first_doc").alias("doc_id")).distinct())
     full = stage(full_sets(docs, wanted).dropDuplicates(["id"]))
     checked = pairs.select("a", "b")
     for side in ("a", "b"):
@@ -397,7 +402,7 @@ def find_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         some.groupBy(F.col("set_hash").alias("id"))
         .agg(F.min("doc_id").alias("first_doc"), F.max("n_shingles").alias("n"), F.first("signature").alias("signature"))
     )
-    pairs, members = candidates(sets.select("id", "signature"))
+    pairs, members = candidates(sets.select("id", "n", "signature"), percent)
     roots = stage(components(confirm(docs, sets, pairs, percent)))
     likely, least = agreements(percent)
     for agreeing, best in ((likely, True), (least, False)):  # what likely links join is not compared again
