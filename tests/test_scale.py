@@ -33,3 +33,22 @@ def test_a_mini_batch_moves_only_its_words(spark):
     assert np.allclose(moved.lam, after) and (model.lam == lam).all()
     logs = O._log_beta(after)
     assert np.allclose(moved.eta, O.newton_step(np.full(width, 1 / 3), logs.mean(axis=0), 3, 0.25))
+
+
+def test_silhouette_sends_sums_without_vectors(spark, monkeypatch):
+    from topicloom.operators import silhouette as H
+
+    rng = np.random.default_rng(1)
+    x, label = rng.integers(0, 4, (60, 3)).astype(float), rng.integers(0, 3, 60)
+    scored, score = [], H._score
+    monkeypatch.setattr(H, "_score", lambda sums, sizes: scored.append(sums.columns) or score(sums, sizes))
+    points = spark.createDataFrame([(v.tolist(), int(c)) for v, c in zip(x, label)], "vector array<double>, label int")
+    found = [H.silhouette(points, rows).first()[0] for rows in (7, 2048)]
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    expected = []
+    for i, c in enumerate(label):
+        a = d[i, label == c].sum() / ((label == c).sum() - 1)
+        b = min(d[i, label == o].mean() for o in set(label) - {c})
+        expected.append((b - a) / max(a, b) if max(a, b) > 0 else 0.0)
+    assert np.allclose(found, np.mean(expected))
+    assert not any("vector" in columns for columns in scored)

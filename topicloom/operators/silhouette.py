@@ -2,56 +2,78 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 2048
+BLOCK_BYTES = 32 << 20  # of the vectors of a large block
+BLOCK_CELLS = 2_000_000  # points times labels of a large block
+SPREAD = 16  # blocks that few points are cut into, if they fill them
 
 
 def silhouette(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Mean Euclidean silhouette of (vector, label): one row (silhouette), null below two labels.
 
     The measure compares all points, so its work is quadratic; what is bounded is the memory. Equal
-    points are first collapsed to one with a weight. The rest is cut into blocks by hash; a task sees two
-    blocks at a time and returns the summed distance of each point to each label, never pairs.
+    points are first collapsed to one with a weight. The rest is cut into blocks by hash, as large as BLOCK_BYTES and BLOCK_CELLS
+    allow, so that a point is sent to few tasks. A task sees two blocks, compares them ``block_rows`` points at a time,
+    each pair once, and returns the summed distance of each point to each label under the point's 128-bit hash, never pairs or vectors.
     ``silhouette_squared`` is the linear alternative for large inputs."""
     folded = points.groupBy("vector", "label").agg(F.count(F.lit(1)).alias("weight"))
-    folded = folded.withColumn("pid", F.xxhash64("vector", "label")).persist()
-    n = folded.count()
-    blocks = max(1, -(-n // block_rows))
-    placed = folded.withColumn("block", F.pmod(F.xxhash64("pid"), F.lit(blocks)).cast("int"))
-    every = F.sequence(F.lit(0), F.lit(blocks - 1))
-    left = placed.select("vector", "label", "weight", F.col("block").alias("rows"), F.explode(every).alias("cols"))
-    right = placed.select(
-        *[F.col(c).alias(c) for c in ("vector", "label", "weight")], F.explode(every).alias("rows"), F.col("block").alias("cols")
-    )
-
-    def block_sums(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
+    folded = folded.withColumns({f"h{seed}": F.xxhash64(F.lit(seed), "vector", "label") for seed in (1, 2)}).persist()
+    n, size, labels = folded.agg(F.count(F.lit(1)), F.max(F.size("vector")), F.count_distinct("label")).first()
+    room = max(block_rows, min(BLOCK_BYTES // (8 * max(size or 1, 1)), BLOCK_CELLS // max(labels, 1)))
+    blocks = max(1, -(-n // room), min(-(-n // block_rows), SPREAD))
+    placed = folded.withColumn("block", F.pmod("h1", F.lit(blocks)).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other")
+    sent = placed.select("*", other).select("*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    label_type = dict(points.dtypes)["label"]
 
-        if mine.empty or theirs.empty:
-            return pd.DataFrame({c: pd.Series(dtype=object) for c in ("vector", "label", "weight", "to_label", "total")})
-        x = np.stack(mine["vector"].to_numpy()).astype(float)
-        center = x.mean(axis=0)  # distances do not change, squares stay small
-        x -= center
-        x_squares = (x * x).sum(axis=1)
+    def block_sums(group: pa.Table) -> pa.Table:
+        sides = [group.filter(pc.equal(group["block"], group[c][0])) for c in ("i", "j")]
+        if group["i"][0] == group["j"][0]:
+            sides = sides[:1]
+        at = [_points(s) for s in sides]
+        center = at[0][0].mean(axis=0) if len(at[0][0]) else 0  # distances do not change, squares stay small
+        found = [np.zeros((len(x), len(names))) for (x, *_), (*_, names) in zip(at, at[::-1])]
+        (x, x_shares, _), (y, y_shares, _) = at[0], at[-1]
+        for a in range(0, len(x), block_rows):
+            p = x[a : a + block_rows] - center
+            for b in range(0, len(y), block_rows):
+                q = y[b : b + block_rows] - center
+                distances = np.sqrt(np.maximum((p * p).sum(axis=1)[:, None] + (q * q).sum(axis=1)[None, :] - 2 * (p @ q.T), 0))
+                found[0][a : a + block_rows] += distances @ y_shares(b)
+                if len(sides) > 1:
+                    found[1][b : b + block_rows] += distances.T @ x_shares(a)
         out = []
-        for label, group in theirs.groupby("label"):
-            y = np.stack(group["vector"].to_numpy()).astype(float) - center
-            squares = x_squares[:, None] + (y * y).sum(axis=1)[None, :] - 2 * (x @ y.T)
-            part = mine[["vector", "label", "weight"]].copy()
-            part["to_label"] = label
-            part["total"] = np.sqrt(np.maximum(squares, 0)) @ group["weight"].to_numpy(dtype=float)
-            out.append(part)
-        return pd.concat(out)
-
-    vector_type = dict(points.dtypes)["vector"]
-    label_type = dict(points.dtypes)["label"]
-    schema = f"vector {vector_type}, label {label_type}, weight bigint, to_label {label_type}, total double"
-    sums = left.groupBy("rows", "cols").cogroup(right.groupBy("rows", "cols")).applyInPandas(block_sums, schema)
+        for side, total, (*_, names) in zip(sides, found, at[::-1]):
+            every, kinds = np.repeat(np.arange(side.num_rows), len(names)), np.tile(np.arange(len(names)), side.num_rows)
+            out.append(side.select(["h1", "h2", "label", "weight"]).take(pa.array(every)).append_column("to_label", names.take(pa.array(kinds))).append_column("total", pa.array(total.ravel())))
+        return pa.concat_tables(out)
+
+    def _points(side: pa.Table):
+        """Vectors, the weights by label of a run of them, and the labels."""
+        vectors = np.stack([np.asarray(v.values, float) for v in side["vector"]]) if side.num_rows else np.zeros((0, size))
+        label = side["label"].combine_chunks() if side["label"].num_chunks else pa.array([], side["label"].type)
+        names = label.drop_null().unique()
+        code, weight = pc.fill_null(pc.index_in(label, names), -1).to_numpy(zero_copy_only=False), side["weight"].to_numpy()
+
+        def shares(start: int) -> np.ndarray:
+            some = code[start : start + block_rows]
+            out = np.zeros((len(some), len(names)))
+            known = np.flatnonzero(some >= 0)
+            out[known, some[known]] = weight[start : start + block_rows][known]
+            return out
+
+        return vectors, shares, names
+
+    schema = f"h1 bigint, h2 bigint, label {label_type}, weight bigint, to_label {label_type}, total double"
+    sums = sent.select("i", "j", "block", "vector", "label", "weight", "h1", "h2").groupBy("i", "j").applyInArrow(block_sums, schema)
     sizes = folded.groupBy("label").agg(F.sum("weight").alias("size"))
-    return _score(sums.groupBy("vector", "label", "weight", "to_label").agg(F.sum("total").alias("total")), sizes)
+    return _score(sums.groupBy("h1", "h2", "label", "weight", "to_label").agg(F.sum("total").alias("total")), sizes)
 
 
 def silhouette_squared(points: DataFrame) -> DataFrame:
@@ -91,7 +113,7 @@ def silhouette_squared(points: DataFrame) -> DataFrame:
 
 def _score(sums: DataFrame, sizes: DataFrame) -> DataFrame:
     sized = sums.join(sizes.withColumnRenamed("label", "to_label"), "to_label")
-    return _mean_silhouette(sized, ["vector", "label", "weight"])
+    return _mean_silhouette(sized, ["h1", "h2", "label", "weight"])
 
 
 def _mean_silhouette(sums: DataFrame, point: list[str]) -> DataFrame:
