@@ -52,3 +52,14 @@ def test_silhouette_sends_sums_without_vectors(spark, monkeypatch):
         expected.append((b - a) / max(a, b) if max(a, b) > 0 else 0.0)
     assert np.allclose(found, np.mean(expected))
     assert not any("vector" in columns for columns in scored)
+
+
+def test_clean_raw_reads_a_long_word_once(spark):
+    from topicloom.functions.text import clean_raw
+
+    texts = ["x" * 300_000 + " a@b c", "@ab d", "e f@", "g@@ h", "@@i j", "k@ l@m n", "see www.x.org http://y o"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    start = time.time()
+    found = [r.c for r in rows.select("i", clean_raw(F.col("text")).alias("c")).orderBy("i").collect()]
+    assert time.time() - start < 30
+    assert found == ["x" * 300_000 + " c", "ab d", "e f", "h", "j", "k n", "see o"]

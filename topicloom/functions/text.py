@@ -81,9 +81,11 @@ def clean_light(text: Column, entities: bool = True) -> Column:
 def clean_raw(text: Column) -> Column:
     """Cleaner that drops web and mail addresses first; a null text becomes an empty one."""
     text = F.lower(F.coalesce(text, F.lit("")))
-    text = F.regexp_replace(text, rf"https?://[^{WHITESPACE}]+|www\.[^{WHITESPACE}]+", "")
-    text = F.regexp_replace(text, rf"[^{WHITESPACE}]+@[^{WHITESPACE}]+", "")
-    return letters_only(text)
+    web = F.regexp_replace(text, rf"https?://[^{WHITESPACE}]+|www\.[^{WHITESPACE}]+", "")
+    text = F.when(F.contains(text, F.lit("://")) | F.contains(text, F.lit("www.")), web).otherwise(text)
+    # A word with an @ inside goes whole. Each word is entered at its start only and read once, however long it is.
+    mail = F.regexp_replace(text, rf"(?<![^{WHITESPACE}])[^{WHITESPACE}][^@{WHITESPACE}]*+@[^{WHITESPACE}]+", "")
+    return letters_only(F.when(F.contains(text, F.lit("@")), mail).otherwise(text))
 
 
 def clean_words(text: Column, stopwords: Sequence[str], min_length: int = 3) -> Column:
