@@ -63,3 +63,24 @@ def test_clean_raw_reads_a_long_word_once(spark):
     found = [r.c for r in rows.select("i", clean_raw(F.col("text")).alias("c")).orderBy("i").collect()]
     assert time.time() - start < 30
     assert found == ["x" * 300_000 + " c", "ab d", "e f", "h", "j", "k n", "see o"]
+
+
+def test_phrases_are_looked_up_in_pieces(monkeypatch):
+    from topicloom.operators import phrases as P
+
+    monkeypatch.setattr(P, "PIECE", 50)
+    sizes, is_phrase = [], P._is_phrase
+    monkeypatch.setattr(P, "_is_phrase", lambda table, keys, *a: sizes.append(len(keys[0])) or is_phrase(table, keys, *a))
+    rng = np.random.default_rng(2)
+    docs = [rng.integers(0, 5, n).tolist() for n in (0, 30, 30, 0, 200, 1, 40, 2, 0)]
+    words = pa.array(docs[:3] + [None] + docs[3:], pa.list_(pa.int64()))
+    table = [np.sort(P._pair_keys(np.array([1, 3]), np.array([2, 3])))] * 2
+    found = P._scan(table).func(words, words).to_pylist()
+    for doc, starts in zip(words.to_pylist(), found):
+        expected, i = [], 0
+        while i + 1 < len(doc or []):
+            hit = (doc[i], doc[i + 1]) in {(1, 2), (3, 3)}
+            expected += [i] if hit else []
+            i += 2 if hit else 1
+        assert starts == expected
+    assert max(sizes) < 200 and len(sizes) > 3
