@@ -84,3 +84,24 @@ def test_phrases_are_looked_up_in_pieces(monkeypatch):
             i += 2 if hit else 1
         assert starts == expected
     assert max(sizes) < 200 and len(sizes) > 3
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tfidf_is_weighed_inside_the_row(spark, corpus):
+    from topicloom.operators import tfidf as I
+
+    docs = corpus("a b a c", "", "b b d", "x", "c a b d")
+    model = I.fit_tfidf(docs, (1, 2), 1, 1.0, 6)
+    named = model.transform(docs, partitioned=True)
+    by_document = "windowspecdefinition(doc_id"
+    assert by_document not in _plan(named) and by_document not in _plan(model.arrays(docs, partitioned=True))
+    slow = I.weigh(I.doc_term(I.select_grams(docs, (1, 2), ())), model.vocab.select("term", "term_id", "idf"))
+    key = lambda df: sorted((r.doc_id, r.term_id, r.term, round(r.w, 12)) for r in df.collect())
+    assert key(named) == key(slow.select("doc_id", "term_id", "term", "w"))
+    # rows of one doc_id count as one document, as before
+    twice = docs.union(docs)
+    assert key(model.transform(twice)) == key(slow.select("doc_id", "term_id", "term", "w"))
+    assert model.arrays(twice).count() == 10
