@@ -105,3 +105,25 @@ def test_tfidf_is_weighed_inside_the_row(spark, corpus):
     twice = docs.union(docs)
     assert key(model.transform(twice)) == key(slow.select("doc_id", "term_id", "term", "w"))
     assert model.arrays(twice).count() == 10
+
+
+def test_windows_are_counted_inside_the_row(spark, corpus, monkeypatch):
+    from topicloom.operators import coherence as C
+
+    rng = np.random.default_rng(3)
+    docs = corpus(*["".join(rng.choice(list("abcdefg"), n)).replace("", " ").split() for n in (0, 1, 5, 40, 90)])
+    topics = spark.createDataFrame([(0, "a"), (0, "b"), (0, "zz"), (1, "b"), (1, "c")], "topic_id int, term string")
+    pairs = C.topic_pairs(topics)
+    words = topics.select(F.col("term").alias("word")).distinct()
+
+    def counts(found):
+        return [sorted(map(tuple, C.window_counts(found, pairs, size).collect())) for size in (3, 10, C.WHOLE_DOCUMENT)]
+
+    found = C.occurrences(docs, words)
+    assert "Window" not in C.window_counts(found, pairs, 3)._jdf.queryExecution().executedPlan().toString()
+    inside = counts(found)
+    assert found.count() <= 5
+    monkeypatch.setattr(C, "IN_ROW_PAIRS", 0)
+    assert inside == counts(found)
+    monkeypatch.setattr(C, "IN_ROW_WORDS", 0)
+    assert inside == counts(C.occurrences(docs, words))
