@@ -127,3 +127,17 @@ def test_windows_are_counted_inside_the_row(spark, corpus, monkeypatch):
     assert inside == counts(found)
     monkeypatch.setattr(C, "IN_ROW_WORDS", 0)
     assert inside == counts(C.occurrences(docs, words))
+
+
+def test_document_vectors_are_averaged_inside_the_row(spark, corpus):
+    from topicloom.operators.embed import mean_word_vectors
+
+    docs = corpus("a b a", "x", "", "b")
+    vectors = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [4.0, 8.0])], "word string, vec array<double>")
+    found = mean_word_vectors(docs, vectors, 2, partitioned=True)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Join" not in plan
+    expected = [[2.0, 4.0], [0.0, 0.0], [0.0, 0.0], [4.0, 8.0]]
+    assert [r.vector for r in found.orderBy("doc_id").collect()] == expected
+    twice = mean_word_vectors(docs.union(docs), vectors, 2)
+    assert [r.vector for r in twice.orderBy("doc_id").collect()] == [v for v in expected for _ in range(2)]
