@@ -141,3 +141,27 @@ def test_document_vectors_are_averaged_inside_the_row(spark, corpus):
     assert [r.vector for r in found.orderBy("doc_id").collect()] == expected
     twice = mean_word_vectors(docs.union(docs), vectors, 2)
     assert [r.vector for r in twice.orderBy("doc_id").collect()] == [v for v in expected for _ in range(2)]
+
+
+def test_nmf_rows_are_solved_in_blocks_of_bounded_size(monkeypatch):
+    from topicloom.models import nmf as N
+
+    rng = np.random.default_rng(4)
+    lengths = np.array([0, 3, 40, 1, 3, 0, 200, 41, 7, 2000, 3])
+    columns, values, h = rng.integers(0, 50, lengths.sum()), rng.random(lengths.sum()), rng.random((3, 50))
+    seen, like_rows = [], N._like_rows
+    monkeypatch.setattr(N, "BLOCK", 300)
+    monkeypatch.setattr(N, "_like_rows", lambda *a: (seen.append(places.shape) or (rows, places) for rows, places in like_rows(*a)))
+    rows = np.repeat(np.arange(len(lengths)), lengths)
+    add = lambda x: np.stack([np.bincount(rows, c, len(lengths)) for c in x.T], 1)
+    params = N.NmfParams(k=3, beta_loss="kullback-leibler", inner_iter=5, alpha_w=0.1, l1_ratio=0.5)
+    mass = h.sum(axis=1)
+    expected = add(values[:, None] * h.T[columns]) / (mass * mass.mean() + N.EPSILON)
+    for _ in range(5):
+        ratio = values / ((expected[rows] * h.T[columns]).sum(axis=1) + N.EPSILON)
+        expected *= add(ratio[:, None] * h.T[columns]) / (mass + 0.05 + 0.05 * expected + N.EPSILON)
+    w, fitted = N._solve(columns, values, lengths, h, h.T.copy(), params)
+    assert np.allclose(w, expected, rtol=1e-12) and np.allclose(fitted, (expected[rows] * h.T[columns]).sum(axis=1), rtol=1e-12)
+    assert all(n == 1 or 3 * n * most <= 300 for n, most in seen) and sum(n * most for n, most in seen) < 1.3 * lengths.sum()
+    _, products = N._solve(columns, values, lengths, h, h.T.copy(), N.NmfParams(k=3, inner_iter=5))
+    assert np.allclose(products, add(values[:, None] * h.T[columns]), rtol=1e-12)
