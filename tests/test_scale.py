@@ -165,3 +165,15 @@ def test_nmf_rows_are_solved_in_blocks_of_bounded_size(monkeypatch):
     assert all(n == 1 or 3 * n * most <= 300 for n, most in seen) and sum(n * most for n, most in seen) < 1.3 * lengths.sum()
     _, products = N._solve(columns, values, lengths, h, h.T.copy(), N.NmfParams(k=3, inner_iter=5))
     assert np.allclose(products, add(values[:, None] * h.T[columns]), rtol=1e-12)
+
+
+def test_words_for_stopwords_are_told_once(spark, monkeypatch):
+    from topicloom.operators import vocab as V
+
+    calls, raw_words = [], V.raw_words
+    monkeypatch.setattr(V, "raw_words", lambda *a: calls.append(a) or raw_words(*a))
+    texts = [(1, "a a a bb"), (1, "bb cc"), (2, None), (None, "a dd dd"), (3, ""), (4, "É éé a ee")]
+    found = V.corpus_stopwords(spark.createDataFrame(texts, "doc_id bigint, text string"), ["dd"], top_n=1, low_n=2, doc_share=0.3)
+    # a is the most frequent, bb in two of six texts, ee and éé tie for the lightest with cc behind them
+    assert len(calls) == 1
+    assert sorted(r.word for r in found.collect()) == ["a", "bb", "cc", "ee"]

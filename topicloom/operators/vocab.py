@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicloom.functions.tokens import raw_words
-from topicloom.runtime import BROADCAST_ROW_LIMIT, bounded, by_document, cut_lineage, row_count
+from topicloom.runtime import BROADCAST_ROW_LIMIT, bounded, by_document, cut_lineage, is_small, row_count
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -108,22 +108,29 @@ def corpus_stopwords(
     doc_share: float = 0.6,
 ) -> DataFrame:
     """Words that this corpus marks as stopwords beyond ``defaults``: the most frequent, those in more
-    than ``doc_share`` of the documents and those of lowest mean TF-IDF. One column ``word``."""
+    than ``doc_share`` of the documents and those of lowest mean TF-IDF. One column ``word``, cached.
+
+    The words of a text are told once and kept, hashed by ``doc_id``, until the result is known; so are the frequencies of all words."""
     from topicloom.operators.tfidf import mean_tfidf, smooth_idf, weigh
 
-    counted = texts.select(raw_words(F.col(text)).alias("tokens"))
-    frequent = top_terms(counted, top_n).select("term")
+    words = by_document(texts.select("doc_id", raw_words(F.col(text)).alias("tokens"))).persist()
+    counted = term_stats(words).persist()
+    frequent = counted.orderBy(F.col("cf").desc(), "term").limit(top_n).select("term")
 
-    docs = texts.select("doc_id", raw_words(F.col(text), 2).alias("tokens"))
-    n_docs = row_count(texts)
-    stats = term_stats(docs)
+    docs = words.select("doc_id", F.filter("tokens", lambda t: F.length(t) >= 2).alias("tokens"))
+    n_docs = row_count(words)
+    stats = counted.filter(F.length("term") >= 2)
     common = stats.filter(F.col("df") > F.lit(float(doc_share)) * n_docs).select("term")
 
     idf = stats.select("term", smooth_idf(F.col("df"), n_docs).alias("idf"))
-    weights = weigh(doc_term(docs), idf)
+    weights = weigh(doc_term(docs, partitioned=True), F.broadcast(idf) if is_small(counted) else idf)
     # sums of floating numbers end differently in other partitions: ties are told on rounded ones
     means = mean_tfidf(weights, n_docs).withColumn("mean_tfidf", F.round("mean_tfidf", 12))
     light = means.orderBy("mean_tfidf", "term").limit(low_n).select("term")
 
     found = frequent.union(common).union(light).distinct()
-    return found.filter(~F.col("term").isin(list(defaults))).select(F.col("term").alias("word"))
+    found = found.filter(~F.col("term").isin(list(defaults))).select(F.col("term").alias("word")).persist()
+    found.count()
+    counted.unpersist()
+    words.unpersist()
+    return found
