@@ -177,3 +177,15 @@ def test_words_for_stopwords_are_told_once(spark, monkeypatch):
     # a is the most frequent, bb in two of six texts, ee and éé tie for the lightest with cc behind them
     assert len(calls) == 1
     assert sorted(r.word for r in found.collect()) == ["a", "bb", "cc", "ee"]
+
+
+def test_rare_pairs_are_not_kept(corpus, monkeypatch):
+    from topicloom.operators import phrases as P
+
+    docs = corpus(*["x y"] * 6, "p q r s t u v w", "q p s r u t w v")
+    held, persist = [], type(docs).persist
+    monkeypatch.setattr(type(docs), "persist", lambda df, *a: held.append(df) or persist(df, *a))
+    found = P.learn_phrases(docs, min_count=5, threshold=0.1).collect()
+    # ten different words and fifteen different pairs
+    assert [(r.w1, r.w2, r.n, round(r.score, 9)) for r in found] == [("x", "y", 6, round(25 / 36, 9))]
+    assert [df.count() for df in held if {"w2", "pair"} & set(df.columns)] == [2, 1]
