@@ -189,3 +189,20 @@ def test_rare_pairs_are_not_kept(corpus, monkeypatch):
     # ten different words and fifteen different pairs
     assert [(r.w1, r.w2, r.n, round(r.score, 9)) for r in found] == [("x", "y", 6, round(25 / 36, 9))]
     assert [df.count() for df in held if {"w2", "pair"} & set(df.columns)] == [2, 1]
+
+
+def test_entries_are_added_up_before_they_meet_documents(spark, monkeypatch):
+    from topicloom.models import nmf as N
+
+    cells = [(0, "a", 1.0), (0, "b", 2.0), (1, "a", 3.0), (1, "a", 1.0), *[(2, f"z{i}", 1.0) for i in range(16)], (None, "a", 5.0)]
+    entries = spark.createDataFrame(cells, "doc_id bigint, term string, w double")
+    joined, join = [], type(entries).join
+    monkeypatch.setattr(type(entries), "join", lambda df, other, on=None, *a: joined.append((on, df)) or join(df, other, on, *a))
+    docs = spark.createDataFrame([(0, 0, 0.5), (0, 1, 1.0), (1, 1, 2.0), (3, 0, 1.0)], "doc_id bigint, topic_id int, weight double")
+    topics = spark.createDataFrame([(0, "a", 1.0), (0, "b", 0.5), (1, "a", 0.25), (1, "c", 2.0)], "topic_id int, term string, weight double")
+    found = N.reconstruction_error(entries, docs, topics)
+    w, h = np.array([[0.5, 1], [0, 2], [1, 0]]), np.array([[1, 0.5, 0], [0.25, 0, 2]])
+    fitted = w @ h
+    squares = 1 + 4 + 9 + 1 + 16 + 25 - 2 * (fitted[0, 0] + 2 * fitted[0, 1] + 4 * fitted[1, 0]) + (fitted**2).sum()
+    assert abs(found.first()[0] - np.sqrt(squares)) < 1e-9
+    assert [df.count() for on, df in joined if on == "doc_id"] == [7]  # a row for each document and topic, not for each of the 21 entries

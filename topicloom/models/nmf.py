@@ -130,27 +130,34 @@ def dominant_topic(weights: DataFrame, w: str = "w") -> DataFrame:
 
 def reconstruction_error(entries: DataFrame, doc_weights: DataFrame, topic_terms: DataFrame) -> DataFrame:
     """Frobenius norm of X - W H from long tables (doc_id, term, w), (doc_id, topic_id, weight) and
-    (topic_id, term, weight), without forming W H: sum x^2 - 2 sum x (WH) + trace(W'W HH')."""
+    (topic_id, term, weight), without forming W H: sum x^2 - 2 sum x (WH) + trace(W'W HH').
+    W and H are read twice and kept until the result, which is cached, is known."""
     from topicloom.runtime import bounded
 
-    docs = doc_weights.select("doc_id", "topic_id", F.col("weight").alias("dw"))
-    terms = topic_terms.select("topic_id", "term", F.col("weight").alias("tw"))
+    docs = doc_weights.select("doc_id", "topic_id", F.col("weight").alias("dw")).persist()
+    terms = topic_terms.select("topic_id", "term", F.col("weight").alias("tw")).persist()
 
-    # One row per document and per term carries all its topic weights, so no entry is multiplied by k rows.
+    # An entry meets the topics of its term only. Its products are added up for each document and topic before they meet the
+    # document's weights, so the join by document is of k + 1 rows a document; the row without a topic is of the other terms.
     per_doc = docs.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("topic_id", "dw"))).alias("dm"))
     per_term = terms.groupBy("term").agg(F.collect_list(F.struct("topic_id", "tw")).alias("ts"))
-    fitted = F.aggregate(
-        "ts", F.lit(0.0), lambda acc, t: acc + t["tw"] * F.coalesce(F.try_element_at("dm", t["topic_id"]), F.lit(0.0))
+    met = entries.join(bounded(per_term), "term", "left").select("doc_id", "w", F.posexplode_outer("ts").alias("i", "t"))
+    square = F.when(F.coalesce("i", F.lit(0)) == 0, F.col("w") * F.col("w"))
+    products = met.groupBy("doc_id", F.col("t.topic_id").alias("topic_id")).agg(
+        F.sum(F.col("w") * F.col("t.tw")).alias("p"), F.coalesce(F.sum(square), F.lit(0.0)).alias("s")
     )
-    joined = entries.join(bounded(per_term), "term", "left").join(per_doc, "doc_id", "left")
-    part = F.col("w") * F.col("w") - 2 * F.col("w") * F.coalesce(fitted, F.lit(0.0))
-    sums = joined.agg(F.coalesce(F.sum(part), F.lit(0.0))).scalar()
+    weight = F.coalesce(F.try_element_at("dm", F.col("topic_id")), F.lit(0.0))
+    part = F.col("s") - 2 * F.coalesce("p", F.lit(0.0)) * weight
+    sums = products.join(per_doc, "doc_id", "left").agg(F.coalesce(F.sum(part), F.lit(0.0))).scalar()
     gram_w, gram_h = _gram(docs, "doc_id", "dw"), _gram(terms, "term", "tw")
     gram = gram_w.join(gram_h.withColumnRenamed("g", "gh"), ["t1", "t2"])
     trace = F.coalesce(F.sum(F.col("g") * F.col("gh")), F.lit(0.0))
-    return gram.agg(trace.alias("trace")).select(
-        F.sqrt(F.greatest(sums + F.col("trace"), F.lit(0.0))).alias("reconstruction_error")
-    )
+    error = F.sqrt(F.greatest(sums + F.col("trace"), F.lit(0.0))).alias("reconstruction_error")
+    found = gram.agg(trace.alias("trace")).select(error).persist()
+    found.count()
+    docs.unpersist()
+    terms.unpersist()
+    return found
 
 
 def _gram(rows: DataFrame, key: str, value: str) -> DataFrame:
