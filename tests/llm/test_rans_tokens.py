@@ -30,6 +30,28 @@ def test_parts_are_encoded_as_the_whole(texts):
         assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:])] == [whole(t) for t in texts]
 
 
+def test_words_of_letters_are_encoded_many_to_a_text():
+    parts = ["the", "straße", "ÿö", "don't", "É", "42", "İ", "ά", "слово", "λόγος", "λογος", "ﬁ", "日本", "e\u0301a", "zzqxv" * 50, "<|endoftext|>", "..", "a"] + [f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}" for k in range(1300)]
+    calls = []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            calls.append(len(texts))
+            return OWN.tokenizer.encode_batch_fast(texts, **options)
+
+    own = A.Encoder(A.read_definition(None))
+    own.tokenizer = Counting()
+    for case in (parts, parts[:8], ["42", "É"], ["a"], []):
+        ids, lengths = own.encode_units(case)
+        edges = np.concatenate([[0], np.cumsum(lengths)])
+        assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:])] == [OWN.tokenizer.encode(p, add_special_tokens=False).ids for p in case]
+        if case is parts:
+            assert sum(calls) < 20  # not one text a word
+    own.ends[:] = False  # a tokenizer that does not mark the ends of words
+    ids, lengths = own.encode_units(parts)
+    assert lengths.tolist() == [len(OWN.tokenizer.encode(p, add_special_tokens=False).ids) for p in parts]
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(0, 40), max_size=300), st.integers(1, 900))
 def test_blocks_round_trip(ids, times):

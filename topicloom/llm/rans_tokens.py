@@ -127,6 +127,11 @@ KIND[65:91] = KIND[97:123] = 1
 KIND[39] = 0
 
 
+# Lower-case letters that normalisation leaves as they are: a part of such letters alone is one word to the tokenizer.
+LETTERS = re.compile("[a-zß-öø-ÿα-ωа-я]+")
+JOINED = 500  # so many words are encoded as one text
+
+
 @cache
 def added_tokens(definition: str) -> re.Pattern[bytes] | None:
     """The strings that the tokenizer cuts out of the raw text before anything else."""
@@ -167,6 +172,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.added = added_tokens(definition)
         self.size = self.tokenizer.get_vocab_size()
+        suffix = json.loads(definition)["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # ids that end a word
+        self.ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         self.forget()
 
     def forget(self) -> None:
@@ -174,27 +183,44 @@ class Encoder:
         self.starts = self.lengths = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def encode_units(self, parts: list[str]) -> list[list[int]]:
-        return [e.ids for a in range(0, len(parts), 8_000) for e in self.tokenizer.encode_batch_fast(parts[a : a + 8_000], add_special_tokens=False)]
-
-    def learn(self, parts: list[str]) -> np.ndarray:
+    def encode_each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts, one after another, and the number of each."""
+        found = [e.ids for a in range(0, len(texts), 8_000) for e in self.tokenizer.encode_batch_fast(texts[a : a + 8_000], add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths
+
+    def encode_units(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As encode_each; words of letters alone go many to a text, in which the last id of each word tells where it ends."""
+        plain = np.fromiter((LETTERS.fullmatch(p) is not None for p in parts), bool, len(parts))
+        words, others = [p for p, k in zip(parts, plain) if k], [p for p, k in zip(parts, plain) if not k]
+        ids, _ = self.encode_each([" ".join(words[a : a + JOINED]) for a in range(0, len(words), JOINED)])
+        last = np.flatnonzero(self.ends[ids])
+        if len(last) != len(words) or len(ids) != (last[-1] + 1 if len(last) else 0):  # a tokenizer without ends of words
+            return self.encode_each(parts)
+        other_ids, other_lengths = self.encode_each(others)
+        lengths, starts = np.empty(len(parts), np.int64), np.empty(len(parts), np.int64)
+        lengths[plain], lengths[~plain] = np.diff(last, prepend=-1), other_lengths
+        starts[plain] = last + 1 - lengths[plain]
+        starts[~plain] = len(ids) + np.cumsum(other_lengths) - other_lengths
+        return np.concatenate([ids, other_ids])[B.ragged(starts, lengths)], lengths
+
+    def learn(self, parts: np.ndarray) -> np.ndarray:
         if len(self.places) > REMEMBERED or len(self.ids) > 8 * REMEMBERED:
             self.forget()
         new = [p for p in parts if p not in self.places]
         if new:
-            found = self.encode_units(new)
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            ids, lengths = self.encode_units(new)
             self.places.update(zip(new, range(len(self.places), len(self.places) + len(new))))
             self.lengths = np.concatenate([self.lengths, lengths])
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
-            self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(lengths.sum()))])
+            self.ids = np.concatenate([self.ids, ids])
         return np.fromiter(map(self.places.__getitem__, parts), np.int64, len(parts))
 
     def encode_block(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, one after another, and the number of each."""
         parts, rows = units(data, offsets, self.added)
         parts = parts.dictionary_encode()
-        place = self.learn(parts.dictionary.to_pylist())[np.asarray(parts.indices)]
+        place = self.learn(parts.dictionary.to_numpy(zero_copy_only=False))[np.asarray(parts.indices)]
         return self.ids[B.ragged(self.starts[place], self.lengths[place])], B.sums_by_row(self.lengths[place], rows)
 
 
