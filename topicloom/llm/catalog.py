@@ -161,7 +161,7 @@ FROM documents d LEFT JOIN sizes USING (doc_id) JOIN least ON least.v = d.doc_id
 @query
 def op8_kneser_ney(spark, sf):
     found = Q.judge(table(spark, sf, "documents").select("doc_id", "text", "lang"))
-    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity")
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_perplexity", "word_log_perplexity")
 
 
 @query

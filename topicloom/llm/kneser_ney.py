@@ -1,7 +1,7 @@
-"""Quality rules: word and line counts with fixed limits, then the perplexity of a modified Kneser-Ney n-gram model within
-bands of the language.
+"""Quality rules: word and line counts with fixed limits, then the perplexities of two modified Kneser-Ney n-gram models within
+bands of the language: of words (``word_pairs``) and of characters, for what is no text at all.
 
-Grams are over ALPHABET symbols: letters, digits, white space, punctuation classes and classes of the other bytes. There
+Grams of characters are over ALPHABET symbols: letters, digits, white space, punctuation classes and classes of the other bytes. There
 can be no more than ALPHABET^ORDER = 2^24 of them, which bounds the model at any corpus size, so that no count is cut.
 Spark counts them over all texts; the model is sorted arrays of gram codes with their probabilities, one for each order."""
 
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from topicloom.llm import textbytes as B
 from topicloom.llm.staging import stage
+from topicloom.llm.word_pairs import with_losses
 
 BITS, ORDER = 6, 4
 ALPHABET = 1 << BITS
@@ -195,25 +196,34 @@ def quartiles(values: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def judge(docs: DataFrame, fence: float = FENCE) -> DataFrame:
-    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, log_perplexity, low, high, base_failed, kept)
-    for every row of ``docs`` (doc_id, text, lang, ...).
+    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, log_perplexity, word_log_perplexity, low, high,
+    word_high, base_failed, kept) for every row of ``docs`` (doc_id, text, lang, ...).
 
     base_failed: fewer than 50 words, or over half of them in three-word windows found twice. The bands are those of
-    ``lang`` over all texts that did not fail, one band for the null language; a text is kept from low to high
-    inclusive. A null or empty text has no words, one symbol (its end) and fails. Rows that repeat are judged alike."""
+    ``lang`` over all texts that did not fail, one band for the null language; a text is kept if its characters
+    (log_perplexity) lie from low to high and its words, as all other texts tell them, at most at word_high, inclusive: a
+    text of which there are copies is no worse for that. A null or empty text has no words, one symbol (its end) and
+    fails. Rows that repeat are judged alike."""
+    docs = docs.select("doc_id", F.coalesce("lang", F.lit("und")).alias("lang"), "text")
     known = docs.sparkSession.sparkContext.broadcast(fit(docs))
 
-    @F.arrow_udf(RESULT)
-    def run(column: pa.Array) -> pa.Array:
-        return measure(known.value, column)
+    def run(chunks: Iterator[tuple]) -> Iterator[tuple]:
+        for rows, losses in chunks:
+            found = measure(known.value, pa.array([r[2] for r in rows], pa.large_string()))
+            for (doc_id, lang, _), *values in zip(rows, *(v.to_pylist() for v in found.flatten()), losses.tolist()):
+                yield doc_id, lang, *values
+            del rows, found  # before the next chunk is read
 
-    measured = docs.select("doc_id", F.coalesce("lang", F.lit("und")).alias("lang"), run(F.col("text")).alias("m")).select("doc_id", "lang", "m.*")
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, {RESULT}, word_log_perplexity double"
+    measured = docs.sparkSession.createDataFrame(with_losses(docs).mapPartitions(run), schema, verifySchema=False)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     measured = stage(measured.withColumn("base_failed", failed))
-    q = quartiles(measured.filter(~F.col("base_failed")), "lang", "log_perplexity")
+    sound = measured.filter(~F.col("base_failed"))
     reach = fence * F.greatest(F.col("q3") - F.col("q1"), F.lit(LEAST_RANGE))
-    bands = stage(q.select("lang", (F.col("q1") - reach).alias("low"), (F.col("q3") + reach).alias("high")))
+    chars = quartiles(sound, "lang", "log_perplexity").select("lang", (F.col("q1") - reach).alias("low"), (F.col("q3") + reach).alias("high"))
+    words = quartiles(sound, "lang", "word_log_perplexity").select("lang", (F.col("q3") + reach).alias("word_high"))
+    bands = stage(chars.join(words, "lang"))
     if bands.count() <= 10_000:
         bands = F.broadcast(bands)
-    kept = ~F.col("base_failed") & F.col("log_perplexity").between(F.col("low"), F.col("high"))
-    return measured.join(bands, "lang", "left").withColumn("kept", F.coalesce(kept, F.lit(False))).drop("lang")
+    inside = F.col("log_perplexity").between(F.col("low"), F.col("high")) & (F.col("word_log_perplexity") <= F.col("word_high"))
+    return measured.join(bands, "lang", "left").withColumn("kept", F.coalesce(~F.col("base_failed") & inside, F.lit(False))).drop("lang")
