@@ -100,3 +100,25 @@ def test_shuffled_words_leave_the_band(documents):
     for k in range(120, 124):  # its characters alone do not tell
         assert found[k].low <= found[k].log_perplexity <= found[k].high
     assert all(math.isclose(found[k].word_log_perplexity, found[0].word_log_perplexity) for k in (500, 501, 502))
+
+
+def test_sorted_hashes_cost_no_more_than_their_gaps_hold():
+    """The first bytes of the gaps are compressed though the others cannot be."""
+    keys = np.sort(np.random.default_rng(1).integers(0, 1 << P.BITS, 9_000).astype(np.uint64))
+    gaps = np.diff(keys)
+    assert P.unpack(P.pack(gaps)).tolist() == gaps.tolist()
+    width = (int(gaps.max()).bit_length() + 7) // 8
+    assert len(P.pack(gaps)) < (width - 0.2) * len(gaps)
+
+
+def test_numbered_as_by_unique():
+    rng = np.random.default_rng(2)
+    for bound in (1, 7, 1 << 30, 1 << 62):
+        values = rng.integers(0, bound, 5_000)
+        kinds, at = np.unique(values, return_inverse=True)
+        found = P.distinct(values.copy(), bound)
+        assert found[0].tolist() == kinds.tolist() and found[1].tolist() == at.tolist()
+    keys = rng.integers(0, 1 << P.BITS, 3_000).astype(np.uint64)
+    keys = np.concatenate([keys, keys[::-1] ^ np.uint64(1), keys])  # neighbours that differ in the last bit alone
+    place, found = P.ascending(keys)
+    assert found.tolist() == sorted(keys.tolist()) and keys[place].tolist() == found.tolist()

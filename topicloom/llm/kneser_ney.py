@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from topicloom.llm import textbytes as B
 from topicloom.llm.staging import stage
-from topicloom.llm.word_pairs import with_losses
+from topicloom.llm.word_pairs import give_back, with_losses
 
 BITS, ORDER = 6, 4
 ALPHABET = 1 << BITS
@@ -34,6 +34,7 @@ SYMBOL[128:] = 44 + np.arange(128) % 20
 SYMBOLS_SET = np.zeros(256, bool)
 SYMBOLS_SET[list(b"#*$%&|<>")] = True
 
+BATCH_ROWS = 500  # texts that come to a task of the counts at once
 MIN_WORDS = 50
 FENCE = 3.0  # a band reaches so many interquartile ranges beyond the quartiles of a language
 LEAST_RANGE = 0.02  # of log perplexity, where nearly all texts of a language agree
@@ -46,13 +47,17 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     rows = len(offsets) - 1
     pad = ORDER - 1
     at = offsets + (pad + 1) * np.arange(rows + 1)  # each text gets pad edges before it and one after
-    symbols = np.full(int(at[-1]), EDGE, np.uint32)
-    symbols[B.ragged(at[:-1] + pad, np.diff(offsets))] = SYMBOL[data]
-    codes = np.zeros(max(0, len(symbols) - pad), np.uint32)
-    for o in range(ORDER):
+    inside = np.ones(int(at[-1]), bool)
+    for o in range(pad):
+        inside[at[:-1] + o] = False
+    ends = inside[pad:].copy()  # of the grams, at the symbols and the end of each text
+    inside[at[1:] - 1] = False
+    symbols = np.full(len(inside), EDGE, np.uint32)
+    symbols[inside] = SYMBOL[data]
+    codes = symbols[pad:].copy()
+    for o in range(pad):
         codes |= symbols[o : len(symbols) - pad + o] << np.uint32(BITS * (pad - o))
-    sizes = np.diff(offsets) + 1
-    return codes[B.ragged(at[:-1], sizes)], np.concatenate([[0], np.cumsum(sizes)])
+    return codes[ends], np.concatenate([[0], np.cumsum(np.diff(offsets) + 1)])
 
 
 def count_grams(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -68,6 +73,7 @@ def count_grams(docs: DataFrame, text_col: str = "text") -> DataFrame:
             keys, n = held[0]
             for a in range(0, len(keys), 100_000):
                 yield pa.record_batch([pa.array(keys[a : a + 100_000].astype(np.int32)), pa.array(n[a : a + 100_000].astype(np.int64))], ["gram", "n"])
+        give_back()
 
     return docs.select(text_col).mapInArrow(count, "gram int, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
 
@@ -104,6 +110,11 @@ class Model:
             self.keys[m], self.logs[m] = k, np.log(p)
             self.contexts[m], self.weights[m] = context, np.log(weight)
             below = p
+        # the grams of the highest order also by their contexts: a row for each, the last for contexts never counted
+        self.row = np.full(1 << BITS * (ORDER - 1), len(context), np.int32)
+        self.row[context] = np.arange(len(context), dtype=np.int32)
+        self.by_context = np.full((len(context) + 1) << BITS, np.nan)
+        self.by_context[(at << BITS) + (k & np.uint32(ALPHABET - 1))] = self.logs[ORDER]
 
     def _p(self, m: int, codes: np.ndarray) -> np.ndarray:
         return np.exp(self.log_p(codes, m))
@@ -116,10 +127,16 @@ class Model:
         keys = self.keys[m]
         if not len(keys):
             return self.log_p(np.zeros(len(codes), np.uint32), 0)
-        at = np.searchsorted(keys, codes)
-        at[at == len(keys)] = 0
-        out = self.logs[m][at]
-        miss = np.flatnonzero(keys[at] != codes)
+        if m == ORDER:
+            at = self.row[codes >> np.uint32(BITS)] << np.int32(BITS)
+            at |= (codes & np.uint32(ALPHABET - 1)).view(np.int32)
+            out = self.by_context[at]
+            miss = np.flatnonzero(np.isnan(out))
+        else:
+            at = np.searchsorted(keys, codes)
+            at[at == len(keys)] = 0
+            out = self.logs[m][at]
+            miss = np.flatnonzero(keys[at] != codes)
         if len(miss):
             c = codes[miss]
             known = np.searchsorted(self.contexts[m], c >> np.uint32(BITS))
@@ -146,13 +163,7 @@ def measure(model: Model, column: pa.Array) -> pa.Array:
     for _, data, offsets in B.blocks(column):
         w = B.Words(data, offsets, B.SPACED)
         rows = w.row_of()
-        inside = B.SPACED[data] & ((data & 0xC0) != 0x80)
-        triples = B.gram_hashes(w.hashes(), 3)
-        ok = np.flatnonzero(B.gram_starts(w.rows, 3))
-        again = ok[repeated(triples[ok] ^ B.mix(rows[ok].astype(np.uint64)))]
-        hit = np.zeros(len(w), bool)
-        for o in range(3):
-            hit[again + o] = True
+        later = np.flatnonzero((data & 0xC0) == 0x80)  # bytes of a character after its first; all are in words
         breaks = np.flatnonzero(data == 10)
         starts = np.unique(np.concatenate([offsets[:-1], breaks + 1]))
         starts = starts[starts < len(data)]
@@ -160,16 +171,23 @@ def measure(model: Model, column: pa.Array) -> pa.Array:
         ends = ends - (data[ends - 1] == 10) if len(ends) else ends
         worded = np.searchsorted(w.starts, ends) > np.searchsorted(w.starts, starts)
         starts, ends = starts[worded], ends[worded]
+        hashes = B.span_hashes(data, np.concatenate([w.starts, starts]), np.concatenate([w.ends, ends]))  # of words and lines
+        triples = B.gram_hashes(hashes[: len(w)], 3)
+        ok = np.flatnonzero(B.gram_starts(w.rows, 3))
+        again = ok[repeated(triples[ok] ^ B.mix(rows[ok].astype(np.uint64)))]
+        hit = np.zeros(len(w), bool)
+        for o in range(3):
+            hit[again + o] = True
         line_rows = np.searchsorted(offsets, starts, "right") - 1
-        named = B.span_hashes(data, starts, ends) ^ B.mix(line_rows.astype(np.uint64))
+        named = hashes[len(w) :] ^ B.mix(line_rows.astype(np.uint64))
         _, first = np.unique(named, return_index=True)
         n_rows = len(offsets) - 1
         codes, edges = grams(data, offsets)
         logs = B.sums_by_row(model.log_p(codes), edges)
         for k, values in enumerate((
             w.counts,
-            B.sums_by_row(inside.astype(np.int64), offsets),
-            B.sums_by_row(SYMBOLS_SET[data].astype(np.int64), offsets),
+            B.sums_by_row(w.ends - w.starts, w.rows) - np.diff(np.searchsorted(later, offsets)),
+            np.diff(np.searchsorted(np.flatnonzero(SYMBOLS_SET[data]), offsets)),
             np.bincount(line_rows, minlength=n_rows) - np.bincount(line_rows[first], minlength=n_rows),
             B.sums_by_row(hit.astype(np.int64), w.rows),
             -logs / np.diff(edges),
@@ -182,7 +200,13 @@ def measure(model: Model, column: pa.Array) -> pa.Array:
 
 def fit(docs: DataFrame, text_col: str = "text") -> Model:
     """The model of all texts of ``docs``. At most 2^24 counts come to the driver."""
-    counts = count_grams(docs, text_col).toArrow()
+    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = conf.get(name)
+    conf.set(name, str(BATCH_ROWS))
+    try:
+        counts = count_grams(docs, text_col).toArrow()
+    finally:
+        conf.set(name, rows)
     return Model(counts["gram"].to_numpy().astype(np.uint32), counts["n"].to_numpy())
 
 
@@ -207,15 +231,17 @@ def judge(docs: DataFrame, fence: float = FENCE) -> DataFrame:
     docs = docs.select("doc_id", F.coalesce("lang", F.lit("und")).alias("lang"), "text")
     known = docs.sparkSession.sparkContext.broadcast(fit(docs))
 
+    def measured_rows(rows: list[tuple]) -> list[tuple]:
+        found = measure(known.value, pa.array([r[2] for r in rows], pa.large_string()))
+        return [(doc_id, lang, *values) for (doc_id, lang, _), *values in zip(rows, *(v.to_pylist() for v in found.flatten()))]
+
     def run(chunks: Iterator[tuple]) -> Iterator[tuple]:
         for rows, losses in chunks:
-            found = measure(known.value, pa.array([r[2] for r in rows], pa.large_string()))
-            for (doc_id, lang, _), *values in zip(rows, *(v.to_pylist() for v in found.flatten()), losses.tolist()):
-                yield doc_id, lang, *values
-            del rows, found  # before the next chunk is read
+            for row, loss in zip(rows, losses.tolist()):
+                yield *row, loss
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, {RESULT}, word_log_perplexity double"
-    measured = docs.sparkSession.createDataFrame(with_losses(docs).mapPartitions(run), schema, verifySchema=False)
+    measured = docs.sparkSession.createDataFrame(with_losses(docs, keep=measured_rows).mapPartitions(run), schema, verifySchema=False)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     measured = stage(measured.withColumn("base_failed", failed))
     sound = measured.filter(~F.col("base_failed"))
