@@ -122,3 +122,20 @@ def test_added_tokens_as_the_library_does(documents):
         assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:])] == expect
     rows = sorted(A.round_trip(documents(*enumerate(texts))).collect())
     assert [(r.n_tokens, r.ids_crc32) for r in rows] == [(len(e) + 1, zlib.crc32(np.array([*e, A.END_ID], "<u4").tobytes())) for e in expect]
+
+
+def test_parts_met_again_are_remembered(monkeypatch):
+    """A full memory forgets what was met once; words of letters go past the normalizer and the pattern."""
+    monkeypatch.setattr(A, "REMEMBERED", 20)
+    own = A.Encoder(A.read_definition(None))
+    assert own.bare is not own.tokenizer
+    asked = []
+    encode = own.encode_units
+    monkeypatch.setattr(own, "encode_units", lambda parts: asked.extend(parts) or encode(parts))
+    for k in range(12):
+        text = "the cat straße " + " ".join(f"w{chr(97 + k)}{chr(97 + j)}" for j in range(9))
+        data = np.frombuffer(text.encode(), np.uint8)
+        ids, counts = own.encode_block(data, np.array([0, len(data)]))
+        assert ids.tolist() == whole(text) and counts.tolist() == [len(ids)]
+    assert asked.count("the") == asked.count("straße") == 1
+    assert len(own.places) <= 40

@@ -16,6 +16,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +31,7 @@ LOW = np.uint64(1 << 31)  # least coder state
 MAGIC = b"TRNS"
 HEAD = struct.Struct("<4sIIIIII")  # magic, ids, lanes, checkpoints, words, checksum of the ids, checksum of what follows
 REMEMBERED = 600_000
+TEXT_BYTES = 2 << 20  # texts are encoded in runs of about so many bytes; each looks its different parts up once
 END_ID = 2
 
 
@@ -128,21 +130,46 @@ KIND[39] = 0
 
 
 # Lower-case letters that normalisation leaves as they are: a part of such letters alone is one word to the tokenizer.
-LETTERS = re.compile("[a-zß-öø-ÿα-ωа-я]+")
+LETTERS = r"\A[a-zß-öø-ÿα-ωа-я]+\z"
 JOINED = 500  # so many words are encoded as one text
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # of the definition; a run of letters is one word
 
 
 @cache
-def added_tokens(definition: str) -> re.Pattern[bytes] | None:
-    """The strings that the tokenizer cuts out of the raw text before anything else."""
-    added = [t["content"].encode() for t in json.loads(definition)["added_tokens"]]
-    return re.compile(b"|".join(re.escape(t) for t in sorted(added, key=len, reverse=True))) if added else None
+def added_tokens(definition: str) -> tuple[bytes, ...]:
+    """The strings that the tokenizer cuts out of the raw text before anything else, longest first."""
+    return tuple(sorted((t["content"].encode() for t in json.loads(definition)["added_tokens"]), key=len, reverse=True))
 
 
-def units(data: np.ndarray, offsets: np.ndarray, added: re.Pattern[bytes] | None = None) -> tuple[pa.Array, np.ndarray]:
+@cache
+def any_of(strings: tuple[bytes, ...]) -> re.Pattern[bytes]:
+    return re.compile(b"|".join(map(re.escape, strings)))
+
+
+def bare(definition: str, tokenizer):
+    """A tokenizer of the same model for words of LETTERS alone between spaces, which the normalizer leaves as they are and the pattern
+    keeps whole: without both. Where the definition has other steps than these, the tokenizer itself."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    steps = json.loads(definition)
+    before, split = ((steps[k] or {}) for k in ("normalizer", "pre_tokenizer"))
+    before = [before] if before.get("type") != "Sequence" else before["normalizers"]
+    split = [split] if split.get("type") != "Sequence" else split["pretokenizers"]
+    plain = all(k.get("type") in (None, "NFC", "Lowercase") or k.get("type") == "Replace" and k["pattern"] == {"Regex": "\\s+"} and k["content"] == " " for k in before)
+    if not plain or len(split) != 2 or split[0].get("pattern") != {"Regex": WORDS} or not split[0]["invert"] or split[0]["behavior"] != "Removed":
+        return tokenizer
+    if split[1]["type"] != "ByteLevel" or split[1]["add_prefix_space"] or split[1]["use_regex"]:
+        return tokenizer
+    out = Tokenizer(tokenizer.model)
+    out.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    return out
+
+
+def units(data: np.ndarray, offsets: np.ndarray, added: tuple[bytes, ...] = ()) -> tuple[pa.Array, np.ndarray]:
     """The texts in parts that the tokenizer never joins (it drops white space and parts letters, digits and other
-    characters), and the first part of each row. A match of ``added`` is a part of its own."""
-    found = np.array([m.span() for m in added.finditer(data.tobytes())] if added else [], np.int64).reshape(-1, 2)
+    characters), and the first part of each row. A match of one of ``added`` is a part of its own."""
+    raw = data.tobytes()
+    found = np.array([m.span() for m in any_of(added).finditer(raw)] if any(t in raw for t in added) else [], np.int64).reshape(-1, 2)
     found = found[np.searchsorted(offsets, found[:, 0], "right") == np.searchsorted(offsets, found[:, 1] - 1, "right")]
     data = B.LOWER[data]
     w = B.Words(data, offsets, B.SPACED)
@@ -170,6 +197,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
+        self.bare = bare(definition, self.tokenizer)
         self.added = added_tokens(definition)
         self.size = self.tokenizer.get_vocab_size()
         suffix = json.loads(definition)["model"].get("end_of_word_suffix")
@@ -180,20 +208,33 @@ class Encoder:
 
     def forget(self) -> None:
         self.places: dict[str, int] = {}
-        self.starts = self.lengths = np.zeros(0, np.int64)
+        self.starts = self.lengths = self.met = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
 
-    def encode_each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def thin(self) -> None:
+        """Forget the parts that were met once; all, if the others are many too."""
+        kept = np.flatnonzero(self.met > 1)
+        lengths = self.lengths[kept].astype(np.int64)
+        if len(kept) > REMEMBERED // 2 or lengths.sum() > 4 * REMEMBERED:
+            return self.forget()
+        parts = list(self.places)  # in the order of their places
+        self.places = {parts[k]: place for place, k in enumerate(kept.tolist())}
+        self.ids = self.ids[B.ragged(self.starts[kept], lengths)]
+        self.starts, self.lengths = (np.cumsum(lengths) - lengths).astype(np.int32), self.lengths[kept]
+        self.met = np.ones(len(kept), np.int32)
+
+    def encode_each(self, texts: list[str], tokenizer=None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, one after another, and the number of each."""
-        found = [e.ids for a in range(0, len(texts), 8_000) for e in self.tokenizer.encode_batch_fast(texts[a : a + 8_000], add_special_tokens=False)]
+        tokenizer = tokenizer or self.tokenizer
+        found = [e.ids for a in range(0, len(texts), 8_000) for e in tokenizer.encode_batch_fast(texts[a : a + 8_000], add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths
 
     def encode_units(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """As encode_each; words of letters alone go many to a text, in which the last id of each word tells where it ends."""
-        plain = np.fromiter((LETTERS.fullmatch(p) is not None for p in parts), bool, len(parts))
+        plain = pc.match_substring_regex(pa.array(parts, pa.large_string()), LETTERS).to_numpy(zero_copy_only=False).astype(bool)
         words, others = [p for p, k in zip(parts, plain) if k], [p for p, k in zip(parts, plain) if not k]
-        ids, _ = self.encode_each([" ".join(words[a : a + JOINED]) for a in range(0, len(words), JOINED)])
+        ids, _ = self.encode_each([" ".join(words[a : a + JOINED]) for a in range(0, len(words), JOINED)], self.bare)
         last = np.flatnonzero(self.ends[ids])
         if len(last) != len(words) or len(ids) != (last[-1] + 1 if len(last) else 0):  # a tokenizer without ends of words
             return self.encode_each(parts)
@@ -206,22 +247,31 @@ class Encoder:
 
     def learn(self, parts: np.ndarray) -> np.ndarray:
         if len(self.places) > REMEMBERED or len(self.ids) > 8 * REMEMBERED:
-            self.forget()
-        new = [p for p in parts if p not in self.places]
-        if new:
+            self.thin()
+        place = np.fromiter(map(self.places.get, parts, itertools.repeat(-1)), np.int32, len(parts))
+        at = np.flatnonzero(place < 0)
+        if len(at):
+            new = parts[at].tolist()
             ids, lengths = self.encode_units(new)
-            self.places.update(zip(new, range(len(self.places), len(self.places) + len(new))))
-            self.lengths = np.concatenate([self.lengths, lengths])
-            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+            place[at] = np.arange(len(self.places), len(self.places) + len(new))
+            self.places.update(zip(new, place[at].tolist()))
+            self.lengths = np.concatenate([self.lengths, lengths.astype(np.int32)])
+            self.starts = np.concatenate([self.starts, (len(self.ids) + np.cumsum(lengths) - lengths).astype(np.int32)])
             self.ids = np.concatenate([self.ids, ids])
-        return np.fromiter(map(self.places.__getitem__, parts), np.int64, len(parts))
+            self.met = np.concatenate([self.met, np.zeros(len(new), np.int32)])
+        self.met[place] += 1
+        return place
 
     def encode_block(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, one after another, and the number of each."""
         parts, rows = units(data, offsets, self.added)
         parts = parts.dictionary_encode()
-        place = self.learn(parts.dictionary.to_numpy(zero_copy_only=False))[np.asarray(parts.indices)]
-        return self.ids[B.ragged(self.starts[place], self.lengths[place])], B.sums_by_row(self.lengths[place], rows)
+        kinds = self.learn(parts.dictionary.to_numpy(zero_copy_only=False))
+        lengths = self.lengths[kinds].astype(np.int64)
+        ids = self.ids[B.ragged(self.starts[kinds], lengths)]  # of the different parts
+        place = np.asarray(parts.indices)
+        counts = lengths[place]
+        return ids[B.ragged((np.cumsum(lengths) - lengths)[place], counts)], B.sums_by_row(counts, rows)
 
 
 @cache
@@ -244,7 +294,7 @@ def encode_texts(docs: DataFrame, definition, end_id: int) -> DataFrame:
         own = encoder(definition.value)
         kind = id_type(own.size, end_id)
         for batch in batches:
-            for first, data, offsets in B.blocks(batch.column(2)):
+            for first, data, offsets in B.blocks(batch.column(2), TEXT_BYTES):
                 ids, counts = own.encode_block(data, offsets)
                 n = len(counts)
                 ids = np.insert(ids, np.cumsum(counts), end_id).astype(kind)
