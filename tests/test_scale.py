@@ -206,3 +206,28 @@ def test_entries_are_added_up_before_they_meet_documents(spark, monkeypatch):
     squares = 1 + 4 + 9 + 1 + 16 + 25 - 2 * (fitted[0, 0] + 2 * fitted[0, 1] + 4 * fitted[1, 0]) + (fitted**2).sum()
     assert abs(found.first()[0] - np.sqrt(squares)) < 1e-9
     assert [df.count() for on, df in joined if on == "doc_id"] == [7]  # a row for each document and topic, not for each of the 21 entries
+
+
+def test_lda_infers_documents_of_like_length_together(monkeypatch):
+    """In blocks of bounded size, with the numbers that each document has on its own."""
+    from topicloom.models import online_lda as O
+
+    rng = np.random.default_rng(3)
+    lengths, alpha = np.array([3, 40, 1, 7, 38, 6, 41]), np.array([0.1, 0.5, 0.2])
+    values, eb = rng.integers(1, 5, lengths.sum()).astype(float), rng.gamma(0.5, 1.0, (lengths.sum(), 3))
+    blocks, like_rows = [], O._like_rows
+    monkeypatch.setattr(O, "CELLS", 250)
+    monkeypatch.setattr(O, "_like_rows", lambda *a: (blocks.append(places.shape) or (rows, places) for rows, places in like_rows(*a)))
+    gamma, theta, norm = O.infer(lengths, values, eb, alpha, 800, 1e-3)
+    assert 1 < len(blocks) < len(lengths) and all(3 * m * n <= 250 for m, n in blocks)
+    ends = np.cumsum(lengths)
+    for d, (a, b) in enumerate(zip(ends - lengths, ends)):
+        g = alpha + values[a:b].sum() / 3
+        for _ in range(800):
+            t = np.exp([O.digamma(x) - O.digamma(g.sum()) for x in g])
+            moved = alpha + t * ((values[a:b] / (eb[a:b] @ t)) @ eb[a:b])
+            done, g = np.abs(moved - g).mean() < 1e-3, moved
+            if done:
+                break
+        t = np.exp([O.digamma(x) - O.digamma(g.sum()) for x in g])
+        assert np.allclose(gamma[d], g, rtol=1e-9) and np.allclose(theta[d], t, rtol=1e-9) and np.allclose(norm[a:b], eb[a:b] @ t, rtol=1e-9)
