@@ -231,3 +231,23 @@ def test_lda_infers_documents_of_like_length_together(monkeypatch):
                 break
         t = np.exp([O.digamma(x) - O.digamma(g.sum()) for x in g])
         assert np.allclose(gamma[d], g, rtol=1e-9) and np.allclose(theta[d], t, rtol=1e-9) and np.allclose(norm[a:b], eb[a:b] @ t, rtol=1e-9)
+
+
+def test_bags_of_a_large_vocabulary_move_words_of_blocks(spark, corpus, monkeypatch, capsys):
+    """No exchange has documents, tokens or counts as rows; repeated and null ids are counted as before."""
+    from topicloom.operators import tfidf as I
+
+    docs = corpus("a b b c", "c d", "", "x a", ["z"], "d d d a").withColumn("tokens", F.when(F.col("doc_id") != 4, F.col("tokens")))
+    model = I.fit_tfidf(docs.filter("doc_id < 4"), (1, 1), 1, 1.0, None)
+    plain = {r.doc_id: r.features for r in model.bags(docs.filter("doc_id <> 4")).collect()}
+    twice = docs.unionByName(docs.filter("doc_id = 0")).unionByName(docs.filter("doc_id = 1").withColumn("doc_id", F.lit(None).cast("bigint")))
+    monkeypatch.setattr(I, "BROADCAST_ROW_LIMIT", 2)
+    monkeypatch.setattr(I, "BLOCK_TOKENS", 4)
+    found = model.bags(docs)
+    rows = {r.doc_id: r.features for r in found.collect()}
+    assert rows.pop(4).numNonzeros() == 0 and rows == plain
+    found.explain()
+    moved = [line for line in capsys.readouterr().out.splitlines() if "Exchange" in line]
+    assert moved and not any("doc_id" in line for line in moved)
+    again = sorted((r.doc_id if r.doc_id is not None else -1, r.features.values.tolist()) for r in model.bags(twice).collect())
+    assert again == [(-1, []), (0, [2.0, 4.0, 2.0]), (0, [2.0, 4.0, 2.0]), (1, [1.0, 1.0]), (2, []), (3, [1.0, 1.0]), (4, []), (5, [1.0, 3.0])]
